@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from offerlens.constants import PHRASE_TIER_WEIGHTS, TIER_WEIGHTS
 from offerlens.functions.text import blank_to_null, normalize_tokens
+from offerlens.session import local_frame
 
 SHIPPED = Path(__file__).resolve().parent.parent / "data" / "sales_dictionary.json"
 
@@ -35,7 +36,7 @@ def read_dictionary(spark: SparkSession, path: str | None = None) -> Dictionary:
     """Read one JSON dictionary file; the file's array order is the ordinal."""
     if path is None:
         text = SHIPPED.read_text(encoding="utf-8")
-        source = spark.createDataFrame([(text,)], "value string").select(
+        source = local_frame(spark, [(text,)], "value string").select(
             F.from_json("value", DICTIONARY_SCHEMA).alias("d")
         ).select("d.*")
     else:

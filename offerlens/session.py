@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 BROADCAST_ROWS = 200_000
 
@@ -39,12 +42,35 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a local relation (known size, no Python task)."""
+    struct = T._parse_datatype_string(schema)
+    data = pa.table(
+        [pa.array([r[i] for r in rows], to_arrow_type(f.dataType)) for i, f in enumerate(struct)],
+        names=struct.names,
+    )
+    return spark.createDataFrame(data, schema=struct)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small.
+    """Broadcast a side only after proving that it is small.
+
+    At most ``max_rows + 1`` rows are read. A side within the bound is
+    computed once, here; a larger side keeps no hint, so the optimizer picks
+    a shuffled join from its own statistics.
+    """
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core for inputs that arrive in fewer splits than there are cores.
 
-    The count stops at ``max_rows + 1`` rows. A larger side keeps no hint, so
-    the optimizer picks a shuffled join from its own statistics.
+    Large inputs already have more splits than cores and pass unchanged.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
     return df

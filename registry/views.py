@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlens.operators.dictionary import Dictionary, compile_dictionary
+from offerlens.session import local_frame, spread
 
 SEP = (
     r"[\s\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
@@ -30,7 +31,7 @@ def with_sql(*ctes: str) -> str:
 
 def document_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as offers: the company is the source, the title the first line."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("doc_id").alias("offer_id"),
         F.col("source").alias("company_id"),
         F.get(F.split("text", "\n"), F.lit(0)).alias("title"),
@@ -104,13 +105,13 @@ PHRASES = [
 
 def word_dictionary(spark: SparkSession) -> Dictionary:
     return Dictionary(
-        spark.createDataFrame(CATEGORIES, "id string, name string, tier int"),
-        spark.createDataFrame(
-            [(n, i, c, i, a) for n, (i, c, a) in enumerate(KEYWORDS)],
+        local_frame(spark, CATEGORIES, "id string, name string, tier int"),
+        local_frame(
+            spark, [(n, i, c, i, a) for n, (i, c, a) in enumerate(KEYWORDS)],
             "ordinal int, id string, category_id string, canonical string, aliases array<string>",
         ),
-        spark.createDataFrame(
-            [(n, i, p, t) for n, (i, p, t) in enumerate(PHRASES)],
+        local_frame(
+            spark, [(n, i, p, t) for n, (i, p, t) in enumerate(PHRASES)],
             "ordinal int, id string, phrase string, tier int",
         ),
     )
