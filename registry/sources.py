@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from offerlens.sources import listings
+from offerlens.sources import listings, payloads
 from registry import query
 from registry.views import table
 
@@ -64,3 +64,67 @@ SELECT s_suppkey AS id FROM supplier WHERE s_nationkey < 12 AND s_acctbal >= 0 O
 def a17(spark, sf):
     return table(spark, sf, "supplier").filter("s_nationkey < 12 AND s_acctbal >= 0").select(
         F.col("s_suppkey").alias("id")).orderBy("id").limit(50)
+
+
+# --- provider payloads: documents written as JSON, then read with the declared schema ---
+
+
+def payload(spark, sf, schema, **fields):
+    docs = table(spark, sf, "documents")
+    packed = docs.select("source", F.to_json(F.struct(*[F.expr(e).alias(n) for n, e in fields.items()])).alias("j"))
+    return packed.select(F.col("source").alias("tenant"), F.from_json("j", schema).alias("p")).select("tenant", "p.*")
+
+
+@query("a1_h23_marketplace_items", r"""
+SELECT doc_id::VARCHAR AS id, 'https://x.test/' || doc_id::VARCHAR AS url, split_part(text, chr(10), 1) AS title,
+  source AS company, trim(source) AS company_key, lang AS city, CASE WHEN n_chars > 2000 THEN lang END AS pay
+FROM documents WHERE lang <> 'de'""")
+def a1(spark, sf):
+    rows = payload(
+        spark, sf, payloads.MARKETPLACE_ITEM, id="CASE WHEN lang <> 'de' THEN CAST(doc_id AS STRING) END",
+        title="split(text, '\\n')[0]", link="concat('https://x.test/', doc_id)", city="lang",
+        author="named_struct('id', source, 'name', source)",
+        minPay="CASE WHEN n_chars > 2000 THEN named_struct('id', 1, 'value', lang) END")
+    return payloads.map_marketplace_items(rows).select(
+        "id", "url", "title", F.col("company.name").alias("company"),
+        F.col("company.normalizedName").alias("company_key"), F.col("location.city").alias("city"),
+        F.col("metadata.salary.min.value").alias("pay"))
+
+
+@query("a2_h6_marketplace_details", """
+SELECT doc_id::VARCHAR AS id, text AS description, CASE WHEN lang = 'fr' THEN 'http://www.' || source || '.test/a'
+  ELSE 'https://jobs.infojobs.net' END AS website, CASE WHEN lang = 'fr' THEN source || '.test' END AS domain
+FROM documents""")
+def a2(spark, sf):
+    rows = payload(
+        spark, sf, payloads.MARKETPLACE_DETAIL, id="CAST(doc_id AS STRING)", description="text",
+        profile="named_struct('id', source, 'name', source, 'corporateWebsiteUrl', ' ', 'websiteUrl', "
+                "CASE WHEN lang = 'fr' THEN concat(' http://www.', source, '.test/a') END, "
+                "'web', 'https://jobs.infojobs.net')")
+    return payloads.map_marketplace_details(rows).select(
+        "id", "description", F.col("company.websiteUrl").alias("website"),
+        F.col("company.websiteDomain").alias("domain"))
+
+
+@query("a3_h10_postings", """
+SELECT doc_id::VARCHAR AS id, source AS company_name, strftime(epoch_ms(1704067200000 + doc_id * 1001), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS "publishedAt",
+  CASE WHEN n_chars > 1000 THEN source ELSE lang END AS category,
+  text || chr(10) || chr(10) || lang || ':' || chr(10) || source AS description FROM documents""")
+def a3(spark, sf):
+    rows = payload(
+        spark, sf, payloads.POSTING, id="CAST(doc_id AS STRING)", text="lang",
+        createdAt="1704067200000 + doc_id * 1001", description="text", descriptionPlain="''",
+        categories="named_struct('department', CASE WHEN n_chars > 1000 THEN source END, 'team', lang)",
+        lists="array(named_struct('text', lang, 'content', source), named_struct('text', '', 'content', 'x'))")
+    return payloads.map_postings(rows).select("id", "company_name", "publishedAt", "category", "description")
+
+
+@query("a4_jobs", """
+SELECT doc_id::VARCHAR AS id, source AS company_name, CASE WHEN lang = 'en' THEN source ELSE lang END AS category,
+  text AS description FROM documents""")
+def a4(spark, sf):
+    rows = payload(
+        spark, sf, payloads.JOB, id="doc_id", title="lang", content="text",
+        metadata="array(named_struct('id', 1L, 'name', 'other', 'value', 'x'), named_struct('id', 2L, 'name', "
+                 "'Department', 'value', CASE WHEN lang = 'en' THEN to_json(array(source, lang)) ELSE lang END))")
+    return payloads.map_jobs(rows).select("id", "company_name", "category", "description")
