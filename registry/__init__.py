@@ -26,11 +26,7 @@ def load_all() -> None:
     import importlib
 
     for module in (
-        "signals", "reposts", "sources", "merges", "gates", "joins", "urls", "pages",
-        "sheets", "runs", "jobs",
+        "signals", "reposts", "sources", "merges", "joins", "pages",
+        "sheets", "runs", "jobs", "links",
     ):
-        try:
-            importlib.import_module(f"registry.{module}")
-        except ModuleNotFoundError as e:
-            if e.name != f"registry.{module}":
-                raise
+        importlib.import_module(f"registry.{module}")
