@@ -72,3 +72,12 @@ def companies_by_name(rows: DataFrame) -> DataFrame:
     return rows.filter("normalized_name IS NOT NULL").groupBy("normalized_name").agg(
         F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"),
         F.min("id").alias("first_id"), F.count(F.lit(1)).alias("members"))
+
+
+def partial_update(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """Change only supplied fields: for each column c, ``set_c`` says whether
+    the update supplies it (a supplied null clears the field)."""
+    columns = [c for c in existing.columns if c != key]
+    u = updates.select(key, F.struct(*columns, *[f"set_{c}" for c in columns]).alias("u"))
+    return existing.join(u, key, "left").select(key, *[
+        F.when(F.col(f"u.set_{c}"), F.col(f"u.{c}")).otherwise(F.col(c)).alias(c) for c in columns])

@@ -50,3 +50,16 @@ def outcome_counters(rows: DataFrame, group: str) -> DataFrame:
         F.count(F.lit(1)).alias("fetched"), F.count_if(F.col("outcome") == "upserted").alias("upserted"),
         F.count_if(F.col("outcome") == "skipped").alias("skipped"),
         F.count_if(F.col("outcome") == "failed").alias("failed"))
+
+
+def pause_report(pauses: DataFrame, now: Column) -> DataFrame:
+    """Pause rows with status and seconds left."""
+    left = F.unix_timestamp("paused_until") - F.unix_timestamp(now)
+    return pauses.select(
+        "client", F.when(left > 0, "PAUSED").otherwise("EXPIRED").alias("status"),
+        F.greatest(left, F.lit(0).cast("long")).alias("seconds_left"))
+
+
+def client_states(states: DataFrame, client: Column | None = None) -> DataFrame:
+    rows = states if client is None else states.filter(client)
+    return rows.orderBy("query_key")

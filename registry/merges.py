@@ -115,3 +115,19 @@ def b22(spark, sf):
         F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("created_at"),
         F.col("c_acctbal").alias("updated_at"),
         F.concat_ws("-", "c_mktsegment", F.col("c_nationkey").cast("string")).alias("normalized_name")))
+
+
+@query("b8_partial_update", """
+SELECT o_orderkey AS id, CASE WHEN l_returnflag = 'R' THEN l_linestatus ELSE o_orderstatus END AS status,
+  CASE WHEN l_returnflag = 'A' THEN NULL ELSE o_orderpriority END AS priority
+FROM orders LEFT JOIN (SELECT l_orderkey, max(l_returnflag) AS l_returnflag, max(l_linestatus) AS l_linestatus
+  FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
+def b8(spark, sf):
+    existing = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"))
+    updates = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.max("l_linestatus").alias("status"), F.lit(None).cast("string").alias("priority"),
+        F.max("l_returnflag").alias("flag")).withColumns({
+            "set_status": F.col("flag") == "R", "set_priority": F.col("flag") == "A"})
+    return merges.partial_update(existing, updates, "id")

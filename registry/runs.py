@@ -62,3 +62,27 @@ def h19(spark, sf):
         F.lit("api"), F.col("event_type"), F.create_map(
             F.lit("user"), F.col("user_id").cast("string"), F.lit("sort"), F.lit(None).cast("string"),
             F.lit("text"), F.col("event_type"))).alias("query_key"))
+
+
+@query("f12_c13_pause_report", """
+WITH p AS (SELECT user_id AS client, max(ts) AS until FROM events GROUP BY 1),
+d AS (SELECT client, epoch(date_trunc('second', until))::BIGINT - epoch(TIMESTAMP '2024-01-29 00:00:00')::BIGINT AS s FROM p)
+SELECT client, CASE WHEN s > 0 THEN 'PAUSED' ELSE 'EXPIRED' END AS status, greatest(s, 0) AS seconds_left FROM d""")
+def f12(spark, sf):
+    pauses = table(spark, sf, "events").groupBy(F.col("user_id").alias("client")).agg(
+        F.max("ts").cast("timestamp").alias("paused_until"))
+    return runs.pause_report(pauses, F.lit("2024-01-29 00:00:00").cast("timestamp"))
+
+
+@query("i8_query_states_of_client", STATE_SQL + "SELECT query_key, status FROM states WHERE failures < 3")
+def i8(spark, sf):
+    return runs.client_states(
+        runs.query_states(state_events(spark, sf)),
+        F.col("failures") < 3).select("query_key", "status")
+
+
+@query("i6_feedback_events_newest_first", """
+SELECT user_id, event_id, event_type FROM events WHERE event_type IN ('error', 'view', 'click') ORDER BY ts DESC, event_id DESC""")
+def i6(spark, sf):
+    return table(spark, sf, "events").filter(F.col("event_type").isin("error", "view", "click")).orderBy(
+        F.desc("ts"), F.desc("event_id")).select("user_id", "event_id", "event_type")
