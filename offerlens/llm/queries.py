@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from offerlens.llm import common as c
-from offerlens.llm import mixing, quality_rules, warc
+from offerlens.llm import bpe, mixing, quality_rules, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+#: Folder of the public vocabulary files.
+VOCABULARIES = os.environ.get("VOCABULARY_DIR", "/opt/tokenizers")
 
 
 def query(name: str, sql: str | None = None):
@@ -23,6 +26,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op4_token_files")
+def op4(spark, sf):
+    path = c.shared_folder(spark)
+    token_files.write_tokens(c.table(spark, sf, "documents"), f"{VOCABULARIES}/word_bpe_49k.json", path)
+    return token_files.token_digests(spark, path)
+
+
 @query("op7_quality_rules")
 def op7(spark, sf):
     return quality_rules.judge_lines(c.table(spark, sf, "documents")).drop("host", "text_hash")
@@ -35,6 +45,11 @@ def op8(spark, sf):
     return mixing.mix_sources(c.table(spark, sf, "documents"))
 
 
+@query("op9_bpe")
+def op9(spark, sf):
+    return bpe.round_trip(c.table(spark, sf, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
+
+
 @query("op10_warc", """
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS d, strlen(coalesce(html, '')) AS n FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY d, n) AS best FROM p)
