@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from offerlens.llm import common as c
-from offerlens.llm import bpe, mixing, quality_rules, token_files, warc
+from offerlens.llm import bpe, mixing, quality_classifier, quality_rules, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_toxicity")
+def op1(spark, sf):
+    return toxicity.judge(c.table(spark, sf, "documents"), c.table(spark, sf, "labels"))
+
+
+@query("op3_quality_classifier")
+def op3(spark, sf):
+    return quality_classifier.judge(c.table(spark, sf, "documents"), c.table(spark, sf, "labels"))
+
+
 @query("op4_token_files")
 def op4(spark, sf):
     path = c.shared_folder(spark)
