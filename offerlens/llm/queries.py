@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from offerlens.llm import common as c
-from offerlens.llm import bpe, mixing, quality_classifier, quality_rules, token_files, toxicity, warc
+from offerlens.llm import bpe, lm_scoring, mixing, quality_classifier, quality_rules, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op1(spark, sf):
     return toxicity.judge(c.table(spark, sf, "documents"), c.table(spark, sf, "labels"))
 
 
+@query("op2_lm_scoring")
+def op2(spark, sf):
+    return lm_scoring.score_documents(c.table(spark, sf, "documents"))
+
+
 @query("op3_quality_classifier")
 def op3(spark, sf):
     return quality_classifier.judge(c.table(spark, sf, "documents"), c.table(spark, sf, "labels"))
