@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from offerlens.llm import common as c
-from offerlens.llm import bpe, jaccard_join, lm_scoring, mixing, quality_classifier, quality_rules, token_files, toxicity, warc
+from offerlens.llm import bpe, jaccard_join, lm_scoring, mixing, nn_descent, quality_classifier, quality_rules, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,6 +48,11 @@ def op4(spark, sf):
     return token_files.token_digests(spark, path)
 
 
+@query("op5_nn_descent")
+def op5(spark, sf):
+    return nn_descent.near_duplicates(c.table(spark, sf, "embeddings"))
+
+
 @query("op6_jaccard_join")
 def op6(spark, sf):
     return jaccard_join.join_documents(c.table(spark, sf, "documents")).drop("node")
