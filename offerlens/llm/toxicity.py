@@ -83,32 +83,68 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+class Indexed:
+    """Training texts as numbers: passages of words, words of buckets; built slice by slice."""
+
+    def __init__(self, texts: list[str]):
+        numbers: dict[int, int] = {}
+        rows, words, grams, sizes, at = [], [], [], [], 0
+        for _, data, offsets in c.text_slices(pa.array(texts, pa.large_string())):
+            row, number, start, end = distinct_words(data, offsets)
+            hashes = c.span_hash(c.prefix_hash(data, c.LOWER), start, end).tolist()
+            fresh = np.array([h not in numbers for h in hashes], bool)
+            numbers.update(dict(zip([h for h, new in zip(hashes, fresh) if new], range(len(numbers), len(numbers) + len(hashes)))))
+            if fresh.any():
+                word, bucket = subwords(data, start[fresh], end[fresh])
+                grams.append(bucket.astype(np.int32))
+                sizes.append(np.bincount(word, minlength=int(fresh.sum())))
+            rows.append(row + at)
+            words.append(np.array([numbers[h] for h in hashes], np.int32)[number])
+            at += len(offsets) - 1
+        none = np.zeros(0, np.int64)
+        row, self.word = np.concatenate([none, *rows]), np.concatenate([none.astype(np.int32), *words])
+        self.gram = np.concatenate([none.astype(np.int32), *grams])
+        self.at = np.concatenate([[0], np.cumsum(np.concatenate([none, *sizes]))])
+        self.first, self.stop, self.owner = passages(row, len(texts))
+        self.texts = len(texts)
+
+    def logits(self, z: np.ndarray) -> np.ndarray:
+        """Mean weight of the n-grams of each passage."""
+        if not len(self.word):
+            return np.zeros(0)
+        total, grams = np.add.reduceat(z[self.gram], self.at[:-1]), np.diff(self.at)
+        sums, counts = (np.concatenate([[0], np.cumsum(x[self.word])]) for x in (total, grams))
+        return (sums[self.stop] - sums[self.first]) / np.maximum(LEAST_GRAMS, counts[self.stop] - counts[self.first])
+
+
 def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
     """One weight per bucket and the bias, calibrated on every fifth row, which the fit does not see."""
     fit = [k for k in range(len(texts)) if k % 5]
-    z, bias = fit_weights([texts[k] for k in fit], [labels[k] for k in fit])
+    z, bias = fit_weights(Indexed([texts[k] for k in fit]), np.array([labels[k] for k in fit]))
     held = [k for k in range(len(texts)) if k % 5 == 0]
     y = np.array([labels[k] for k in held])
     if len(y) < 20 or y.min() == y.max() or not z.any():
         return z, bias
-    _, data, offsets = next(c.text_slices(pa.array([texts[k] for k in held], pa.large_string()), 1 << 40))
-    slope, offset = sampling.calibrate(best_logits(z, data, offsets) + bias, y)
+    rest = Indexed([texts[k] for k in held])
+    best = np.full(len(held), -np.inf)
+    np.maximum.at(best, rest.owner, rest.logits(z))
+    slope, offset = sampling.calibrate(np.where(np.isinf(best), 0, best) + bias, y)
     return (z * slope).astype(np.float32), bias * slope + offset
 
 
-def fit_weights(texts: list[str], labels: list[int], epochs: int = 20, rate: float = 1.0, seed: int = 7) -> tuple[np.ndarray, float]:
-    """One weight per bucket and the bias: embeddings times the difference of the two softmax rows."""
-    y = np.array(labels, np.float64)
+def spread_out(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for ``size`` numbers of each."""
+    return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+
+
+def fit_weights(data: Indexed, labels: np.ndarray, epochs: int = 20, rate: float = 1.0, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Embeddings times the difference of the two softmax rows, and the difference of their biases."""
+    y = labels.astype(np.float64)
     if not len(y) or y.min() == y.max():
         p = np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6)
         return np.zeros(BUCKETS, np.float32), float(np.log(p / (1 - p)))
     rng = np.random.default_rng(seed)
-    _, data, offsets = next(c.text_slices(pa.array(texts, pa.large_string()), 1 << 40))
-    row, number, start, end = distinct_words(data, offsets)
-    word, bucket = subwords(data, start, end)
-    at = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(start)))])
-    first, stop, owner = passages(row, len(texts))
-    share = np.bincount(owner, minlength=len(texts))
+    share = np.bincount(data.owner, minlength=data.texts)
     rows = np.flatnonzero(share)
     lead = np.concatenate([[0], np.cumsum(share)])
     emb = rng.normal(0, 0.05, (BUCKETS, DIM))
@@ -119,19 +155,17 @@ def fit_weights(texts: list[str], labels: list[int], epochs: int = 20, rate: flo
         if epoch < epochs // 4:
             pick = lead[rows] + rng.integers(0, share[rows])
         else:
-            z = emb @ (soft[:, 1] - soft[:, 0])
-            logit = passage_means(z, word, bucket, number, first, stop)
-            order = np.lexsort((logit, owner))
+            order = np.lexsort((data.logits(emb @ (soft[:, 1] - soft[:, 0])), data.owner))
             pick = order[lead[rows + 1] - 1]  # the passage with the highest score of each document
         step = rate * (1 - 0.9 * epoch / epochs)
         shuffled = rng.permutation(len(rows))
         for k in range(0, len(rows), 128):
             batch = shuffled[k: k + 128]
             chosen = pick[batch]
-            tokens = stop[chosen] - first[chosen]
-            token = number[np.repeat(first[chosen] - np.concatenate([[0], np.cumsum(tokens)[:-1]]), tokens) + np.arange(tokens.sum())]
-            grams = at[token + 1] - at[token]
-            gram = bucket[np.repeat(at[token] - np.concatenate([[0], np.cumsum(grams)[:-1]]), grams) + np.arange(grams.sum())]
+            tokens = data.stop[chosen] - data.first[chosen]
+            token = data.word[spread_out(data.first[chosen], tokens)]
+            grams = data.at[token + 1] - data.at[token]
+            gram = data.gram[spread_out(data.at[token], grams)]
             bag = np.repeat(np.repeat(np.arange(len(batch)), tokens), grams)
             size = np.maximum(LEAST_GRAMS, np.bincount(bag, minlength=len(batch)))
             mean = np.stack([np.bincount(bag, emb[gram, d], len(batch)) for d in range(DIM)], 1) / size[:, None]
@@ -143,7 +177,6 @@ def fit_weights(texts: list[str], labels: list[int], epochs: int = 20, rate: flo
             to_mean = p @ soft.T / size[:, None]
             used, inverse = np.unique(gram, return_inverse=True)
             grad = np.stack([np.bincount(inverse, to_mean[bag, d], len(used)) for d in range(DIM)], 1) + 1e-6 * emb[used]
-            # Adagrad with a floor common to all buckets: rare n-grams do not take full steps on noise
             speed_e[used] += grad ** 2
             emb[used] -= step * grad / (np.sqrt(speed_e[used]) + 1e-4)
             for value, speed, g in ((soft, speed_s, mean.T @ p), (bias, speed_b, p.sum(0))):
