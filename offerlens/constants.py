@@ -50,16 +50,11 @@ SIMILARITY_THRESHOLD = 0.9
 LISTING_MAX_PAGES = 10
 LISTING_MAX_OFFERS = 500
 JOBS_PER_TENANT = 200
-TENANTS_PER_RUN = 50
-COMPANIES_PER_DISCOVERY = 100
 # Size caps a caller may pass to the mappers and detectors. They default to
 # off: whole descriptions and whole pages are processed.
-DESCRIPTION_CHARS = 50_000
-HTML_SCAN_CHARS = 200_000
 
 # --- companies, sheet -----------------------------------------------------
 ATS_PROVIDERS = ("lever", "greenhouse")
-MARKETPLACE_PROVIDER = "infojobs"
 MARKETPLACE_DOMAIN_MARK = "infojobs."
 RESOLUTIONS = (
     "PENDING",
@@ -88,7 +83,6 @@ SHEET_HEADERS = (
 )
 NO_NAME = "(no name)"
 APPEND_BATCH = 100
-UPDATE_BATCH = 50
 FEEDBACK_ZONE = "Europe/Madrid"
 FEEDBACK_HOURS = (3, 6)
 QUERY_KEY_HEX = 12
@@ -113,7 +107,6 @@ CAREER_PATHS = (
     "/job-opportunities",
     "/job-openings",
 )
-MAX_CANDIDATE_URLS = 10
 ATS_PATTERNS = (
     ("lever", r"(?i)https?://jobs\.lever\.co/([a-zA-Z0-9_-]+)"),
     ("lever", r"(?i)https?://api\.lever\.co/v0/postings/([a-zA-Z0-9_-]+)"),
@@ -136,15 +129,12 @@ CAREER_KEYWORDS = (
     "job-openings",
     "opportunities",
 )
-CAREER_LINKS = 5
-CAREER_URL_CHARS = 300
 CAREER_IGNORED_EXTENSIONS = (
     ".pdf", ".jpg", ".jpeg", ".png", ".gif", ".svg", ".zip", ".tar", ".gz",
     ".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx",
 )
 
 # --- company directories ----------------------------------------------------
-DIRECTORY_URL_CHARS = 2048
 DIRECTORY_IGNORED_EXTENSIONS = (".pdf", ".jpg", ".jpeg", ".png", ".zip", ".gif")
 DIRECTORY_EXCLUDED_DOMAINS = (
     "linkedin.com",
@@ -155,5 +145,3 @@ DIRECTORY_EXCLUDED_DOMAINS = (
     "github.com",
     "startupshub.catalonia.com",
 )
-COMPANIES_PER_SOURCE = 50
-DETAIL_PAGES_PER_SOURCE = 50

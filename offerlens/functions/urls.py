@@ -10,11 +10,8 @@ from offerlens.constants import (
     CAREER_IGNORED_EXTENSIONS,
     CAREER_KEYWORDS,
     CAREER_PATHS,
-    CAREER_URL_CHARS,
     DIRECTORY_EXCLUDED_DOMAINS,
     DIRECTORY_IGNORED_EXTENSIONS,
-    DIRECTORY_URL_CHARS,
-    MAX_CANDIDATE_URLS,
 )
 from offerlens.functions.text import (
     blank_to_null,
@@ -57,14 +54,17 @@ def pick_website(*candidates: Column) -> Column:
 
 def normalize_website_url(url: Column) -> Column:
     text = trim_space(url)
-    full = F.when(text.rlike("^https?://"), text).otherwise(F.concat(F.lit("https://"), text))
-    https = F.regexp_replace(full, "^http://", "https://")
-    return F.when(url_host(full).isNotNull(), F.regexp_replace(https, "/$", ""))
+    full = F.when(text.rlike("^(?i)https?://"), text).otherwise(F.concat(F.lit("https://"), text))
+    # scheme and host are lower-cased, a path keeps its case
+    rest = F.regexp_replace(full, "^(?i)https?://[^/?#]*", "")
+    site = F.lower(F.regexp_extract(full, "^(?i)https?://([^/?#]*)", 1))
+    return F.when(url_host(full).isNotNull(),
+                  F.regexp_replace(F.concat(F.lit("https://"), site, rest), "/$", ""))
 
 
 def candidate_urls(base: Column) -> Column:
     urls = F.array(base, *[F.concat(base, F.lit(p)) for p in CAREER_PATHS])
-    return F.slice(F.array_distinct(urls), 1, MAX_CANDIDATE_URLS)
+    return F.array_distinct(urls)
 
 
 def resolve_url(href: Column, base: Column) -> Column:
@@ -89,21 +89,26 @@ def _ends_with_any(text: Column, endings: tuple[str, ...]) -> Column:
     return text.rlike("(" + "|".join("\\" + e for e in endings) + ")$")
 
 
-def is_excluded_url(url: Column, base_domain: Column) -> Column:
+def is_excluded_url(url: Column, base_domain: Column, longest: int | None = None) -> Column:
+    """``longest`` excludes longer URLs; by default length does not matter."""
     domain = website_domain(url)
     return (
-        (F.length(url) > DIRECTORY_URL_CHARS)
+        _too_long(url, longest)
         | _ends_with_any(F.lower(url), DIRECTORY_IGNORED_EXTENSIONS)
         | ~url.rlike("^(https?://|/)")
         | domain.isNull() | (domain == base_domain) | domain.isin(*DIRECTORY_EXCLUDED_DOMAINS)
     )
 
 
-def is_career_link(href: Column, url: Column, base_host: Column) -> Column:
+def _too_long(url: Column, longest: int | None) -> Column:
+    return F.lit(False) if longest is None else F.length(url) > longest
+
+
+def is_career_link(href: Column, url: Column, base_host: Column, longest: int | None = None) -> Column:
     host = url_host(url)
     return (
         (trim_space(href) != "") & ~href.rlike("^(mailto:|tel:|javascript:|#)")
-        & (F.length(url) <= CAREER_URL_CHARS)
+        & ~_too_long(url, longest)
         & (host.eqNullSafe(base_host) | host.isin(*ATS_HOSTS))
         & ~_ends_with_any(F.lower(url_path(url)), CAREER_IGNORED_EXTENSIONS)
         & F.lower(url).rlike("|".join(CAREER_KEYWORDS))

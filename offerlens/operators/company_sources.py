@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.constants import SHEET_HEADERS
+from offerlens.functions.text import trim_space
 from offerlens.operators.merges import delete_offers, last_rows
 
 
@@ -25,19 +26,30 @@ def merge_by_provider_id(existing: DataFrame, updates: DataFrame) -> DataFrame:
         updates.filter(unnamed).select(*columns))
 
 
-def merge_by_company(existing: DataFrame, updates: DataFrame) -> DataFrame:
-    """Links merge on (company, provider): id and URL are overwritten, nulls
-    included. ``conflict`` marks provider ids claimed by several companies."""
+def merge_by_company(existing: DataFrame, updates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, refused): links merge on (company, provider), id and URL are
+    overwritten, nulls included.
+
+    A provider id that another company holds already, or that several companies
+    claim at once, is refused: the link keeps its old id and URL, a new link is
+    not made, and the claim is in ``refused``. Of several claims to a free id
+    the smallest company's is accepted.
+    """
     key = ["company_id", "provider"]
     columns = ["provider_company_id", "url"]
-    last = last_rows(updates, key, "seq").select(*key, F.struct(*columns).alias("new"))
-    merged = existing.select(*key, F.struct(*columns).alias("old")).join(last, key, "full_outer").select(
+    last = last_rows(updates, key, "seq").select(*key, *columns)
+    held = existing.filter("provider_company_id IS NOT NULL").groupBy("provider", "provider_company_id").agg(
+        F.min("company_id").alias("holder"))
+    claims = last.filter("provider_company_id IS NOT NULL").groupBy("provider", "provider_company_id").agg(
+        F.min("company_id").alias("first_claim"))
+    judged = last.join(held, ["provider", "provider_company_id"], "left").join(
+        claims, ["provider", "provider_company_id"], "left").withColumn(
+        "refused", F.coalesce(F.coalesce("holder", "first_claim") != F.col("company_id"), F.lit(False)))
+    accepted = judged.filter("NOT refused").select(*key, F.struct(*columns).alias("new"))
+    merged = existing.select(*key, F.struct(*columns).alias("old")).join(accepted, key, "full_outer").select(
         *key, F.when(F.col("new").isNotNull(), F.col("new")).otherwise(F.col("old")).alias("r")
     ).select(*key, "r.*")
-    shared = merged.filter("provider_company_id IS NOT NULL").groupBy("provider", "provider_company_id").agg(
-        (F.count(F.lit(1)) > 1).alias("shared"))
-    return merged.join(shared, ["provider", "provider_company_id"], "left").select(
-        *key, *columns, F.coalesce("shared", F.lit(False)).alias("conflict"))
+    return merged, judged.filter("refused").select(*key, *columns)
 
 
 def apply_feedback(plan: DataFrame, companies: DataFrame, offers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,5 +68,5 @@ def header_mismatches(header: DataFrame, expected: tuple[str, ...] = SHEET_HEADE
     want = F.array(*[F.lit(h) for h in expected])
     pairs = F.arrays_zip(want.alias("expected"), F.col("cells").alias("actual"))
     return header.select("sheet", F.posexplode(pairs).alias("pos", "p")).select(
-        "sheet", "pos", "p.expected", F.trim("p.actual").alias("actual")
+        "sheet", "pos", "p.expected", trim_space(F.col("p.actual")).alias("actual")
     ).filter(~F.col("expected").eqNullSafe(F.col("actual")))

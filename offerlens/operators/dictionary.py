@@ -130,14 +130,13 @@ def compile_dictionary(d: Dictionary) -> DataFrame:
     )
     keywords = alias.join(tiers, "category_id", "left").select(
         F.lit("keyword").alias("kind"), F.col("id").alias("dict_id"), "category_id", "weight",
-        (F.col("o.ordinal") * 1000 + F.col("o.alias_no")).cast("long").alias("dict_order"),
-        "pattern",
+        F.col("o").alias("dict_order"), "pattern",
     )
     phrases = d.phrases.select(
         F.lit("phrase").alias("kind"), F.col("id").alias("dict_id"),
         F.lit(None).cast("string").alias("category_id"),
         _weight(F.col("tier"), PHRASE_TIER_WEIGHTS).alias("weight"),
-        (F.col("ordinal") * 1000).cast("long").alias("dict_order"),
+        F.struct("ordinal", F.lit(0).alias("alias_no")).alias("dict_order"),
         normalize_tokens(F.col("phrase")).alias("pattern"),
     )
     return keywords.unionByName(phrases).withColumns({

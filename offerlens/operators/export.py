@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerlens.constants import APPEND_BATCH, DEFAULT_RESOLUTION, NO_NAME
-from offerlens.session import broadcast_if_small
 
 
 def date_part(ts: Column) -> Column:
@@ -20,7 +19,7 @@ def export_rows(companies: DataFrame, top_urls: DataFrame, categories: DataFrame
     blank = F.lit("")
     return (
         companies.join(urls, "top_offer_id", "left")
-        .join(broadcast_if_small(names), "top_category_id", "left")
+        .join(names, "top_category_id", "left")
         .select(
             F.col("id").alias("company_id"),
             F.coalesce("name_display", "normalized_name", F.lit(NO_NAME)).alias("company_name"),

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from offerlens.constants import ATS_PATTERNS
 from offerlens.functions.text import collapse_space, trim_space
 from offerlens.functions.urls import (
+    is_career_link,
     is_excluded_url,
     normalize_company_name,
     resolve_url,
+    url_host,
     website_domain,
 )
 
-# fixed value: how an anchor with a text is recognized
+# fixed values: how an anchor with a text, and how any link is recognized
 ANCHOR = r"(?i)<a\s+[^>]*href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
+HREF = r"(?i)<a\s+[^>]*href=[\"']([^\"']+)[\"'][^>]*>"
 
 
 def strip_tags(html: Column) -> Column:
@@ -23,16 +26,30 @@ def strip_tags(html: Column) -> Column:
 
 
 def anchors(pages: DataFrame, *keys: str) -> DataFrame:
-    """(keys, url, pos, href, text) of anchors with both parts non-empty."""
-    found = F.arrays_zip(
-        F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("text"))
-    return pages.select(*keys, "url", F.posexplode(found).alias("pos", "a")).select(
-        *keys, "url", "pos", trim_space(F.col("a.href")).alias("href"),
-        trim_space(F.regexp_replace("a.text", "<[^>]+>", "")).alias("text"),
+    """(keys, url, pos, href, text) of anchors with both parts non-empty.
+
+    Whole anchors are cut out in one pass over the page; their parts are read
+    from the short pieces.
+    """
+    whole = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))
+    return pages.select(*keys, "url", F.posexplode(whole).alias("pos", "a")).select(
+        *keys, "url", "pos", trim_space(F.regexp_extract("a", ANCHOR, 1)).alias("href"),
+        trim_space(F.regexp_replace(F.regexp_extract("a", ANCHOR, 2), "<[^>]+>", "")).alias("text"),
     ).filter("href <> '' AND text <> ''")
 
 
+def hrefs(pages: DataFrame, *keys: str) -> DataFrame:
+    """(keys, url, pos, href) of every link, whatever it encloses."""
+    return pages.select(*keys, "url", F.posexplode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("pos", "href")).select(
+        *keys, "url", "pos", trim_space(F.col("href")).alias("href")).filter("href <> ''")
+
+
+def career_links(pages: DataFrame, *keys: str, longest: int | None = None) -> DataFrame:
+    """(keys, link): distinct links of a page that look like a way to its jobs."""
+    links = hrefs(pages, *keys).withColumn("link", resolve_url(F.col("href"), F.col("url")))
+    return links.filter(is_career_link(F.col("href"), F.col("link"), url_host(F.col("url")), longest)).select(*keys, "link").distinct()
+
+
 def detect_tenant(html: Column, patterns: tuple = ATS_PATTERNS) -> Column:
     """First matching pattern in priority order: struct(provider, tenant)."""
     options = [
@@ -65,7 +82,7 @@ def listing_cards(pages: DataFrame, card: str, title: str, is_detail: Column, *k
     cards = pages.select(
         *keys, "url", F.posexplode(F.regexp_extract_all("html", F.lit(card), F.lit(1))).alias("card_no", "card"))
     named = cards.withColumn("name", strip_tags(F.regexp_extract("card", title, 1))).filter("name <> ''")
-    href = F.regexp_extract_all("card", F.lit(r"(?i)<a\s+[^>]*href=[\"']([^\"']+)[\"'][^>]*>"), F.lit(1))
+    href = F.regexp_extract_all("card", F.lit(HREF), F.lit(1))
     links = named.select(*keys, "url", "card_no", "name", F.posexplode(href).alias("link_no", "href"))
     links = links.withColumn("detail_url", F.regexp_replace(F.regexp_replace(
         resolve_url(F.col("href"), F.col("url")), r"[?#].*$", ""), r"/+$", "")).filter(is_detail)

@@ -58,14 +58,17 @@ def read_index(sheet: DataFrame) -> DataFrame:
 
 
 def read_counters(sheet: DataFrame) -> DataFrame:
+    """Rows in all; valid, invalid and repeated ones. A blank row only counts in all."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sheet.columns if c != "row_index"]
     parsed = sheet.select(
-        parse_company_id(F.col("c0")).alias("company_id"), parse_resolution(F.col("c2")).alias("r"))
+        parse_company_id(F.col("c0")).alias("company_id"), parse_resolution(F.col("c2")).alias("r"),
+        (F.concat(*cells) == "").alias("blank"))
     ok = F.col("company_id").isNotNull() & F.col("r").isNotNull()
-    per_id = parsed.groupBy("company_id", ok.alias("ok")).agg(F.count(F.lit(1)).alias("n"))
+    per_id = parsed.groupBy("company_id", "blank", ok.alias("ok")).agg(F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("long")
     return per_id.agg(
         F.coalesce(F.sum("n"), zero).alias("total"), F.count_if("ok").alias("valid"),
-        F.coalesce(F.sum(F.when(~F.col("ok"), F.col("n"))), zero).alias("invalid"),
+        F.coalesce(F.sum(F.when(~F.col("ok") & ~F.col("blank"), F.col("n"))), zero).alias("invalid"),
         F.coalesce(F.sum(F.when(F.col("ok"), F.col("n") - 1)), zero).alias("duplicate"))
 
 

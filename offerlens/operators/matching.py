@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offerlens.constants import FIELD_WEIGHTS, NEGATION_AFTER, NEGATION_BEFORE, NEGATION_CUES
 from offerlens.functions.text import tokens_or_empty
-from offerlens.session import broadcast_if_small
+from offerlens.session import materialized
 
 
 def is_negated(tokens: Column, start: Column, length: Column) -> Column:
@@ -36,24 +36,18 @@ def find_hits(tokens: DataFrame, patterns: DataFrame, *keys: str) -> DataFrame:
     """Every occurrence of every pattern, overlaps and repeats included.
 
     Each token position meets only the patterns that begin with its token, and
-    the rest of the pattern is compared on the few rows that survive. With a
-    dictionary of proven small size nothing is shuffled.
+    the rest of the pattern is compared on the few rows that survive. The
+    patterns are computed once; the optimizer broadcasts them if they are small.
     """
     positions = tokens.select(
         *keys, "field", "field_no", "tokens", F.posexplode("tokens").alias("token_index", "token")
     )
-    found = positions.join(
-        broadcast_if_small(patterns), F.col("token") == F.col("first_token")
-    ).filter(F.slice("tokens", F.col("token_index") + 1, F.col("n_tokens")) == F.col("pattern"))
+    found = positions.join(materialized(patterns), F.col("token") == F.col("first_token")).filter(F.slice("tokens", F.col("token_index") + 1, F.col("n_tokens")) == F.col("pattern"))
     field_weight = F.lit(1.0)
     for name, weight in FIELD_WEIGHTS.items():
         field_weight = F.when(F.col("field") == name, F.lit(weight)).otherwise(field_weight)
     # title before description, then position, then dictionary order
-    ordinal = (
-        F.shiftleft(F.col("field_no").cast("long"), 58)
-        + F.shiftleft(F.col("token_index").cast("long"), 26)
-        + F.col("dict_order")
-    )
+    ordinal = F.struct("field_no", "token_index", "dict_order.ordinal", "dict_order.alias_no")
     return found.select(
         *keys, "kind", "dict_id", "category_id", "field", "token_index",
         F.col("pattern").alias("matched_tokens"),

@@ -61,10 +61,14 @@ def cascade(matches: DataFrame, offers: DataFrame) -> DataFrame:
 
 
 def insert_ignore(existing: DataFrame, events: DataFrame, key: list[str]) -> DataFrame:
-    """New events only, one per key (null keys count as equal to blank)."""
-    blank = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in key]
-    fresh = events.select(*blank).distinct()
-    return fresh.join(existing.select(*blank), key, "left_anti")
+    """New events only, one whole row per key (null keys count as equal to blank).
+
+    Of several new rows with one key the smallest by its other columns stays.
+    """
+    marks = [f"__key{k}" for k in range(len(key))]
+    blank = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(m) for c, m in zip(key, marks)]
+    one = events.groupBy(*blank).agg(F.min(F.struct(*events.columns)).alias("row"))
+    return one.join(existing.select(*blank).distinct(), marks, "left_anti").select("row.*")
 
 
 def companies_by_name(rows: DataFrame) -> DataFrame:

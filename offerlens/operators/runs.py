@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from offerlens.constants import QUERY_KEY_HEX
 
 
-def query_key(client: Column, name: Column, params: Column) -> Column:
-    """client:name:hash of the parameters (a map) with sorted keys, nulls dropped."""
-    kept = F.map_filter(params, lambda _, v: v.isNotNull())
-    text = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(kept))))
+def query_key(client: Column, name: Column, params: Column, fields: tuple[str, ...] | None = None) -> Column:
+    """client:name:hash of the parameters as JSON with sorted keys, nulls dropped.
+
+    ``params`` is a map of one value type, or with ``fields`` a struct of those
+    fields, whose numbers and booleans keep their JSON form.
+    """
+    if fields is None:
+        kept = F.map_filter(params, lambda _, v: v.isNotNull())
+        text = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(kept))))
+    else:
+        text = F.to_json(F.struct(*[params.getField(f).alias(f) for f in sorted(fields)]))
     return F.concat_ws(":", client, name, F.substring(F.sha2(text, 256), 1, QUERY_KEY_HEX))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-BROADCAST_ROWS = 200_000
-
 
 def build_session(app: str = "offerlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -28,20 +27,35 @@ def build_session(app: str = "offerlens", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared checkpoint folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; only a session
-    without one (tests, a laptop) gets a fresh temporary folder.
+    Only a session without one (tests, a laptop) gets a fresh temporary folder.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Write a table to the checkpoint folder and read it back.
+
+    The optimizer then knows its size in bytes: it broadcasts the table below
+    the session's threshold and shuffles it beyond.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as a local relation (known size, no Python task)."""
     struct = T._parse_datatype_string(schema)
@@ -52,19 +66,6 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(data, schema=struct)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side only after proving that it is small.
-
-    At most ``max_rows + 1`` rows are read. A side within the bound is
-    computed once, here; a larger side keeps no hint, so the optimizer picks
-    a shuffled join from its own statistics.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core for inputs that arrive in fewer splits than there are cores.
 

@@ -34,13 +34,26 @@ def links(spark, sf):
     return existing, updates
 
 
-@query("b3_links_by_company", LINKS_SQL + """,
+CLAIMS_SQL = LINKS_SQL + """,
 l AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY company_id, provider ORDER BY seq DESC) = 1),
-m AS (SELECT company_id, provider, CASE WHEN l.seq IS NOT NULL THEN l.provider_company_id ELSE e.provider_company_id END AS provider_company_id,
-  CASE WHEN l.seq IS NOT NULL THEN l.url ELSE e.url END AS url FROM e FULL JOIN l USING (company_id, provider))
-SELECT *, provider_company_id IS NOT NULL AND count(*) OVER (PARTITION BY provider, provider_company_id) > 1 AS conflict FROM m""")
+held AS (SELECT provider, provider_company_id, min(company_id) AS holder FROM e WHERE provider_company_id IS NOT NULL GROUP BY 1, 2),
+claims AS (SELECT provider, provider_company_id, min(company_id) AS first_claim FROM l WHERE provider_company_id IS NOT NULL GROUP BY 1, 2),
+judged AS (SELECT l.*, coalesce(coalesce(holder, first_claim) <> company_id, false) AS refused
+  FROM l LEFT JOIN held USING (provider, provider_company_id) LEFT JOIN claims USING (provider, provider_company_id)),
+a AS (SELECT * FROM judged WHERE NOT refused)
+"""
+
+
+@query("b3_links_by_company", CLAIMS_SQL + """
+SELECT company_id, provider, CASE WHEN a.seq IS NOT NULL THEN a.provider_company_id ELSE e.provider_company_id END AS provider_company_id,
+  CASE WHEN a.seq IS NOT NULL THEN a.url ELSE e.url END AS url FROM e FULL JOIN a USING (company_id, provider)""")
 def b3(spark, sf):
-    return company_sources.merge_by_company(*links(spark, sf))
+    return company_sources.merge_by_company(*links(spark, sf))[0]
+
+
+@query("b3_refused_links", CLAIMS_SQL + "SELECT company_id, provider, provider_company_id, url FROM judged WHERE refused")
+def b3_refused(spark, sf):
+    return company_sources.merge_by_company(*links(spark, sf))[1]
 
 
 @query("b10_metrics_update", with_sql(ORDER_OFFERS_SQL, COMPANY_METRICS_SQL) + """

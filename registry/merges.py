@@ -96,13 +96,13 @@ def b12(spark, sf):
 
 
 @query("b13_j1_insert_ignore", """
-SELECT DISTINCT o_custkey::VARCHAR AS company, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END, '') AS notes
-FROM orders EXCEPT SELECT c_custkey::VARCHAR, '' FROM customer""")
+SELECT o_custkey AS company, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS notes, min(o_orderkey) AS event_id
+FROM orders WHERE o_orderstatus <> 'P' OR o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20) GROUP BY ALL""")
 def b13(spark, sf):
     events = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("company"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("notes"))
-    existing = table(spark, sf, "customer").select(
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("notes"), F.col("o_orderkey").alias("event_id"))
+    existing = table(spark, sf, "customer").filter("c_nationkey < 20").select(
         F.col("c_custkey").alias("company"), F.lit(None).cast("string").alias("notes"))
     return merges.insert_ignore(existing, events, ["company", "notes"])
 

@@ -54,7 +54,7 @@ def h7(spark, sf):
 @query("h8_candidate_urls", """
 WITH b AS (SELECT DISTINCT 'https://' || regexp_extract(url, '://([^/?#:]+)', 1) AS base FROM pages)
 SELECT base, base || unnest(['', '/careers', '/jobs', '/join-us', '/work-with-us', '/careers/jobs', '/jobs/',
-  '/empleo', '/trabaja-con-nosotros', '/job-opportunities']) AS candidate FROM b""")
+  '/empleo', '/trabaja-con-nosotros', '/job-opportunities', '/job-openings']) AS candidate FROM b""")
 def h8(spark, sf):
     base = table(spark, sf, "pages").select(
         F.concat(F.lit("https://"), urls.url_host(F.col("url"))).alias("base")).distinct()
@@ -84,10 +84,18 @@ def h13(spark, sf):
         "page_id", extraction.detect_tenant(F.col("html"), TENANT_PATTERNS).alias("d")).select("page_id", "d.*")
 
 
-@query("a22_c6_external_candidates", ANCHORS_SQL + """
-SELECT page_id, false AS has_external FROM pages""")
+ABSOLUTE = "regexp_replace(html, 'href=\"/(t[a-z]*)\"', 'href=\"https://www.$1.example.com/\"')"
+
+
+def pages_with_hosts(spark, sf):
+    """Pages whose rooted links that begin with t point to a host of their own."""
+    return pages(spark, sf).withColumn("html", F.expr(ABSOLUTE))
+
+
+@query("a22_c6_external_candidates", """
+SELECT page_id, regexp_matches(html, '<a\\s+[^>]*href="/t[a-z]*"[^>]*>[^<]*[^<\\s][^<]*</a>') AS has_external FROM pages""")
 def a22(spark, sf):
-    return extraction.has_external_candidates(pages(spark, sf), "page_id")
+    return extraction.has_external_candidates(pages_with_hosts(spark, sf), "page_id")
 
 
 @query("a19_listing_cards", ANCHORS_SQL + """
@@ -100,11 +108,12 @@ def a19(spark, sf):
     ).withColumn("card_no", F.col("card_no").cast("long"))
 
 
-@query("c9_career_links", ANCHORS_SQL + """
-SELECT page_id, link FROM (SELECT DISTINCT page_id, link FROM links WHERE length(link) <= 300
-  AND regexp_matches(lower(link), 'careers|career|jobs|join|work-with-us|empleo|trabaja|vacantes|oportunidades|job-openings|opportunities'))""")
+CAREERS = "regexp_replace(html, 'href=\"/(an[a-z]*|de[a-z]*)\"', 'href=\"/careers/$1\"')"
+
+
+@query("c9_career_links", r"""
+WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s+[^>]*href="/(an[a-z]*|de[a-z]*)"', 1)) AS tail FROM pages)
+SELECT DISTINCT page_id, regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) || '/careers/' || tail AS link FROM h""")
 def c9(spark, sf):
-    rows = extraction.anchors(pages(spark, sf), "page_id").withColumn(
-        "link", urls.resolve_url(F.col("href"), F.col("url")))
-    return rows.filter(urls.is_career_link(
-        F.col("href"), F.col("link"), urls.url_host(F.col("url")))).select("page_id", "link").distinct()
+    """Rooted links that begin with an or de are moved below /careers."""
+    return extraction.career_links(pages(spark, sf).withColumn("html", F.expr(CAREERS)), "page_id")

@@ -56,12 +56,13 @@ def f14(spark, sf):
 
 
 @query("h19_query_key", """
-SELECT event_id, 'api:' || event_type || ':' || substr(sha256('{"text":"' || event_type || '","user":"' || user_id::VARCHAR || '"}'), 1, 12) AS query_key FROM events""")
+SELECT event_id, 'api:' || event_type || ':' || substr(sha256('{"page":' || (event_id % 7)::VARCHAR || CASE WHEN event_id % 3 > 0 THEN ',"text":"' || event_type || '"' ELSE '' END || ',"user":' || user_id::VARCHAR || '}'), 1, 12) AS query_key FROM events""")
 def h19(spark, sf):
     return table(spark, sf, "events").select("event_id", runs.query_key(
-        F.lit("api"), F.col("event_type"), F.create_map(
-            F.lit("user"), F.col("user_id").cast("string"), F.lit("sort"), F.lit(None).cast("string"),
-            F.lit("text"), F.col("event_type"))).alias("query_key"))
+        F.lit("api"), F.col("event_type"), F.struct(
+            F.col("user_id").alias("user"), F.lit(None).cast("string").alias("sort"), (F.col("event_id") % 7).alias("page"),
+            F.when(F.col("event_id") % 3 > 0, F.col("event_type")).alias("text")),
+        ("user", "sort", "page", "text")).alias("query_key"))
 
 
 @query("f12_c13_pause_report", """

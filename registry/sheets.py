@@ -44,13 +44,17 @@ def a13(spark, sf):
     return feedback.read_resolutions(sheet(spark, sf))
 
 
-@query("a13_read_counters", SHEET_SQL + """
-SELECT count(*) AS total, (SELECT count(*) FROM first_valid) AS valid,
-  count(*) FILTER (WHERE company_id IS NULL OR resolution IS NULL) AS invalid,
-  count(*) FILTER (WHERE company_id IS NOT NULL AND resolution IS NOT NULL)
-    - (SELECT count(*) FROM first_valid) AS duplicate FROM parsed""")
+@query("a13_read_counters", SHEET_SQL + """,
+rows AS (SELECT *, row_index % 7 = 0 AS blank FROM parsed),
+ok AS (SELECT * FROM rows WHERE NOT blank AND company_id IS NOT NULL AND resolution IS NOT NULL)
+SELECT (SELECT count(*) FROM rows) AS total, count(DISTINCT company_id) AS valid,
+  (SELECT count(*) FROM rows WHERE NOT blank) - count(*) AS invalid, count(*) - count(DISTINCT company_id) AS duplicate FROM ok""")
 def a13_counters(spark, sf):
-    return feedback.read_counters(sheet(spark, sf))
+    """Every seventh row of the sheet is blanked."""
+    rows = sheet(spark, sf)
+    blanked = rows.select("row_index", *[
+        F.when(F.col("row_index") % 7 != 0, F.col(c)).alias(c) for c in rows.columns if c != "row_index"])
+    return feedback.read_counters(blanked)
 
 
 @query("a14_model_feedback", SHEET_SQL + """

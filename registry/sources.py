@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from offerlens.constants import JOBS_PER_TENANT, LISTING_MAX_OFFERS, LISTING_MAX_PAGES
 from offerlens.sources import listings, payloads
 from registry import query
 from registry.views import table
@@ -17,20 +18,47 @@ def a5(spark, sf):
     jobs = table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("tenant"), F.col("o_orderkey").alias("id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("title"), F.lit("u").alias("url"))
-    return listings.first_per_tenant(jobs).select("tenant", "id")
+    return listings.first_per_tenant(jobs, cap=JOBS_PER_TENANT).select("tenant", "id")
+
+
+PAGES_SQL = """WITH raw AS (SELECT o_orderpriority AS listing,
+    o_orderkey // 400 + CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey >= 1200 THEN 1 ELSE 0 END AS page_no, o_orderkey % 400 AS pos,
+    CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS offer_id FROM orders),
+ends AS (SELECT listing, min(page_no) AS stop FROM (SELECT DISTINCT listing, page_no + 1 AS page_no FROM raw
+    UNION SELECT DISTINCT listing, 0 FROM raw) p
+    WHERE NOT EXISTS (SELECT 1 FROM raw r WHERE r.listing = p.listing AND r.page_no = p.page_no) GROUP BY 1),
+v AS (SELECT raw.* FROM raw JOIN ends USING (listing) WHERE page_no < stop AND offer_id IS NOT NULL),
+kept AS (SELECT * FROM v WHERE page_no < 10 QUALIFY row_number() OVER (PARTITION BY listing ORDER BY page_no, pos) <= 500)
+"""
+
+
+def listing_rows(spark, sf):
+    """Orders as pages of 400 keys; one listing has an empty page in between."""
+    gap = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") >= 1200)
+    return table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("listing"),
+        (F.floor(F.col("o_orderkey") / 400) + gap.cast("long")).alias("page_no"),
+        (F.col("o_orderkey") % 400).alias("pos"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("offer_id"))
 
 
-@query("a6_paged_listing", """
-WITH v AS (SELECT o_orderpriority AS listing, o_orderkey // 400 AS page_no, o_orderkey % 400 AS pos,
-    o_orderkey AS offer_id FROM orders WHERE o_orderstatus <> 'P')
-SELECT listing, page_no, offer_id FROM v WHERE page_no < 10
-QUALIFY row_number() OVER (PARTITION BY listing ORDER BY page_no, pos) <= 500""")
+@query("a6_paged_listing", PAGES_SQL + "SELECT listing, page_no, offer_id FROM kept")
 def a6(spark, sf):
-    rows = table(spark, sf, "orders").select(
-        F.col("o_orderpriority").alias("listing"), F.floor(F.col("o_orderkey") / 400).alias("page_no"),
-        (F.col("o_orderkey") % 400).alias("pos"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("offer_id"))
-    return listings.paged_listing(rows).select("listing", "page_no", "offer_id")
+    return listings.paged_listing(listing_rows(spark, sf), LISTING_MAX_PAGES, LISTING_MAX_OFFERS).select(
+        "listing", "page_no", "offer_id")
+
+
+@query("a6_whole_listing", PAGES_SQL + "SELECT listing, page_no, offer_id FROM v")
+def a6_whole(spark, sf):
+    return listings.paged_listing(listing_rows(spark, sf)).select("listing", "page_no", "offer_id")
+
+
+@query("a6_listing_counters", PAGES_SQL + """
+SELECT listing, count(DISTINCT k.page_no) AS pages, count(k.offer_id) AS offers,
+  CASE WHEN count(k.offer_id) < count(*) THEN CASE WHEN count(k.offer_id) >= 500 THEN 'maxOffers' ELSE 'maxPages' END END AS truncated_by
+FROM v LEFT JOIN kept k USING (listing, page_no, pos) GROUP BY listing""")
+def a6_counters(spark, sf):
+    return listings.listing_counters(listing_rows(spark, sf), LISTING_MAX_PAGES, LISTING_MAX_OFFERS)
 
 
 @query("a7_since_bucket", """
@@ -60,10 +88,10 @@ def a16(spark, sf):
 
 
 @query("a17_i2_provider_sources", """
-SELECT s_suppkey AS id FROM supplier WHERE s_nationkey < 12 AND s_acctbal >= 0 ORDER BY id LIMIT 50""")
+SELECT s_suppkey AS id FROM supplier WHERE s_nationkey < 12 AND s_acctbal >= 0""")
 def a17(spark, sf):
     return table(spark, sf, "supplier").filter("s_nationkey < 12 AND s_acctbal >= 0").select(
-        F.col("s_suppkey").alias("id")).orderBy("id").limit(50)
+        F.col("s_suppkey").alias("id"))
 
 
 # --- provider payloads: documents written as JSON, then read with the declared schema ---
