@@ -17,9 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerlens.llm import common as c
+
 MAX_RATE = 8.0
 #: Beyond so many copies the chance of a draw at MAX_RATE is below 2**-52.
 MOST = 48
+SALTS = 64
 SEED = "mix-1"
 
 
@@ -30,7 +33,7 @@ def uniform(*parts):
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, other: float = 1.0) -> DataFrame:
-    """source, docs, rate: the mean number of copies so that the output is as large as the input."""
+    """source, rate: the mean number of copies so that the output is as large as the input."""
     counts = docs.groupBy(F.coalesce("source", F.lit("")).alias("__source")).agg(F.count("*").alias("__docs"))
     weight = F.lit(float(other))
     for name, value in (weights or {}).items():
@@ -38,7 +41,8 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, other: float
     counts = counts.withColumn("__weight", weight)
     total = counts.agg(F.sum("__docs").alias("__all"), F.sum("__weight").alias("__weights"))
     share = F.col("__weight") / F.col("__weights")
-    return counts.join(F.broadcast(total)).select("__source", "__docs", (share * F.col("__all") / F.col("__docs")).alias("__rate"))
+    # written, so that the optimizer knows its size: it is broadcast only below the session's threshold
+    return c.written(counts.join(F.broadcast(total)).select("__source", (share * F.col("__all") / F.col("__docs")).alias("__rate")))
 
 
 def poisson_copies(rate, at):
@@ -57,8 +61,10 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, other:
     docs = docs.drop("copy", "shuffle_key")
     ident = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
     rate = rates(docs, weights, other)
-    joined = docs.withColumn("__source", F.coalesce("source", F.lit(""))).withColumn("__ident", ident).join(
-        rate, "__source")
+    # with more sources than can be broadcast the join is a shuffle: a hot source is spread over its salts
+    salted = rate.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = docs.withColumn("__source", F.coalesce("source", F.lit(""))).withColumn("__ident", ident).withColumn(
+        "__salt", F.pmod(F.xxhash64("__ident"), F.lit(SALTS)).cast("int")).join(salted, ["__source", "__salt"])
     parts = F.greatest(F.lit(1), F.ceil(F.col("__rate") / MAX_RATE).cast("int"))
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("__parts")), F.lit(0),
