@@ -88,6 +88,11 @@ def in_feedback_window(ts: Column) -> Column:
     return (hour >= FEEDBACK_HOURS[0]) & (hour < FEEDBACK_HOURS[1])
 
 
+def ordered_plan(plan: DataFrame) -> DataFrame:
+    """Changes of all classes in one table, by class and company id."""
+    return plan.filter("state = 'changed'").orderBy("classification", "company_id")
+
+
 def change_plan(feedback: DataFrame, companies: DataFrame) -> DataFrame:
     """Feedback against stored resolutions with state and change class."""
     stored = companies.select(

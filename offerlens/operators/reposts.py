@@ -337,6 +337,11 @@ def canonical_offers(
             return _union(found), None
 
 
+def canonical_candidates(offers: DataFrame) -> DataFrame:
+    """Offers that are no reposts themselves: what arriving offers are compared with."""
+    return offers.filter("canonical_offer_id IS NULL")
+
+
 def fold_reposts(
     arrivals: DataFrame,
     stored: DataFrame | None = None,

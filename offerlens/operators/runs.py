@@ -42,6 +42,26 @@ def query_states(events: DataFrame) -> DataFrame:
         F.max_by("error", F.when(open_error, F.col("at"))).alias("last_error"))
 
 
+def merge_states(stored: DataFrame, events: DataFrame) -> DataFrame:
+    """Stored states after further events: the state of all events so far.
+
+    Failures start anew after a success among the new events, else they add
+    up; a stored error text stays until a success or a newer error.
+    """
+    names = ["status", "last_run_at", "last_success_at", "last_error_at", "failures", "last_error"]
+    new = query_states(events).select("query_key", F.struct(*names).alias("new"))
+    old = stored.select("query_key", F.struct(*names).alias("old"))
+    success = F.col("new.last_success_at").isNotNull()
+    latest = [F.coalesce(f"new.{c}", f"old.{c}").alias(c) for c in names[:4]]
+    zero = F.lit(0).cast("long")
+    return old.join(new, "query_key", "full_outer").select(
+        "query_key", *latest,
+        F.when(success, F.col("new.failures")).otherwise(
+            F.coalesce("old.failures", zero) + F.coalesce("new.failures", zero)).alias("failures"),
+        F.when(success, F.col("new.last_error")).otherwise(
+            F.coalesce("new.last_error", "old.last_error")).alias("last_error"))
+
+
 def failing_queries(states: DataFrame, k: int) -> DataFrame:
     return states.filter("failures > 0").orderBy(F.desc("failures"), "query_key").limit(k)
 

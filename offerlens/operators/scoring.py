@@ -58,6 +58,11 @@ def phrase_contributions(hits: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def with_description(offers: DataFrame) -> DataFrame:
+    """The offers that ingest scores; the others stay without a score."""
+    return offers.filter(F.coalesce(F.trim("description") != "", F.lit(False)))
+
+
 def score_offers(hits: DataFrame, offers: DataFrame, *keys: str) -> DataFrame:
     """One score row per offer, offers without a hit included.
 

@@ -14,18 +14,19 @@ def ingest_outcomes(offers: DataFrame, companies: DataFrame, existing: DataFrame
     repost_duplicate (with its canonical offer).
 
     ``offers``: offer_id (arrival order), provider, provider_offer_id,
-    provider_url, company_id, title, description, seen_at; one row per
-    (provider, provider_offer_id). ``existing`` holds the stored offers in the
-    layout the fold expects plus the two provider columns.
+    provider_url, company_id, title, description, seen_at. A later row of the
+    same (provider, provider_offer_id) in the batch updates the first one.
+    ``existing`` holds the stored offers in the layout the fold expects plus
+    the two provider columns.
     """
     gated = gate_offers(offers, companies)
     passed = gated.filter("outcome IS NULL").drop("outcome", "resolution")
     key = ["provider", "provider_offer_id"]
-    if existing is None:
-        fresh, updated = passed, passed.limit(0)
-    else:
-        fresh = passed.join(existing.select(*key), key, "left_anti")
-        updated = passed.join(existing.select(*key), key, "left_semi")
+    first = passed.groupBy(*key).agg(F.min("offer_id").alias("offer_id"))
+    if existing is not None:
+        first = first.join(existing.select(*key), key, "left_anti")
+    fresh = passed.join(first.select("offer_id"), "offer_id", "left_semi")
+    updated = passed.join(first.select("offer_id"), "offer_id", "left_anti")
     folded = fold_reposts(fresh, existing)
     none = F.lit(None).cast("long")
     parts = [

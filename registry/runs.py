@@ -87,3 +87,13 @@ SELECT user_id, event_id, event_type FROM events WHERE event_type IN ('error', '
 def i6(spark, sf):
     return table(spark, sf, "events").filter(F.col("event_type").isin("error", "view", "click")).orderBy(
         F.desc("ts"), F.desc("event_id")).select("user_id", "event_id", "event_type")
+
+
+@query("b16_b17_merged_states", STATE_SQL + "SELECT query_key, status, last_run_at, last_success_at, failures, last_error FROM states")
+def b16(spark, sf):
+    """The first part of the events is stored as states; the rest is merged in."""
+    events = state_events(spark, sf)
+    early = F.col("ts") < "2024-01-10"
+    stored = runs.query_states(events.filter(early))
+    return runs.merge_states(stored, events.filter(~early)).select(
+        "query_key", "status", "last_run_at", "last_success_at", "failures", "last_error")

@@ -99,3 +99,9 @@ SELECT to_resolution, count(*) AS changes FROM plan WHERE state = 'changed' GROU
 def f17(spark, sf):
     return plan(spark, sf).filter("state = 'changed'").groupBy("to_resolution").agg(
         F.count(F.lit(1)).alias("changes"))
+
+
+@query("i4_j4_ordered_plan", PLAN_SQL.rstrip() + """
+SELECT company_id, classification FROM plan WHERE state = 'changed' ORDER BY classification, company_id""")
+def i4(spark, sf):
+    return feedback.ordered_plan(plan(spark, sf)).select("company_id", "classification")
