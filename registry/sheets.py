@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from offerlens.constants import SHEET_HEADERS
 from offerlens.operators import feedback
+from offerlens.plans import feedback_apply
 from registry import query
 from registry.merges import RESOLUTION_SQL, resolved_companies
 from registry.views import table
@@ -105,3 +107,27 @@ def f17(spark, sf):
 SELECT company_id, classification FROM plan WHERE state = 'changed' ORDER BY classification, company_id""")
 def i4(spark, sf):
     return feedback.ordered_plan(plan(spark, sf)).select("company_id", "classification")
+
+
+@query("k7_b14_feedback_apply", PLAN_SQL.rstrip() + """,
+good AS (SELECT company_id, feedback, notes, row_index FROM parsed WHERE c10 IS NOT NULL AND company_id IS NOT NULL AND feedback IS NOT NULL),
+ok AS (SELECT count(*) AS n FROM parsed WHERE company_id IS NOT NULL AND resolution IS NOT NULL),
+c AS (SELECT * FROM plan WHERE state = 'changed')
+SELECT (SELECT count(*) FROM parsed) AS total, (SELECT count(*) FROM first_valid) AS valid,
+  (SELECT count(*) FROM parsed) - (SELECT n FROM ok) AS invalid, (SELECT n FROM ok) - (SELECT count(*) FROM first_valid) AS duplicate,
+  (SELECT count(*) FROM c) AS changed, (SELECT count(*) FROM plan WHERE state = 'unchanged') AS unchanged,
+  (SELECT count(*) FROM plan WHERE state = 'unknown') AS unknown, (SELECT count(*) FROM c WHERE classification = 'destructive') AS destructive,
+  (SELECT count(*) FROM c WHERE classification = 'reversal') AS reversal, (SELECT count(*) FROM c WHERE classification = 'informational') AS informational,
+  (SELECT count(*) FROM parsed WHERE c10 IS NOT NULL) AS attempted, (SELECT count(*) FROM good) AS persisted,
+  (SELECT count(*) FROM parsed WHERE c10 IS NOT NULL) - (SELECT count(*) FROM good) AS failed,
+  (SELECT count(*) FROM (SELECT company_id, feedback, notes FROM good EXCEPT SELECT company_id, feedback, notes FROM good WHERE row_index % 2 = 0)) AS inserted,
+  (SELECT count(*) FROM orders WHERE o_custkey IN (SELECT company_id FROM c WHERE classification = 'destructive')) AS offers_deleted""")
+def k7(spark, sf):
+    """Feedback of even rows is stored already."""
+    rows = sheet(spark, sf)
+    header = spark.range(1).select(F.lit("s").alias("sheet"), F.array(*[F.lit(h) for h in SHEET_HEADERS]).alias("cells"))
+    offers = table(spark, sf, "orders").select(F.col("o_orderkey").alias("offer_id"), F.col("o_custkey").alias("company_id"))
+    known = feedback.read_model_feedback(rows).filter("is_valid AND row_index % 2 = 0").select("company_id", "feedback", "notes")
+    applied = feedback_apply.apply_sheet(
+        rows, header, resolved_companies(spark, sf), offers, offers.select("offer_id"), known, F.lit("2024-01-10 03:30:00").cast("timestamp"))
+    return applied.counters
