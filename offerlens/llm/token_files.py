@@ -14,8 +14,8 @@ columns are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,48 +24,87 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerlens.llm import common as c
+from offerlens.llm.bpe import byte_characters
 
 ROW_STRIDE = 1000
-KNOWN_WORDS = 300_000
+SLICE = 3 << 20
+KNOWN_WORDS = 600_000
+#: ASCII marks: a run of them after a letter is a piece of its own.
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+MARK = np.isin(np.arange(256), list(MARKS))
+#: Letters below are composed and have one lower-case form for both Python and the library.
+LATIN_END = "\u0250"
 STORED = "doc_id long, file int, before long, n_tokens long, ids array<int>"
 
-#: White space for Python that the vocabulary's pattern may see otherwise; such texts are split at ASCII white space only.
-ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """The tokenizers library, with the ids of words seen before.
 
     The vocabulary drops white space and none of its rules reach across it, so the ids of a text are
-    those of its words.
+    those of its words. A word of lower-cased Latin letters is left alone by the normaliser and is one piece
+    for the pre-tokeniser, so it goes to the library's BPE model at once; all other words go through the
+    whole tokenizer.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list(words)
-        for k in range(0, len(new), 4096):
-            part = new[k: k + 4096]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, np.int32).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        words = ASCII_SPACE.split(text) if ODD.search(text) else text.split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.known.__getitem__, words))
+        self.model = self.tokenizer.model
+        self.characters = {b: ch for ch, b in byte_characters().items()}
+
+    def __missing__(self, key: bytes) -> bytes:
+        word = key.decode()
+        low = word.lower()
+        if low.isalpha() and max(low) < LATIN_END:
+            mapped = low if low.isascii() else low.encode().decode("latin-1").translate(self.characters)
+            ids = array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        else:
+            core = key.rstrip(MARKS)
+            if b"<|" not in key and len(core) < len(key) and core.decode()[-1:].isalpha():
+                ids = self[core] + self[key[len(core):]]
+            else:
+                ids = array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(key) <= 64:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[key] = ids
+        return ids
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a slice, and how many each row has.
+
+        Every distinct word of the slice is looked up once. The run of marks after an ASCII letter is a word of
+        its own, and upper-case ASCII letters are lower-case ones, but for slices with special tokens.
+        """
+        n = len(offsets) - 1
+        start, end, row = c.word_spans(data, offsets)
+        if not len(start):
+            return np.zeros(0, np.int32), np.zeros(n, np.int64)
+        raw = data.tobytes()
+        fold = c.IDENTITY if b"<|" in raw else c.LOWER
+        stop = np.maximum.accumulate(np.where(MARK[data], -1, np.arange(len(data))))[end - 1] + 1
+        tail = (stop < end) & (stop > start) & LETTER[data[np.maximum(stop - 1, 0)]] & (fold is c.LOWER)
+        stop = np.where(tail, stop, end)
+        place = np.arange(len(start)) + np.cumsum(tail) - tail
+        first, last, at = (np.empty(len(start) + int(tail.sum()), np.int64) for _ in range(3))
+        first[place], last[place], at[place] = start, stop, row
+        marks = place[tail] + 1
+        first[marks], last[marks], at[marks] = stop[tail], end[tail], row[tail]
+        _, one, number = np.unique(c.span_hash(c.prefix_hash(data, fold), first, last), return_index=True, return_inverse=True)
+        if fold is c.LOWER:
+            raw = c.LOWER[data].tobytes()
+        found = [self[raw[x:y]] for x, y in zip(first[one].tolist(), last[one].tolist())]
+        size = np.array([len(x) for x in found]) // 4
+        table, begin = np.frombuffer(b"".join(found), np.int32), np.cumsum(size) - size
+        many = size[number]
+        return table[np.repeat(begin[number] - (np.cumsum(many) - many), many) + np.arange(many.sum())], np.bincount(at, many, n).astype(np.int64)
 
 
 _encoders: dict[int, WordEncoder] = {}
@@ -75,7 +114,6 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, path: str, end_id: int =
     """Encode whole texts and write them below ``path`` in ascending doc_id order."""
     with open(vocabulary_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    end = np.array([end_id], np.int32).tobytes()
 
     def run(batches):
         import os
@@ -87,29 +125,19 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, path: str, end_id: int =
         encoder = _encoders[key]
         number, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids, at, parts, counts, starts = batch.column("doc_id"), 0, [], [], []
-
-            def packed(first, ids=ids):
-                values = pa.Array.from_buffers(pa.int32(), sum(counts), [None, pa.py_buffer(b"".join(parts))])
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            for first, data, offsets in c.text_slices(batch.column("text"), SLICE):
+                ids, counts = encoder.encode(data, offsets)
                 n = len(counts)
-                return pa.RecordBatch.from_arrays(
-                    [ids.slice(first, n), pa.array(np.full(n, number, np.int32)), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)],
+                # each row's ids, then the end id
+                out = np.full(len(ids) + n, end_id, np.int32)
+                out[np.arange(len(ids)) + np.repeat(np.arange(n), counts)] = ids
+                counts += 1
+                bounds = np.concatenate([[0], np.cumsum(counts)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(first, n), pa.array(np.full(n, number, np.int32)), pa.array(before + bounds[:-1]), pa.array(counts),
+                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(out))],
                     ["doc_id", "file", "before", "n_tokens", "ids"])
-
-            size = 0
-            for k, text in enumerate(batch.column("text")):
-                got = encoder.encode(text.as_py() or "") + end
-                parts.append(got)
-                counts.append(len(got) // 4)
-                starts.append(before)
-                before += len(got) // 4
-                size += len(got)
-                if size > 4 << 20:
-                    yield packed(at)
-                    at, parts, counts, starts, size = k + 1, [], [], [], 0
-            if counts:
-                yield packed(at)
+                before += int(bounds[-1])
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = picked.repartitionByRange(files, "doc_id") if files else picked.repartitionByRange("doc_id")

@@ -18,7 +18,7 @@ encoder = bpe.Encoder(bpe.Vocabulary(open(BYTE).read()))
 words = token_files.WordEncoder(open(WORD).read())
 TEXT = st.text(st.one_of(st.sampled_from("ab 'strelmvd\n\t\r\x0b\x0c\x1c\x85\xa0 　́éÉΣς12²ß漢\U0001f600<|>!.-="), st.characters(exclude_categories=["Cs", "Cn"])))
 EDGE = [" " * 300, "a" * 1000, "=" * 700 + "-" * 300, "ab" * 500, "I'll we've 'tis 's's", "x  y   \n\n z \n", "<|endoftext|>a <|endoftext|><|endoftext|",
-        "<|startoftext|> b<|endoftext|>", "\xa0" * 200, "é́ ́", "don'T DON'T ΑΣ ΟΔΟΣ", "the " * 40_000, "\x1c\x1d a\x85b"]
+        "<|startoftext|> b<|endoftext|>", "<|ENDOFTEXT|> A.b, C.; é. É! x?!", "\xa0" * 200, "é́ ́", "don'T DON'T ΑΣ ΟΔΟΣ", "the " * 40_000, "\x1c\x1d a\x85b"]
 
 
 def all_ids(text):
@@ -29,8 +29,11 @@ def same(text):
     want = byte_tokenizer.encode(text, add_special_tokens=False).ids
     assert all_ids(text) == want
     assert "".join(bpe.decode(encoder.vocabulary, encoder.encode(text))) == byte_tokenizer.decode(want, skip_special_tokens=False)
-    got = np.frombuffer(words.encode(text), np.int32).tolist()
-    assert got == word_tokenizer.encode(text, add_special_tokens=False).ids
+    data = np.frombuffer((text + text).encode(), np.uint8)
+    half = len(data) // 2
+    got, counts = words.encode(data, np.array([0, half, half, 2 * half]))
+    want = word_tokenizer.encode(text, add_special_tokens=False).ids
+    assert got.tolist() == want + want and counts.tolist() == [len(want), 0, len(want)]
 
 
 def test_edges():
