@@ -34,6 +34,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, lon
         rows = fit.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(per_class).select("text").toArrow()
         texts += rows.column("text").to_pylist()
         ys += [y] * rows.num_rows
+    del rows
+    c.release(docs.sparkSession)  # the driver trains next
     return texts, ys
 
 

@@ -31,6 +31,7 @@ GRAMS = (3, 4, 5, 6)
 DIM = 4
 PASSAGE, STRIDE, LEAST_GRAMS = 48, 24, 500
 TOXIC_AT = 0.7
+BATCH = 128
 
 
 def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +90,7 @@ class Indexed:
     def __init__(self, texts: list[str]):
         numbers: dict[int, int] = {}
         rows, words, grams, sizes, at = [], [], [], [], 0
-        for _, data, offsets in c.text_slices(pa.array(texts, pa.large_string())):
+        for _, data, offsets in c.text_slices(pa.array(texts, pa.large_string()), 1 << 18):
             row, number, start, end = distinct_words(data, offsets)
             hashes = c.span_hash(c.prefix_hash(data, c.LOWER), start, end).tolist()
             fresh = np.array([h not in numbers for h in hashes], bool)
@@ -112,7 +113,7 @@ class Indexed:
         """Mean weight of the n-grams of each passage."""
         if not len(self.word):
             return np.zeros(0)
-        total, grams = np.add.reduceat(z[self.gram], self.at[:-1]), np.diff(self.at)
+        total, grams = np.add.reduceat(z.astype(np.float32)[self.gram], self.at[:-1]), np.diff(self.at)
         sums, counts = (np.concatenate([[0], np.cumsum(x[self.word])]) for x in (total, grams))
         return (sums[self.stop] - sums[self.first]) / np.maximum(LEAST_GRAMS, counts[self.stop] - counts[self.first])
 
@@ -137,7 +138,7 @@ def spread_out(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
 
 
-def fit_weights(data: Indexed, labels: np.ndarray, epochs: int = 20, rate: float = 1.0, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit_weights(data: Indexed, labels: np.ndarray, updates: int = 1200, rate: float = 1.0, seed: int = 7) -> tuple[np.ndarray, float]:
     """Embeddings times the difference of the two softmax rows, and the difference of their biases."""
     y = labels.astype(np.float64)
     if not len(y) or y.min() == y.max():
@@ -151,6 +152,7 @@ def fit_weights(data: Indexed, labels: np.ndarray, epochs: int = 20, rate: float
     soft, bias = rng.normal(0, 0.3, (DIM, 2)), np.zeros(2)
     speed_e, speed_s, speed_b = np.zeros_like(emb), np.zeros_like(soft), np.zeros(2)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    epochs = max(20, -(-updates * BATCH // max(1, len(rows))))
     for epoch in range(epochs):
         if epoch < epochs // 4:
             pick = lead[rows] + rng.integers(0, share[rows])
@@ -159,8 +161,8 @@ def fit_weights(data: Indexed, labels: np.ndarray, epochs: int = 20, rate: float
             pick = order[lead[rows + 1] - 1]  # the passage with the highest score of each document
         step = rate * (1 - 0.9 * epoch / epochs)
         shuffled = rng.permutation(len(rows))
-        for k in range(0, len(rows), 128):
-            batch = shuffled[k: k + 128]
+        for k in range(0, len(rows), BATCH):
+            batch = shuffled[k: k + BATCH]
             chosen = pick[batch]
             tokens = data.stop[chosen] - data.first[chosen]
             token = data.word[spread_out(data.first[chosen], tokens)]
@@ -206,7 +208,7 @@ def best_logits(z: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return best
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 3000, longest: int = 50_000) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, longest: int = 50_000) -> DataFrame:
     """All columns of ``docs``, and ``score`` (replacing a column of that name)."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(train(*sampling.labelled(docs, labels, label, per_class, longest)))
