@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -46,6 +47,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Free shuffle files of tables that nothing refers to any more.
+
+    Spark removes them when the driver collects its garbage, which a driver with little to do may not do
+    for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
