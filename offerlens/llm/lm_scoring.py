@@ -1,8 +1,10 @@
 """LM scoring: prediction by partial matching, trained on the corpus, next to a smoothed unigram base.
 
-Training counts every word and every byte n-gram of the training texts. N-grams are counted in numpy per task, sent as
-sorted runs to shards that are dealt by a hash of the symbol and its two nearest context bytes, and cut at a
-share of the corpus (``ppm.RARE``), which bounds the trie that is broadcast. Words are counted by an ordinary
+Training counts every word and every byte n-gram of the training texts and keeps them all. N-grams are counted in numpy per
+task and sent as sorted runs to shards that are dealt by a hash of the ``ppm.NEAR`` nearest context bytes; their number grows with
+the input. A shard is a trie of its own above the orders that all shards need, which are broadcast. The code lengths of the
+n-grams that make up at least one in ``SHARED`` of the training bytes, so at most ``SHARED`` of them, are broadcast, too; all other places
+of the texts, known or not, are sent to the shard of their context and scored there. Words are counted by an ordinary
 aggregate. The words that make up at least one in ``FREQUENT`` of all tokens, so at most ``FREQUENT`` of them, are broadcast;
 the others meet their counts in a join on the word, spread over as many keys as there are rare words.
 
@@ -26,11 +28,14 @@ from offerlens.llm import ppm
 
 FOLDS, HELD_OUT = 10, 0
 FREQUENT = 1 << 17
-SHARDS = 64
+SHARED = 1 << 21
+SHARDS, SHARD_BYTES = 16, 16 << 20
+LOW_PARTS = 16
 SOME = 3_000_000
+MISSES = 500_000
 HELD_WORDS = 400_000
 GATHERED = "word binary, n long, shard int, keys binary, counts binary"
-EMPTY = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+WIDTH = ppm.ORDER + 1
 
 
 def held_out(column: str = "doc_id"):
@@ -44,8 +49,22 @@ def vocabulary(data, start, end):
     return number, [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
 
 
-def _gather(batches):
-    """Word counts, and runs of n-grams by shard, of a task's texts."""
+def shards_of(texts: DataFrame) -> int:
+    """As many shards as keep one shard's n-grams about as many at any size of the input."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(SHARDS, -(-size // SHARD_BYTES))
+
+
+def _gather(shards: int):
+    """Word counts, and runs of n-grams by shard, of a task's texts; runs of order NEAR - 1 have negative shards."""
+
+    def run(batches):
+        yield from _gathered(batches, shards)
+
+    return run
+
+
+def _gathered(batches, shards: int):
     words, keys, counts, held = Counter(), [], [], 0
 
     def word_rows():
@@ -58,13 +77,13 @@ def _gather(batches):
 
     def gram_rows():
         key, count = ppm.merged(keys, counts)
-        shard = shard_of(key)
-        order = np.argsort(shard, kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(SHARDS + 1))
-        parts = [order[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        low, n_low = ppm.shorter(key, count, ppm.NEAR - 1)
+        out = [runs_by(shard_of(key, shards), shards, key, count), runs_by((c.mix(low) % np.uint64(LOW_PARTS)).astype(np.int64), LOW_PARTS, low, n_low)]
+        shard = [*(x[0] for x in out[0]), *(-1 - x[0] for x in out[1])]
+        rows = out[0] + out[1]
         return pa.RecordBatch.from_arrays(
-            [pa.nulls(SHARDS, pa.binary()), pa.array([int(count[p].sum()) for p in parts], pa.int64()), pa.array(range(SHARDS), pa.int32()),
-             pa.array([key[p].tobytes() for p in parts], pa.binary()), pa.array([count[p].astype(np.uint32).tobytes() for p in parts], pa.binary())],
+            [pa.nulls(len(rows), pa.binary()), pa.array([x[1] for x in rows], pa.int64()), pa.array(shard, pa.int32()),
+             pa.array([x[2] for x in rows], pa.binary()), pa.array([x[3] for x in rows], pa.binary())],
             ["word", "n", "shard", "keys", "counts"])
 
     for batch in batches:
@@ -94,60 +113,122 @@ def _gather(batches):
         yield word_rows()
 
 
-def shard_of(keys: np.ndarray) -> np.ndarray:
-    return (c.mix(keys >> np.uint64(8 * (ppm.ORDER - 2))) % np.uint64(SHARDS)).astype(np.int32)
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    near = (keys >> np.uint64(8 * (ppm.ORDER - ppm.NEAR))) & np.uint64((1 << 8 * ppm.NEAR) - 1)
+    return (c.mix(near) % np.uint64(shards)).astype(np.int64)
+
 
+def runs_by(part: np.ndarray, parts: int, key: np.ndarray, count: np.ndarray) -> list[tuple]:
+    """(part, sum of counts, keys, counts) of each part that has any."""
+    order = np.argsort(part, kind="stable")
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    at = [(k, order[a:b]) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
+    return [(k, int(count[p].sum()), ppm.packed(key[p], WIDTH), ppm.packed(count[p], 5)) for k, p in at]
 
-def _trie_rows(least: float):
-    """Merge each shard's runs and keep, for every order, the n-grams that are frequent enough."""
+
+def _by_shard(batches, finish):
+    """Merge the runs of one shard after the other; rows come sorted by shard."""
+    at, ks, cs = None, [], []
+    for batch in batches:
+        for shard, keys, counts in zip(*(batch.column(k) for k in ("shard", "keys", "counts"))):
+            if shard.as_py() != at:
+                if ks:
+                    yield finish(at, *ppm.merged(ks, cs))
+                at, ks, cs = shard.as_py(), [], []
+            ks.append(ppm.unpacked(keys.as_py(), WIDTH))
+            cs.append(ppm.unpacked(counts.as_py(), 5).astype(np.int64))
+            if sum(map(len, ks[1:])) > max(1 << 20, len(ks[0])):
+                merged = ppm.merged(ks, cs)
+                ks[:], cs[:] = [merged[0]], [merged[1]]
+    if ks:
+        yield finish(at, *ppm.merged(ks, cs))
+
+
+def _low_rows(batches):
+    return _by_shard(batches, lambda at, key, count: pa.RecordBatch.from_arrays(
+        [pa.array([key.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary())], ["keys", "counts"]))
+
+
+class Low:
+    """The orders below NEAR, which every shard needs."""
+
+    def __init__(self, key: np.ndarray, count: np.ndarray, symbols: int):
+        self.symbols, self.least = symbols, max(1.0, symbols / ppm.RARE)
+        levels = [ppm.runs(key >> np.uint64(8 * (ppm.NEAR - 1 - k)), count) for k in range(ppm.NEAR)]
+        self.levels = [(k[n >= self.least], n[n >= self.least]) for k, n in levels]
+        self.trie = None
+
+    def shard(self, key: np.ndarray, count: np.ndarray) -> ppm.Trie:
+        """The trie of one shard from all of its n-grams of order ORDER."""
+        if self.trie is None:
+            self.trie = ppm.Trie(self.levels, self.symbols)
+        levels, occurs = list(self.levels), {}
+        for k in range(ppm.NEAR, WIDTH):
+            some, n = ppm.shorter(key, count, k)
+            if k > ppm.NEAR:
+                occurs[k] = ppm.occurrences(some, n, k)
+            levels.append((some[n >= self.least], n[n >= self.least]))
+        return ppm.Trie(levels, self.symbols, occurs, self.trie)
+
+
+def train_low(grams: DataFrame, symbols: int) -> Low:
+    """At most 256 n-grams to the power of NEAR, whatever the input."""
+    dealt = grams.filter("shard < 0").select("shard", "keys", "counts").repartition(LOW_PARTS, "shard").sortWithinPartitions("shard")
+    rows = c.map_batches(dealt, _low_rows, "keys binary, counts binary").toArrow()
+    key, count = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_py(), t) for x in rows.column(name))]) for name, t in (("keys", np.uint64), ("counts", np.int64)))
+    order = np.argsort(key)
+    return Low(key[order], count[order], symbols)
+
+
+def _model_rows(low, share: int):
+    """One row per shard: all its n-grams with their counts, and the code lengths of the frequent ones."""
 
     def run(batches):
-        held: dict[int, tuple[list, list]] = {}
-        for batch in batches:
-            for shard, keys, counts in zip(*(batch.column(k) for k in ("shard", "keys", "counts"))):
-                ks, cs = held.setdefault(shard.as_py(), ([], []))
-                ks.append(np.frombuffer(keys.as_py(), np.uint64))
-                cs.append(np.frombuffer(counts.as_py(), np.uint32).astype(np.int64))
-                if sum(map(len, ks[1:])) > max(1 << 20, len(ks[0])):
-                    merged = ppm.merged(ks, cs)
-                    ks[:], cs[:] = [merged[0]], [merged[1]]
-        for ks, cs in held.values():
-            key, count = ppm.merged(ks, cs)
-            for k in range(1, ppm.ORDER + 1):
-                some, n = ppm.shorter(key, count, k)
-                # a shard has all of an n-gram of two context bytes or more, and a part of a shorter one
-                keep = n >= (least if k > 1 else 1)
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([some[keep].tobytes()], pa.binary()), pa.array([n[keep].tobytes()], pa.binary())], ["k", "keys", "counts"])
+        model = low.value
+
+        def finish(at, key, count):
+            top = key[count * share >= model.symbols]
+            logs = model.shard(key, count).code_lengths(top) if len(top) else np.zeros(0)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([at], pa.int32()), *(pa.array([x], pa.binary()) for x in (ppm.packed(key, WIDTH), ppm.packed(count, 5), top.tobytes(), logs.tobytes()))],
+                ["shard", "keys", "counts", "top", "logs"])
+
+        yield from _by_shard(batches, finish)
 
     return run
 
 
-def train_trie(grams: DataFrame, symbols: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The trie's levels; their size is bounded by RARE n-grams an order."""
-    least = max(1.0, symbols / ppm.RARE)
-    dealt = grams.select("shard", "keys", "counts").repartition(SHARDS, "shard")
-    rows = c.map_batches(dealt, _trie_rows(least), "k int, keys binary, counts binary").toArrow()
-    levels = [[] for _ in range(ppm.ORDER + 1)]
-    for k, keys, counts in zip(*(rows.column(x) for x in ("k", "keys", "counts"))):
-        levels[k.as_py()].append((np.frombuffer(keys.as_py(), np.uint64), np.frombuffer(counts.as_py(), np.int64)))
-    out = [ppm.merged(*map(list, zip(*x))) if x else EMPTY for x in levels]
-    out[0] = ppm.runs(out[1][0] >> np.uint64(8), out[1][1])
-    return [(k[n >= least], n[n >= least]) for k, n in out]
+_indexes: dict[str, tuple] = {}
 
+SCORED = ("doc_id long, row long, n_tokens long, log_sum double, known long, score double, rare array<struct<word:binary,n:int>>, "
+          "shard int, keys binary, owners binary")
+FIELDS = [x.split()[0] for x in SCORED.split(", ")]
 
-_tries: dict[str, ppm.Trie] = {}
 
-SCORED = "doc_id long, n_tokens long, log_sum double, known long, score double, rare array<struct<word:binary,n:int>>"
+def _misses(keys: list, owners: list, shards: int) -> pa.RecordBatch:
+    """Places that the broadcast n-grams do not cover, by shard."""
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    part = shard_of(key, shards)
+    order = np.lexsort((key, part))
+    bounds = np.searchsorted(part[order], np.arange(shards + 1))
+    at = [(k, order[a:b]) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
+    n = len(at)
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()),
+         pa.nulls(n, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))), pa.array([k for k, _ in at], pa.int32()),
+         pa.array([ppm.packed(key[p], WIDTH) for _, p in at], pa.binary()), pa.array([ppm.packed(owner[p], 8) for _, p in at], pa.binary())], FIELDS)
 
 
-def _score(model, token: str):
+def _score(model, token: str, shards: int):
     def run(batches):
-        levels, symbols, frequent = model.value
-        if token not in _tries:
-            _tries.clear()
-            _tries[token] = ppm.Trie(levels, symbols)
-        trie = _tries[token]
+        top, logs, frequent = model.value
+        if token not in _indexes:
+            _indexes.clear()
+            _indexes[token] = ppm.Index(top)
+        index = _indexes[token]
+        keys, owners, held = [], [], 0
         for batch in batches:
+            place = batch.column("row").to_numpy()
             for first, data, offsets in c.text_slices(batch.column("text")):
                 n = len(offsets) - 1
                 start, end, row = c.word_spans(data, offsets)
@@ -156,7 +237,7 @@ def _score(model, token: str):
                 count = known[number]
                 tokens = np.bincount(row, minlength=n) + 1
                 ends = frequent.get(b"", 0)
-                logs = np.bincount(row, np.where(count > 0, np.log10(count + 0.1), 0), n) + np.log10(ends + 0.1)
+                word_logs = np.bincount(row, np.where(count > 0, np.log10(count + 0.1), 0), n) + np.log10(ends + 0.1)
                 sure = np.bincount(row, count > 0, n).astype(np.int64) + (ends > 0)
                 rest = np.flatnonzero(count == 0)
                 pair, times = np.unique(row[rest] * len(distinct) + number[rest], return_counts=True)
@@ -165,10 +246,42 @@ def _score(model, token: str):
                     pa.array(np.searchsorted(at, np.arange(n + 1)).astype(np.int32)),
                     pa.StructArray.from_arrays([pa.array([distinct[w] for w in word.tolist()], pa.binary()), pa.array(times.astype(np.int32))], ["word", "n"]))
                 key, owner = ppm.ngrams(*ppm.canonical(data, start, end, row, n))
-                score = np.bincount(owner, trie.code_lengths(key), n)
+                found = index.find(key)
+                hit = found >= 0
+                score = np.bincount(owner[hit], logs[found[hit]], n).astype(np.float64)
+                keys.append(key[~hit])
+                owners.append(place[first + owner[~hit]])
+                held += len(keys[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, n), pa.array(tokens.astype(np.int64)), pa.array(logs), pa.array(sure), pa.array(score), rare],
-                    ["doc_id", "n_tokens", "log_sum", "known", "score", "rare"])
+                    [batch.column("doc_id").slice(first, n), batch.column("row").slice(first, n), pa.array(tokens.astype(np.int64)), pa.array(word_logs), pa.array(sure), pa.array(score), rare,
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], FIELDS)
+                if held > MISSES:
+                    yield _misses(keys, owners, shards)
+                    keys, owners, held = [], [], 0
+        if held:
+            yield _misses(keys, owners, shards)
+
+    return run
+
+
+def _score_misses(low):
+    """Score the places sent to each shard; its model row comes first."""
+
+    def run(batches):
+        model, at, trie = low.value, None, None
+        for batch in batches:
+            for shard, counts, keys, owners in zip(*(batch.column(k) for k in ("shard", "counts", "keys", "owners"))):
+                key = ppm.unpacked(keys.as_py(), WIDTH)
+                if shard.as_py() != at:
+                    at, trie = shard.as_py(), None
+                if counts.is_valid:
+                    trie = model.shard(key, ppm.unpacked(counts.as_py(), 5).astype(np.int64))
+                    continue
+                if trie is None:  # no training text has a context of this shard
+                    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                    trie = model.shard(*none)
+                row, which = np.unique(ppm.unpacked(owners.as_py(), 8).astype(np.int64), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.bincount(which, trie.code_lengths(key), len(row)))], ["row", "score"])
 
     return run
 
@@ -177,23 +290,37 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    gathered = c.written(c.map_batches(texts.filter(~held_out()).select("text"), _gather, GATHERED))
+    shards = shards_of(texts)
+    gathered = c.written(c.map_batches(texts.filter(~held_out()).select("text"), _gather(shards), GATHERED))
     counts = c.written(gathered.filter("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")))
     grams = gathered.filter("shard IS NOT NULL")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    symbols = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    levels = train_trie(grams, symbols)
+    symbols = grams.filter("shard >= 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    low = spark.sparkContext.broadcast(train_low(grams, symbols))
+    dealt = grams.filter("shard >= 0").select("shard", "keys", "counts").repartition(shards, "shard").sortWithinPartitions("shard")
+    tries = c.written(c.map_batches(dealt, _model_rows(low, SHARED), "shard int, keys binary, counts binary, top binary, logs binary"))
+    # at most SHARED n-grams have this share of all training bytes
+    best = tries.select("top", "logs").toArrow()
+    shared, logs = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_py(), t) for x in best.column(name))]) for name, t in (("top", np.uint64), ("logs", np.float64)))
     # at most FREQUENT words have this share of all tokens
     top = counts.filter((F.col("c") * FREQUENT >= total) | (F.col("word") == F.lit(bytearray()))).toArrow()
     frequent = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
-    model = spark.sparkContext.broadcast((levels, symbols, frequent))
+    model = spark.sparkContext.broadcast((shared, logs, frequent))
     token = str(id(model)) + c.shared_folder(spark)
-    scored = c.written(c.map_batches(texts, _score(model, token), SCORED).withColumn("row", F.monotonically_increasing_id()))
+    numbered = texts.withColumn("row", F.monotonically_increasing_id())
+    both = c.written(c.map_batches(numbered, _score(model, token, shards), SCORED))
+    scored = both.filter("shard IS NULL").drop("shard", "keys", "owners")
+    sent = tries.select("shard", "counts", "keys", F.lit(None).cast("binary").alias("owners")).union(
+        both.filter("shard IS NOT NULL").select("shard", F.lit(None).cast("binary"), "keys", "owners"))
+    sent = sent.repartition(shards, "shard").sortWithinPartitions("shard", F.col("counts").isNull())
+    places = c.map_batches(sent, _score_misses(low), "row long, score double").select(
+        "row", F.lit(0.0).alias("log_sum"), F.lit(0).cast("long").alias("known"), F.col("score").alias("gram_score"))
     rare = scored.select("row", F.inline("rare")).join(counts, "word", "left").select(
-        "row", (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("log_sum"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).cast("long").alias("known"))
-    extra = rare.groupBy("row").agg(F.sum("log_sum").alias("rare_sum"), F.sum("known").alias("rare_known"))
+        "row", (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("log_sum"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).cast("long").alias("known"),
+        F.lit(0.0).alias("gram_score"))
+    extra = places.union(rare).groupBy("row").agg(F.sum("log_sum").alias("rare_sum"), F.sum("known").alias("rare_known"), F.sum("gram_score").alias("rare_score"))
     mass = np.log10(total + 0.1 * (distinct + 1))
     base = F.col("log_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(mass))
     return scored.drop("rare").join(extra, "row", "left").select(
         "doc_id", held_out().alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"))

@@ -4,10 +4,13 @@ A text is its words, lower-cased (A-Z), one space between them and an end symbol
 byte is the symbol and whose next bytes are the context, nearest byte first: dropping the low byte drops
 the farthest context byte, so in sorted order every shorter n-gram is a run and one sort counts all orders.
 
-The trie holds the n-grams that make up at least ``1 / RARE`` of the training bytes of the corpus. That share, not
-the corpus, bounds it: at most ``RARE`` n-grams of each order. A context's continuations that are not
+The trie holds every n-gram of the training texts, whatever their size. A finite ``RARE`` is a limit that a caller may
+set: n-grams of less than ``1 / RARE`` of the training bytes go, and a context's continuations that are not
 in the trie are part of its escape estimate, so the code stays a probability distribution.
 
+A trie can be cut into shards by the ``NEAR`` nearest context bytes: the lower orders are in all of them, and all
+n-grams that follow or shorten a context down to ``NEAR`` bytes are in its shard.
+
 Coding a symbol starts at the longest known context. A context codes its symbols by their counts; its escape weight is
 the count of what the trie does not hold plus half a count for each symbol it holds. After an escape the
 symbols of the longer context are excluded from the shorter one. Below the empty context all 256 values left
@@ -21,7 +24,8 @@ import numpy as np
 from offerlens.llm import common as c
 
 ORDER = 5
-RARE = 1 << 22
+NEAR = 3
+RARE = float("inf")
 STOP = 10
 
 
@@ -80,6 +84,26 @@ def shorter(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarra
     return runs(keys >> np.uint64(8 * (ORDER - order)), counts)
 
 
+def packed(numbers: np.ndarray, width: int) -> bytes:
+    """The ``width`` low bytes of sorted numbers byte place by byte place, so that equal high bytes compress."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpacked(raw: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def occurrences(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each context of ``order`` bytes was followed by something; none for contexts before the start of a text."""
+    context = keys & np.uint64((1 << 8 * order) - 1)
+    node, which = np.unique(context, return_inverse=True)
+    inside = (node >> np.uint64(8 * max(0, order - 1))) != STOP if order else np.ones(len(node), bool)
+    return node[inside], np.bincount(which, counts, len(node)).astype(np.int64)[inside]
+
+
 class Index:
     """Numbers of known keys by open addressing, looked up for whole arrays."""
 
@@ -114,6 +138,19 @@ class Index:
         return out
 
 
+class Sorted:
+    """The same for sorted keys by binary search, without a table of their own."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+
 def _counts_of(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Counts of sorted keys, 0 for others (contexts that reach before the start of a text)."""
     if not len(keys):
@@ -125,13 +162,17 @@ def _counts_of(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.n
 class Trie:
     """``levels``: sorted keys and counts of each order, 0 to ORDER, closed under dropping context bytes.
 
-    ``total`` is the number of symbols that were counted, those of n-grams outside the trie included.
+    ``total`` is the number of symbols that were counted, those of n-grams outside the trie included. A shard has
+    ``occurs``: for the orders above NEAR the occurrences of its contexts, which other shards hold as n-grams. ``base`` is a
+    trie of the first levels, which are then not built again.
     """
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], total: int):
-        self.entries, self.nodes = [], []
-        above = None
-        for k, (keys, counts) in enumerate(levels):
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], total: int, occurs: dict | None = None, base: Trie | None = None):
+        self.entries, self.nodes = (list(base.entries), list(base.nodes)) if base else ([], [])
+        above = base.above if base else None
+        find = Sorted if base else Index
+        for k in range(len(self.entries), len(levels)):
+            keys, counts = levels[k]
             counts = counts.astype(np.float64)
             context = keys & np.uint64((1 << 8 * k) - 1)
             node, which = np.unique(context, return_inverse=True)
@@ -139,6 +180,8 @@ class Trie:
             symbols = np.bincount(which, minlength=len(node)).astype(np.float64)
             # a context was followed by something as often as it occurred, but at the ends of texts
             full = np.maximum(kept, total if k == 0 else _counts_of(*levels[k - 1], node))
+            if occurs and k in occurs:
+                full = np.maximum(full, _counts_of(*occurs[k], node))
             missing = full - kept
             escape = missing + symbols / 2
             direct = np.log10(counts) - np.log10(kept + escape)[which]
@@ -154,15 +197,16 @@ class Trie:
                 parent = np.searchsorted(up_node, node >> np.uint64(8))
                 left = np.maximum(up_kept[parent] - seen, 0)
                 weight = up_missing[parent] + (up_symbols[parent] - symbols) / 2
-                total = left + weight
-                safe = total > 0
-                log_den = np.where(safe, np.log10(np.where(safe, total, 1)), 0)
+                rest = left + weight
+                safe = rest > 0
+                log_den = np.where(safe, np.log10(np.where(safe, rest, 1)), 0)
                 # nothing left to code in the shorter context: the escape is certain
                 step = np.where(safe & (left > 0), np.log10(np.where(weight > 0, weight, 1)) - log_den, 0)
                 chain = up_chain[parent] + step
-            self.entries.append((Index(keys), direct, np.log10(counts)))
-            self.nodes.append((Index(node), leave + chain, -log_den - chain))
+            self.entries.append((find(keys), direct, np.log10(counts)))
+            self.nodes.append((find(node), leave + chain, -log_den - chain))
             above = (node, kept, symbols, missing, chain)
+        self.above = above
 
     def code_lengths(self, keys: np.ndarray) -> np.ndarray:
         """log10 of the probability of each symbol after its context."""

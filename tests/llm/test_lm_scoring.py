@@ -101,3 +101,19 @@ def test_empty_tables(spark):
     [row] = lm_scoring.score_documents(documents(spark, [(i, "a b", None, None)])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and row.base_score == pytest.approx(0, abs=1e-9)
     assert row.score == pytest.approx(-4 * math.log10(256))
+
+
+@pytest.mark.parametrize("shared", [1 << 21, 50])
+def test_no_n_gram_is_cut_as_the_corpus_grows(spark, monkeypatch, shared):
+    monkeypatch.setattr(lm_scoring, "SHARED", shared)
+    assert all(max(1.0, symbols / ppm.RARE) == 1 for symbols in (10 ** 8, 3 * 10 ** 10, 10 ** 15))
+    rng = random.Random(9)
+    rows = [(i, prose(rng, rng.randint(0, 60), 500), "en", "a") for i in range(200)] + [(1000, "", None, None), (1001, "Zyx qwv", None, None)]
+    got = {r.doc_id: r.score for r in lm_scoring.score_documents(documents(spark, rows)).collect()}
+    slow = SlowTrie([t for i, t, *_ in rows if training(i)], math.inf)
+    assert got == pytest.approx({i: slow.score(t) for i, t, *_ in rows}, rel=1e-9)
+
+
+def test_packed_numbers():
+    numbers = np.array([0, 1, 255, 256, (1 << 48) - 1], np.uint64)
+    assert (ppm.unpacked(ppm.packed(numbers, 6), 6) == numbers).all() and len(ppm.unpacked(b"", 6)) == 0
