@@ -8,7 +8,7 @@ of at least ``MIN_BYTES`` bytes only one is stored; the others are revisit recor
 
 Archives are written by Spark's text writer with the record end as its line separator, gzipped, and read as
 streams of pieces between such separators; Content-Length alone decides what belongs to a payload, so
-payloads may hold separators, or look like records.
+payloads may hold separators, end in a part of one, or look like records.
 
 A null or empty payload is a response of no bytes. Among rows of equal payload and equal largest id the
 first by row number is the response. A null id is stored as an empty id and counts below all others.
@@ -29,6 +29,7 @@ from offerlens.llm import common as c
 CHUNK_CHARS = 1 << 18
 MIN_BYTES = 1000
 END = "\r\n\r\n"
+CRLF = b"\r\n"
 CHUNKS = "row long, page_id long, url string, chunk int, last boolean, sha1 string, total long, piece string"
 
 
@@ -118,11 +119,21 @@ def _fields(head: str) -> dict[str, str]:
 
 
 def _parse(batches):
-    """Records of one archive: header pieces, then payload pieces up to Content-Length."""
-    out, head, need, digest, parts = [], None, 0, None, 0
+    """Records of one archive: header pieces, then payload pieces up to Content-Length.
+
+    The reader splits at the first match: a payload that ends in CRLF (after whole separators) loses it to
+    the separator, whose own last CRLF then leads the next piece.
+    """
+    out, head, need, digest, parts, shifted = [], None, 0, None, 0, False
     for batch in batches:
         for value in batch.column("value"):
             piece = value.as_buffer().to_pybytes() if value.is_valid else b""
+            if shifted:
+                if not piece.startswith(CRLF):
+                    raise ValueError("a record is shorter than its Content-Length")
+                piece, shifted = piece[len(CRLF):], False
+                if not piece:  # the end of a file
+                    continue
             if head is None:
                 if not piece.startswith(b"WARC/"):
                     raise ValueError(f"no WARC record: {piece[:60]!r}")
@@ -146,6 +157,9 @@ def _parse(batches):
             fresh = False
             digest.update(piece)
             parts += len(piece)
+            if need - parts == len(CRLF):
+                digest.update(CRLF)
+                parts, shifted = need, True
             if parts == need:
                 out.append((head, parts, digest.hexdigest()))
                 head = None
@@ -154,7 +168,7 @@ def _parse(batches):
         if len(out) >= 4096:
             yield _parsed(out)
             out = []
-    if head not in (None, "ended"):
+    if head not in (None, "ended") or shifted:
         raise ValueError("the archive ends inside a record")
     if out:
         yield _parsed(out)

@@ -41,3 +41,11 @@ def test_round_trip_with_hostile_payloads(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert run(spark, [])[1] == []
+
+
+def test_payloads_and_chunks_that_end_in_crlf(spark, monkeypatch):
+    texts = ["\r\n", "abc\r\n", "abc\r\n\r\n\r\n", "\r\n" * 5, "\r\n" * 801, "line\r\n" * 300, "abc\r\n\r", "x" * (warc.CHUNK_CHARS - 2) + "\r\n" + "rest\r\n",
+             "x" * (warc.CHUNK_CHARS - 6) + "\r\n" * 3 + "WARC/1.1\r\n"]
+    for rows in [[(i, "u", t)] for i, t in enumerate(texts)] + [[(i, "u", t) for i, t in enumerate(texts)]]:
+        got = sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type) for r in run(spark, rows)[1])
+        assert got == [(i, len(t), hashlib.sha1(t.encode()).hexdigest(), "response") for i, _, t in rows]
