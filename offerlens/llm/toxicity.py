@@ -1,7 +1,7 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the bag of its character n-grams (3 to 6 bytes of UTF-8, with marks for its ends), hashed into
-``BUCKETS`` embeddings. A passage is ``PASSAGE`` of a text's different words in order of their first place; it is
+``BUCKETS`` embeddings. A passage is ``PASSAGE`` words in a row of a text, each different word counted once; it is
 the mean of its n-grams' embeddings, padded with zeros to ``LEAST_GRAMS`` n-grams, and a linear softmax turns that mean into class probabilities. Embeddings and softmax are trained together. Misspelt or unseen
 words share most n-grams with words from training and so their vectors.
 
@@ -59,14 +59,29 @@ def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     return words[order], buckets[order]
 
 
-def distinct_words(data: np.ndarray, offsets: np.ndarray):
-    """Row and number of the words at their first place in each text, and the spans of the numbered words."""
+def numbered_words(data: np.ndarray, offsets: np.ndarray):
+    """Row and number of every word in order, and the spans of the numbered words."""
     start, end, row = c.word_spans(data, offsets)
     hashes = c.span_hash(c.prefix_hash(data, c.LOWER), start, end)
-    _, once = np.unique(hashes + c.mix(row.astype(np.uint64) + c.STEP[3]), return_index=True)
-    once.sort()
-    _, first, number = np.unique(hashes[once], return_index=True, return_inverse=True)
-    return row[once], number, start[once[first]], end[once[first]]
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    return row, number, start[first], end[first]
+
+
+def earlier(row: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Place of the same word before each word in its row, -1 for the first."""
+    order = np.lexsort((number, row))
+    out = np.full(len(row), -1, np.int32)
+    same = (number[order[1:]] == number[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
+def bags(before: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the different words of each passage, and the passage of each place."""
+    size = stop - first
+    at, owner = spread_out(first, size), np.repeat(np.arange(len(first)), size)
+    fresh = before[at] < first[owner]
+    return at[fresh], owner[fresh]
 
 
 def passages(row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +106,7 @@ class Indexed:
         numbers: dict[int, int] = {}
         rows, words, grams, sizes, at = [], [], [], [], 0
         for _, data, offsets in c.text_slices(pa.array(texts, pa.large_string()), 1 << 18):
-            row, number, start, end = distinct_words(data, offsets)
+            row, number, start, end = numbered_words(data, offsets)
             hashes = c.span_hash(c.prefix_hash(data, c.LOWER), start, end).tolist()
             fresh = np.array([h not in numbers for h in hashes], bool)
             numbers.update(dict(zip([h for h, new in zip(hashes, fresh) if new], range(len(numbers), len(numbers) + len(hashes)))))
@@ -99,11 +114,12 @@ class Indexed:
                 word, bucket = subwords(data, start[fresh], end[fresh])
                 grams.append(bucket.astype(np.int32))
                 sizes.append(np.bincount(word, minlength=int(fresh.sum())))
-            rows.append(row + at)
+            rows.append((row + at).astype(np.int32))
             words.append(np.array([numbers[h] for h in hashes], np.int32)[number])
             at += len(offsets) - 1
         none = np.zeros(0, np.int64)
-        row, self.word = np.concatenate([none, *rows]), np.concatenate([none.astype(np.int32), *words])
+        row, self.word = np.concatenate([none.astype(np.int32), *rows]), np.concatenate([none.astype(np.int32), *words])
+        self.before = earlier(row, self.word)
         self.gram = np.concatenate([none.astype(np.int32), *grams])
         self.at = np.concatenate([[0], np.cumsum(np.concatenate([none, *sizes]))])
         self.first, self.stop, self.owner = passages(row, len(texts))
@@ -114,8 +130,7 @@ class Indexed:
         if not len(self.word):
             return np.zeros(0)
         total, grams = np.add.reduceat(z.astype(np.float32)[self.gram], self.at[:-1]), np.diff(self.at)
-        sums, counts = (np.concatenate([[0], np.cumsum(x[self.word])]) for x in (total, grams))
-        return (sums[self.stop] - sums[self.first]) / np.maximum(LEAST_GRAMS, counts[self.stop] - counts[self.first])
+        return passage_means(total, grams, self.word, self.before, self.first, self.stop)
 
 
 def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
@@ -164,11 +179,11 @@ def fit_weights(data: Indexed, labels: np.ndarray, updates: int = 1200, rate: fl
         for k in range(0, len(rows), BATCH):
             batch = shuffled[k: k + BATCH]
             chosen = pick[batch]
-            tokens = data.stop[chosen] - data.first[chosen]
-            token = data.word[spread_out(data.first[chosen], tokens)]
+            place, bag = bags(data.before, data.first[chosen], data.stop[chosen])
+            token = data.word[place]
             grams = data.at[token + 1] - data.at[token]
             gram = data.gram[spread_out(data.at[token], grams)]
-            bag = np.repeat(np.repeat(np.arange(len(batch)), tokens), grams)
+            bag = np.repeat(bag, grams)
             size = np.maximum(LEAST_GRAMS, np.bincount(bag, minlength=len(batch)))
             mean = np.stack([np.bincount(bag, emb[gram, d], len(batch)) for d in range(DIM)], 1) / size[:, None]
             score = mean @ soft + bias
@@ -187,23 +202,27 @@ def fit_weights(data: Indexed, labels: np.ndarray, updates: int = 1200, rate: fl
     return (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def passage_means(z, word, bucket, number, first, stop):
-    """Mean weight of the n-grams of each passage."""
-    n = number.max(initial=-1) + 1
-    total, grams = np.bincount(word, z[bucket], n), np.bincount(word, minlength=n)
-    sums, counts = (np.concatenate([[0], np.cumsum(x[number])]) for x in (total, grams))
-    return (sums[stop] - sums[first]) / np.maximum(LEAST_GRAMS, counts[stop] - counts[first])
+def passage_means(total, grams, number, before, first, stop, some: int = 1 << 14):
+    """Mean weight of the n-grams of each passage's different words; ``total`` and ``grams`` are sums by word."""
+    out = np.zeros(len(first))
+    for k in range(0, len(first), some):
+        n = len(first[k: k + some])
+        place, owner = bags(before, first[k: k + some], stop[k: k + some])
+        word = number[place]
+        out[k: k + n] = np.bincount(owner, total[word], n) / np.maximum(LEAST_GRAMS, np.bincount(owner, grams[word], n))
+    return out
 
 
 def best_logits(z: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The largest passage mean of each row; 0 for a row without words."""
     n = len(offsets) - 1
     best = np.full(n, -np.inf)
-    row, number, start, end = distinct_words(data, offsets)
+    row, number, start, end = numbered_words(data, offsets)
     if len(row):
         word, bucket = subwords(data, start, end)
+        total, grams = np.bincount(word, z[bucket], len(start)), np.bincount(word, minlength=len(start))
         first, stop, owner = passages(row, n)
-        np.maximum.at(best, owner, passage_means(z, word, bucket, number, first, stop))
+        np.maximum.at(best, owner, passage_means(total, grams, number, earlier(row, number), first, stop))
     best[np.isinf(best)] = 0.0
     return best
 

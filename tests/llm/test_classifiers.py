@@ -95,3 +95,19 @@ def test_dual_descent_separates():
     rows = [np.array([0, 1]), np.array([0, 2]), np.array([3, 1]), np.array([3, 2])]
     w = quality_classifier.dual_descent(rows, [np.ones(2)] * 4, np.array([1, 1, 0, 0]), 10.0, 50)
     assert all((w[r].sum() + w[-1] > 0.9) == y for r, y in zip(rows, [True, True, False, False]))
+
+
+def test_a_later_passage_of_known_words_counts():
+    z = np.zeros(toxicity.BUCKETS, np.float32)
+    insults = [f"rude{k}" for k in range(10)]
+    calm = [f"calm{k}" for k in range(2000)]
+    start, end, _ = c.word_spans(data := np.frombuffer(" ".join(insults).encode(), np.uint8), np.array([0, len(data)]))
+    z[toxicity.subwords(data, start, end)[1]] = 1
+    spread = " ".join(w for k, i in enumerate(insults) for w in [i, *calm[200 * k: 200 * k + 200]])
+
+    def score(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return toxicity.best_logits(z, raw, np.array([0, len(raw)]))[0]
+
+    assert score(spread + " " + " ".join(insults)) > 3 * score(spread)
+    assert score(" ".join(insults * 3)) == pytest.approx(score(" ".join(insults)))
