@@ -2,7 +2,8 @@
 
 Lines are normalised (A-Z lower-cased, digits to 0, white space collapsed) and hashed. A line of at
 least ``min_docs`` distinct documents of a host that make up at least ``share`` of the host's distinct
-documents is boilerplate there and is taken out. A document is depleted, and rejected, when fewer than
+documents is boilerplate there and is taken out: ``keep_good`` returns texts without such lines, ``removed_spans`` the
+byte ranges (each with its line feed) that go. A document is depleted, and rejected, when fewer than
 ``min_words`` words or less than ``min_left`` of its words are left. Exact copies of a text count as one
 document, so a page that was crawled often does not turn into boilerplate.
 
@@ -29,7 +30,10 @@ FOLD[48:58] = 48
 IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS.encode()))
 
 SCHEMA = ("doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-          "n_repeat_words long, text_hash long, lines array<struct<line:long,words:long>>")
+          "n_repeat_words long, text_hash long, "
+          "lines array<struct<line:long,words:long,spans:array<struct<start:int,stop:int>>>>")
+
+SPANS = "array<struct<start:int,stop:int>>"
 
 
 def _sum(row: np.ndarray, n: int, weight: np.ndarray | None = None) -> np.ndarray:
@@ -50,7 +54,7 @@ def _repeats(hashes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
 
 
 def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict:
-    """Counts of each row, its text hash, and its distinct normalised lines with their words."""
+    """Counts of each row, its text hash, and its distinct normalised lines with their words and the spans of all their places."""
     n = len(offsets) - 1
     start, end, row = c.word_spans(data, offsets)
     raw, folded = c.prefix_hash(data), c.prefix_hash(data, FOLD)
@@ -83,7 +87,13 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict:
     total = np.bincount(inverse, words, len(first)).astype(np.int64)
     order = np.argsort(at[first], kind="stable")
     pick = first[order]
-    out["lines"] = (np.concatenate([[0], np.cumsum(_sum(at[pick], n))]), c.signed(norm[pick]), total[order])
+    # places in the order of the picked lines; a span is counted from its text's start and holds the line feed
+    rank = np.empty(len(first), np.int64)
+    rank[order] = np.arange(len(first))
+    place = np.argsort(rank[inverse], kind="stable")
+    spans = (np.concatenate([[0], np.cumsum(np.bincount(rank[inverse], minlength=len(first)))]),
+             (opens[used] - offsets[at])[place], (np.minimum(close + 1, offsets[at + 1]) - offsets[at])[place])
+    out["lines"] = (np.concatenate([[0], np.cumsum(_sum(at[pick], n))]), c.signed(norm[pick]), total[order], spans)
     return out
 
 
@@ -93,40 +103,75 @@ def _measure(batches):
         for first, data, offsets in c.text_slices(batch.column("text")):
             n = len(offsets) - 1
             got = text_counts(data, offsets)
-            at, line, words = got.pop("lines")
-            lines = pa.ListArray.from_arrays(at.astype(np.int32), pa.StructArray.from_arrays([pa.array(line), pa.array(words)], ["line", "words"]))
+            at, line, words, (places, begin, stop) = got.pop("lines")
+            spans = pa.ListArray.from_arrays(places.astype(np.int32), pa.StructArray.from_arrays([pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32))], ["start", "stop"]))
+            lines = pa.ListArray.from_arrays(at.astype(np.int32), pa.StructArray.from_arrays([pa.array(line), pa.array(words), spans], ["line", "words", "spans"]))
             columns = {"doc_id": ids.slice(first, n), "host": host.slice(first, n)}
             columns |= {k: pa.array(got[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_hash")}
             yield pa.RecordBatch.from_pydict(columns | {"lines": lines})
 
 
-def judge_lines(
+def judge_spans(
     docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.05,
     min_words: int = MIN_WORDS, min_left: float = 0.3,
 ) -> DataFrame:
-    """One row per document with its counts, the words taken out, base_failed and kept."""
+    """One row per document with its counts, the words taken out, base_failed, kept, and removed_spans."""
     picked = docs.select(
         F.col("doc_id").cast("long"), F.when(F.col(host).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(host))).alias("host"), "text")
     measured = c.written(c.map_batches(picked, _measure, SCHEMA).withColumn("row", F.monotonically_increasing_id()))
     held = measured.select("row", "host", "text_hash", F.inline("lines"))
-    seen = held.select("host", "line", "text_hash").distinct().groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
-    of_host = measured.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    common = seen.join(of_host, "host").filter(F.col("docs") >= share * F.col("host_docs")).select("host", "line")
-    taken = held.join(common, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"))
+    common = held.select("host", "line", "text_hash").distinct().groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
+    if share > 0:
+        of_host = measured.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+        common = common.join(of_host, "host").filter(F.col("docs") >= share * F.col("host_docs"))
+    taken = held.join(common.select("host", "line"), ["host", "line"]).groupBy("row").agg(
+        F.sum("words").alias("removed_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("removed_spans"))
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     depleted = (F.col("removed_words") > 0) & ((left < min_words) | (left < min_left * F.col("n_words")))
     return (
         measured.drop("lines").join(taken, "row", "left").fillna(0, ["removed_words"])
+        .withColumn("removed_spans", F.coalesce("removed_spans", F.array().cast(SPANS)))
         .withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words", "host", "text_hash")
+        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words", "host", "text_hash", "removed_spans")
     )
 
 
+def judge_lines(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+    """``judge_spans`` without the spans."""
+    return judge_spans(docs, host, **limits).drop("removed_spans")
+
+
+def without(text: str, spans: list[dict]) -> str:
+    """The text without byte ranges that are sorted and do not overlap."""
+    data, out, at = text.encode(), [], 0
+    for span in spans:
+        out.append(data[at: span["start"]])
+        at = span["stop"]
+    return b"".join([*out, data[at:]]).decode()
+
+
+def _cut(batches):
+    for batch in batches:
+        text, spans = batch.column("text").to_pylist(), batch.column("__spans").to_pylist()
+        done = pa.array([without(t, s) if s else t for t, s in zip(text, spans)], pa.string())
+        columns = {n: batch.column(n) for n in batch.schema.names if n != "__spans"} | {"text": done}
+        if "n_chars" in columns:
+            size = [len(t) if s else n for t, s, n in zip(done.to_pylist(), spans, columns["n_chars"].to_pylist())]
+            columns["n_chars"] = pa.array(size, columns["n_chars"].type)
+        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that ``judge_lines`` keeps, with all their columns, in no particular order."""
+    """The documents that are kept, their texts without the common lines, with all their columns, in no particular order.
+
+    A column ``n_chars`` is the length of the new text where lines were taken out.
+    """
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.col("source"), F.lit("-")), F.coalesce(F.col("text"), F.lit(""))]
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     marked = docs.withColumn("__row", F.xxhash64(*key))
     source = marked.select(F.col("__row").alias("doc_id"), "source", "text")
-    bad = judge_lines(source, **limits).filter("NOT kept").select(F.col("doc_id").alias("__row")).distinct()
-    return marked.join(bad, "__row", "left_anti").drop("__row")
+    touched = c.written(judge_spans(source, **limits).filter(~F.col("kept") | (F.col("removed_words") > 0)).groupBy(F.col("doc_id").alias("__row")).agg(
+        F.first("kept").alias("__kept"), F.first("removed_spans").alias("__spans")))
+    good = marked.join(touched, "__row", "left").filter(F.coalesce("__kept", F.lit(True))).drop("__row", "__kept")
+    return good.mapInArrow(_cut, docs.schema)

@@ -60,7 +60,7 @@ def op6(spark, sf):
 
 @query("op7_quality_rules")
 def op7(spark, sf):
-    return quality_rules.judge_lines(c.table(spark, sf, "documents")).drop("host", "text_hash")
+    return quality_rules.judge_spans(c.table(spark, sf, "documents")).drop("host", "text_hash")
 
 
 @query("op8_mix_sources", f"""

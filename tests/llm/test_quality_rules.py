@@ -77,3 +77,15 @@ def test_rejected_documents_go_with_all_columns_kept(spark):
     kept = quality_rules.keep_good(docs)
     assert kept.columns == docs.columns
     assert [(r.doc_id, r.text) for r in kept.collect()] == [(2, "a b c d e f g h i j k l")]
+
+
+def test_common_lines_leave_the_text(spark):
+    rng = random.Random(11)
+    body = lambda: prose(rng, 40, 4000)
+    rows = [(i, f"{body()}\nAccept  cookies é {i % 7}\n{body()}\r\n\nACCEPT COOKIES é 9", "en", "a") for i in range(30)] + [(50, "own " + body(), "en", "a"), (50, "own", "en", "b")]
+    docs = documents(spark, rows)
+    want = {i: t if i == 50 else t.split("\n")[0] + "\n" + t.split("\n")[2] + "\n\n" for i, t, _, s in rows if s == "a"}
+    got = {r.doc_id: r for r in quality_rules.keep_good(docs).collect()}
+    assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
+    spans = {r.doc_id: r.removed_spans for r in quality_rules.judge_spans(docs).filter("removed_words > 0").collect()}
+    assert {i: quality_rules.without(t, [s.asDict() for s in spans.get(i, [])]) for i, t, _, s in rows if s == "a"} == want
