@@ -1,9 +1,9 @@
 """Quality rules: text counts, and lines that many documents of one host share.
 
 Lines are normalised (A-Z lower-cased, digits to 0, white space collapsed) and hashed. A line of at
-least ``min_docs`` distinct documents of a host that make up at least ``share`` of the host's distinct
-documents is boilerplate there and is taken out: ``keep_good`` returns texts without such lines, ``removed_spans`` the
-byte ranges (each with its line feed) that go. A document is depleted, and rejected, when fewer than
+least ``min_docs`` distinct documents of a host is boilerplate there, however large the host, and is taken out: ``keep_good``
+returns texts without such lines, ``removed_spans`` the byte ranges (each with its line feed) that go. A caller may ask
+for a ``share`` of the host's distinct documents as well. A document is depleted, and rejected, when fewer than
 ``min_words`` words or less than ``min_left`` of its words are left. Exact copies of a text count as one
 document, so a page that was crawled often does not turn into boilerplate.
 
@@ -112,7 +112,7 @@ def _measure(batches):
 
 
 def judge_spans(
-    docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.05,
+    docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.0,
     min_words: int = MIN_WORDS, min_left: float = 0.3,
 ) -> DataFrame:
     """One row per document with its counts, the words taken out, base_failed, kept, and removed_spans."""

@@ -89,3 +89,10 @@ def test_common_lines_leave_the_text(spark):
     assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
     spans = {r.doc_id: r.removed_spans for r in quality_rules.judge_spans(docs).filter("removed_words > 0").collect()}
     assert {i: quality_rules.without(t, [s.asDict() for s in spans.get(i, [])]) for i, t, _, s in rows if s == "a"} == want
+
+
+def test_a_line_is_common_in_a_host_of_any_size(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 30, 4000) + ("\nshared notice of the owner" if i < 25 else ""), "en", "a") for i in range(1000)]
+    got = quality_rules.judge_lines(documents(spark, rows)).filter("removed_words > 0").collect()
+    assert sorted((r.doc_id, r.removed_words) for r in got) == [(i, 5) for i in range(25)]
