@@ -115,6 +115,12 @@ def dual_descent(rows, values, y, cost: float = 1.0, rounds: int = 12, seed: int
     return w
 
 
+def interpolated(w: np.ndarray, beta: float) -> np.ndarray:
+    """Weights of ratio-scaled features, drawn towards their mean size: naive Bayes alone gives all features one weight."""
+    used = w[w != 0]
+    return (1 - beta) * (np.abs(used).mean() if len(used) else 0.0) + beta * w
+
+
 def train(texts: list[str], labels: list[int], beta: float = 0.5):
     """weight per feature (ratio times model), ratio per feature, intercept, slope, offset."""
     y = np.array(labels, int)
@@ -132,7 +138,7 @@ def train(texts: list[str], labels: list[int], beta: float = 0.5):
     scaled = [_unit(ratio[f]) for f in rows]
     w = dual_descent([rows[i] for i in fit], [scaled[i] for i in fit], y[fit])
     bias, w = w[-1], w[:-1]
-    w = (1 - beta) * np.abs(w[w != 0]).mean() * np.sign(ratio) * (np.abs(ratio) > 1) + beta * w if beta < 1 else w
+    w = interpolated(w, beta)
     margin = np.array([w[f] @ v + bias for f, v in zip(rows, scaled)])
     check = held if held.any() else ~held
     slope, offset = sampling.calibrate(margin[check], y[check])

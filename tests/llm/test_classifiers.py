@@ -111,3 +111,9 @@ def test_a_later_passage_of_known_words_counts():
 
     assert score(spread + " " + " ".join(insults)) > 3 * score(spread)
     assert score(" ".join(insults * 3)) == pytest.approx(score(" ".join(insults)))
+
+
+def test_interpolation_keeps_the_sides_of_naive_bayes():
+    w, ratio = np.array([0.5, 0.5, 0.0]), np.array([2.0, -2.0, 0.0])
+    assert (quality_classifier.interpolated(w, 0.5) * ratio).tolist() == [1, -1, 0]
+    assert quality_classifier.interpolated(np.zeros(2), 0.5).tolist() == [0, 0]
