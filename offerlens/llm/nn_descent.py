@@ -3,12 +3,13 @@
 Vectors are compared within their label only, by cosine in double precision. Equal vectors of a label are one node that
 counts as often as it occurs. Every node has a list of its nearest nodes so far:
 
-1. Start: nodes are sorted by the sign bits of random projections (``TABLES`` times), and runs of ``LEAF`` neighbours in
-   that order are compared.
+1. Start: nodes are sorted by the sign bits of random projections (``TABLES`` times, and once more for each doubling of the
+   largest space beyond ``LEAF`` nodes), and runs of ``LEAF`` neighbours in that order are compared.
 2. Rounds of neighbours-of-neighbours joins: each node gathers its neighbours and a hashed sample of the nodes that have it as
    neighbour, and compares what it gathered among itself; better neighbours enter the lists of both.
-3. Audit: a hashed sample of nodes is compared with all nodes; while the lists miss more than ``1 - RECALL`` of
-   the sample's links another round runs with lists twice as long, for ``ROUNDS`` rounds at most.
+3. Audit: a hashed sample of nodes, and one node of each of as many connected pieces, is compared with all nodes. The recall
+   is the mean over the sampled nodes that have links, all nodes of one piece counting as one. While it is below ``RECALL``
+   another round runs with lists twice as long (to ``LEAF``) and new tables; after ``ROUNDS`` rounds the query fails.
 4. Lists of nodes whose every neighbour is beyond the threshold are saturated: there may be more. All nodes of a connected
    piece of threshold edges are then compared with all others of the piece, in blocks, so a list is as long as
    the piece and holds every link inside it. Only counts leave the blocks, never pairs.
@@ -21,6 +22,8 @@ named columns are read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -33,7 +36,7 @@ from offerlens.llm import graphs
 NEAR = 0.98
 LIST = 8
 TABLES, LEAF, CODE_BITS = 4, 64, 30
-ROUNDS, RECALL, AUDITED = 4, 0.99, 256
+ROUNDS, RECALL, AUDITED = 10, 0.99, 1024
 BLOCK = 512
 VECTOR = T.ArrayType(T.FloatType())
 BESTS = "node long, other long, cosine double"
@@ -58,20 +61,32 @@ def nodes_of(vectors: DataFrame) -> DataFrame:
         "node", F.struct("label", F.size("embedding").alias("width")).alias("space"), F.col("embedding").alias("vector"), "times")
 
 
-def _codes(batches):
+def tables_for(largest: int) -> int:
+    return TABLES + max(0, int(largest - 1).bit_length() - int(LEAF - 1).bit_length())
+
+
+def _codes(tables: int, salt: int):
     """A row per node and table: sign bits of random projections of the unit vector."""
+
+    def run(batches):
+        yield from _coded(batches, tables, salt)
+
+    return run
+
+
+def _coded(batches, tables: int, salt: int):
     planes: dict[int, np.ndarray] = {}
     weights = 1 << np.arange(CODE_BITS)[::-1]
     for batch in batches:
         width = np.array([w["width"] for w in batch.column("space").to_pylist()])
         for w in np.unique(width).tolist():
             if w not in planes:
-                planes[w] = np.random.default_rng(w).normal(size=(w, TABLES * CODE_BITS))
+                planes[w] = np.random.default_rng([w, salt]).normal(size=(w, tables * CODE_BITS))
             part = batch.filter(pa.array(width == w))
             unit = unit_rows(part.column("vector"), w)
-            signs = (unit @ planes[w] > 0).reshape(len(unit), TABLES, CODE_BITS)
+            signs = (unit @ planes[w] > 0).reshape(len(unit), tables, CODE_BITS)
             codes = (signs * weights).sum(2)
-            for t in range(TABLES):
+            for t in range(tables):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(unit), t, np.int32)), pa.array(codes[:, t]), *(part.column(k) for k in ("node", "space", "vector"))], ["tbl", "code", "node", "space", "vector"])
 
 
@@ -215,13 +230,24 @@ def _audit(queries):
     return run
 
 
-def recall(nodes: DataFrame, counts: DataFrame) -> float:
-    """Share of the true links of AUDITED nodes that ``counts`` (node, links) has; half of the sample are nodes with links.
+def node_recall(audited: list[tuple]) -> float:
+    """Mean recall of (true links, found links, piece or None) over nodes with links; the nodes of a piece weigh as one."""
+    linked = [a for a in audited if a[0]]
+    if not linked:
+        return 1.0
+    of_piece = Counter(piece for _, _, piece in linked if piece is not None)
+    weight = [1 / of_piece[piece] if piece is not None else 1.0 for _, _, piece in linked]
+    return sum(w * min(found, true) / true for w, (true, found, _) in zip(weight, linked)) / sum(weight)
+
+
+def recall(nodes: DataFrame, counts: DataFrame, pieces: DataFrame) -> float:
+    """Recall of ``counts`` (node, links) by node; half of the AUDITED nodes are drawn from all, half are one of a piece each.
 
     The sample is fixed in size, and it is compared with all nodes.
     """
     some = nodes.orderBy(F.xxhash64("node")).limit(AUDITED // 2).select("node")
-    linked = counts.filter("links > 0").orderBy(F.xxhash64("node")).limit(AUDITED // 2).select("node")
+    of_piece = counts.filter("links > 0").join(pieces, "node", "left").groupBy(F.coalesce("root", "node").alias("piece")).agg(F.min_by("node", F.xxhash64("node")).alias("node"))
+    linked = of_piece.orderBy(F.xxhash64("node")).limit(AUDITED // 2).select("node")
     sample = nodes.join(F.broadcast(some.union(linked).distinct()), "node").toArrow()
     if not sample.num_rows:
         return 1.0
@@ -230,8 +256,9 @@ def recall(nodes: DataFrame, counts: DataFrame) -> float:
     units = [unit_rows(pa.array([v], pa.list_(pa.float32())), len(v))[0] for v in sample.column("vector").to_pylist()]
     queries = nodes.sparkSession.sparkContext.broadcast((spaces, ids, units))
     true = c.map_batches(nodes, _audit(queries), "node long, links long").groupBy("node").agg(F.sum("links").alias("true"))
-    got = true.join(counts, "node", "left").agg(F.sum("true"), F.sum(F.least(F.coalesce("links", F.lit(0)), "true"))).first()
-    return got[1] / got[0] if got[0] else 1.0
+    got = true.filter(F.col("true") > 0).join(counts, "node", "left").join(pieces, "node", "left").select(
+        "true", F.coalesce("links", F.lit(0)).alias("links"), F.when(F.col("links") > 0, F.coalesce("root", "node"))).collect()
+    return node_recall([tuple(r) for r in got])
 
 
 def _blocks(batches):
@@ -292,19 +319,30 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     rows = c.written(vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast(VECTOR).alias("embedding"), F.col(label).alias("label"))
                      .withColumn("row", F.monotonically_increasing_id()))
     nodes = c.written(nodes_of(rows))
-    coded = c.map_batches(nodes.select("node", "space", "vector"), _codes, "tbl int, code long, node long, space struct<label:" + rows.schema["label"].dataType.simpleString() + ",width:int>, vector array<float>")
-    ordered = coded.repartitionByRange("tbl", "space", "code", "node").sortWithinPartitions("tbl", "space", "code", "node")
+    largest = nodes.groupBy("space").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    tables = tables_for(largest)
+    space = "space struct<label:" + rows.schema["label"].dataType.simpleString() + ",width:int>"
+
+    def start(tables: int, salt: int, k: int) -> DataFrame:
+        coded = c.map_batches(nodes.select("node", "space", "vector"), _codes(tables, salt), f"tbl int, code long, node long, {space}, vector array<float>")
+        ordered = coded.repartitionByRange("tbl", "space", "code", "node").sortWithinPartitions("tbl", "space", "code", "node")
+        return c.map_batches(ordered, _leaves(k), BESTS)
+
     k = LIST
-    lists = c.written(merge_lists(c.map_batches(ordered, _leaves(k), BESTS), k))
+    lists = c.written(merge_lists(start(tables, 0, k), k))
     for round_ in range(ROUNDS):
         lists = c.written(merge_lists(descend(nodes, lists, k).union(lists), k))
         edges = lists.filter(F.col("cosine") >= NEAR)
         pieces = c.written(graphs.components(edges.select(F.col("node").alias("a"), F.col("other").alias("b"))))
         counts = c.written(count_links(nodes, pieces))
-        audit = recall(nodes, counts.select("node", "links"))
+        audit = recall(nodes, counts.select("node", "links"), pieces)
         if audit >= RECALL and round_:
             break
-        k *= 2 if round_ else 1
+        if round_ and round_ + 1 < ROUNDS:
+            k = min(2 * k, max(k, LEAF))
+            lists = c.written(merge_lists(start(tables * (round_ + 1), round_, k).union(lists), k))
+    else:
+        raise RuntimeError(f"the audited recall is {audit:.4f} after {ROUNDS} rounds, below {RECALL}")
     twins = rows.filter(F.col("label").isNotNull() & usable(F.col("embedding"))).select("row", "vec_id", "label", "embedding")
     named = twins.join(nodes.select("node", "times", F.col("space.label").alias("label"), F.col("vector").alias("embedding")), ["label", "embedding"])
     named = named.join(pieces, "node", "left").join(counts, "node", "left").select(

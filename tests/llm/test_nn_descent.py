@@ -64,3 +64,14 @@ def test_given_table_has_no_links(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert nn_descent.near_duplicates(empty).collect() == []
+
+
+def test_lost_pairs_show_beside_a_dense_group(spark, monkeypatch):
+    dense = [(1000, 1000, 7)] * 100
+    assert nn_descent.node_recall(dense + [(1, 0, None)]) == 0.5 and nn_descent.node_recall(dense) == 1 == nn_descent.node_recall([])
+    assert nn_descent.tables_for(10) == nn_descent.TABLES and nn_descent.tables_for(1 << 20) > nn_descent.tables_for(1 << 12) > nn_descent.TABLES
+    monkeypatch.setattr(nn_descent, "ROUNDS", 2)
+    monkeypatch.setattr(nn_descent, "node_recall", lambda audited: 0.5)
+    table = spark.createDataFrame([(r[0], r[1], r[2]) for r in corpus()], "vec_id long, embedding array<float>, label int")
+    with pytest.raises(RuntimeError, match="recall"):
+        nn_descent.near_duplicates(table)
