@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from offerlens.llm import common as c
-from offerlens.llm import bpe, jaccard_join, lm_scoring, mixing, nn_descent, quality_classifier, quality_rules, token_files, toxicity, warc
+from offerlens.llm import (bpe, jaccard_join, lm_scoring, mixing, nn_descent, quality_classifier, quality_rules, spelling, token_files,
+                           toxicity, warc, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +86,13 @@ def op10(spark, sf):
     path = c.shared_folder(spark)
     warc.write_archives(c.table(spark, sf, "pages"), path)
     return warc.page_records(warc.read_archives(spark, path))
+
+
+@query("op11_spelling_variants")
+def op11(spark, sf):
+    return spelling.group_variants(c.table(spark, sf, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark, sf):
+    return whitening.whiten(c.table(spark, sf, "embeddings"))

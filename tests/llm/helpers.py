@@ -27,3 +27,7 @@ def prose(rng: random.Random, n, vocabulary=400):
 
 ODD_TEXTS = [None, "", " \n\t ", "one", "a b c d", "A B C D E", "x" * 50_000, "\n\n\nline\nline\n line \n", "ß ñ 漢字 \U0001f600 é",
              "tab\tand\x0bvt\x0cff\r\ncrlf", "nbsp inside  em", "# $ % & | < > *", "same words " * 3000]
+
+
+def table(spark, name):
+    return spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
