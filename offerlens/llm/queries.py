@@ -6,10 +6,11 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from offerlens.llm import common as c
-from offerlens.llm import (bpe, jaccard_join, lm_scoring, mixing, nn_descent, quality_classifier, quality_rules, spelling, token_files,
-                           toxicity, warc, whitening)
+from offerlens.llm import (bpe, jaccard_join, lm_scoring, mixing, nn_descent, quality_classifier, quality_rules, spelling, substring_dedup,
+                           token_files, toxicity, warc, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +97,9 @@ def op11(spark, sf):
 @query("op12_whitening")
 def op12(spark, sf):
     return whitening.whiten(c.table(spark, sf, "embeddings"))
+
+
+@query("op13_substring_dedup")
+def op13(spark, sf):
+    kept = substring_dedup.remove_repeats(c.table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
