@@ -32,6 +32,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ WINDOW, ANCHOR = 35, 8
 #: Low bits of a packed anchor hold its place in the slice, so that the leftmost wins a tie.
 PLACE = np.uint64((1 << 30) - 1)
 SLICE = 4 << 20
+SEEN = 1_000_000
 
 
 class Words:
@@ -102,7 +104,11 @@ PATH = "__id long, __key long, start int, n int, anchor long, path long, digest
 
 
 def _paths(batches):
-    """The paths at the given coordinates of each text, with nodes, edges and a digest of their words."""
+    """The paths at the given coordinates of each text, with nodes, edges and a digest of their words.
+
+    A task sends the edges of a path with its first source only (of the first ``SEEN`` paths).
+    """
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
         text, lists = batch.column("text"), batch.column("places")
         for first, data, offsets in c.text_slices(text, SLICE):
@@ -119,11 +125,20 @@ def _paths(batches):
                 if r != owner:
                     raw, owner = data[offsets[r]: offsets[r + 1]].tobytes().split(), r
                 digests[k] = int.from_bytes(blake2b(b" ".join(raw[s: s + m + WINDOW - 1]), digest_size=8).digest(), "little", signed=True)
+            path = c.signed(words.hashes(at, n + WINDOW - 1))
+            again = np.zeros(len(row), bool)
+            for k, one in enumerate(zip(path.tolist(), digests.tolist())):
+                again[k] = one in seen
+                if len(seen) < SEEN:
+                    seen.add(one)
+            kept = np.where(again, 0, n)
+            edge = edge[np.repeat(~again, n)]
+            edges = pc.if_else(pa.array(again), pa.scalar(None, pa.binary()), _binaries(edge, np.concatenate([[0], np.cumsum(kept)])))
             take = pa.array(first + row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id").take(take), batch.column("__key").take(take), pa.array(start), pa.array(n.astype(np.int32)), places.field("anchor"),
-                 pa.array(c.signed(words.hashes(at, n + WINDOW - 1))), pa.array(digests), pa.array(c.signed(words.hashes(at, WINDOW - 1))),
-                 pa.array(c.signed(words.hashes(at + n, WINDOW - 1))), _binaries(edge, bounds)],
+                 pa.array(path), pa.array(digests), pa.array(c.signed(words.hashes(at, WINDOW - 1))),
+                 pa.array(c.signed(words.hashes(at + n, WINDOW - 1))), edges],
                 ["__id", "__key", "start", "n", "anchor", "path", "digest", "tail", "head", "edges"])
 
 
@@ -164,28 +179,31 @@ def source_paths(texts: DataFrame) -> DataFrame:
 def compacted(paths: DataFrame) -> DataFrame:
     """path, root: repeated paths that follow one another without a branch get one root.
 
-    ``paths``: path, tail, head, one row for each path of the graph.
+    ``paths``: path, tail, head, and __id of a source, one row for each path of the graph. Links are dealt by that source, as
+    neighbouring paths mostly have the same one: a task then contracts whole runs before any round.
     """
-    into = paths.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("n"), F.max("path").alias("a")).filter("n = 1")
+    into = paths.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("n"), F.max(F.struct("path", "__id")).alias("a")).filter("n = 1")
     out = paths.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("n"), F.max("path").alias("b")).filter("n = 1")
-    links = into.select("node", "a").join(out.select("node", "b"), "node").select("a", "b")
-    return graphs.components(links).withColumnRenamed("node", "path")
+    links = into.select("node", "a").join(out.select("node", "b"), "node").select("a.__id", F.col("a.path").alias("a"), "b")
+    return graphs.components(links.repartition("__id").select("a", "b")).withColumnRenamed("node", "path")
 
 
 def repeated_pieces(sources: DataFrame) -> DataFrame:
     """__id, __key, start, n, span: runs of repeated edges; equal spans tell which compacted path a run lies on (null: none)."""
     same = ["anchor", "path", "digest"]
     paths = c.written(sources.groupBy(*same).agg(
-        F.count("*").alias("times"), F.min_by(F.struct("__id", "__key", "start", "tail", "head", "edges"), F.struct("__id", "__key", "start")).alias("s")).select(*same, "times", "s.*"))
+        F.count("*").alias("times"), F.min(F.struct("__id", "__key", "start")).alias("s"), F.max("edges").alias("edges"),
+        F.min("tail").alias("tail"), F.min("head").alias("head")).select(*same, "times", "s.*", "edges", "tail", "head"))
     c.release(sources.sparkSession)
     repeated = paths.filter("times > 1")
-    groups = c.written(compacted(repeated.select("path", "tail", "head")))
+    groups = c.written(compacted(repeated.select("__id", "path", "tail", "head")))
     named = repeated.select(*same).join(groups, "path", "left").withColumn("span", F.coalesce("root", "path")).drop("root")
     whole = sources.select("__id", "__key", "start", "n", *same).join(named, same).select("__id", "__key", "start", "n", "span")
-    edges = c.written(c.map_batches(paths.select("__id", "__key", "start", "anchor", "times", "edges"), _single_edges,
-                                    "__id long, __key long, start int, anchor long, times long, step int, edge long"))
-    often = edges.groupBy("anchor", "edge").agg(F.sum("times").alias("all")).filter("all > 1").select("anchor", "edge")
-    single = edges.filter("times = 1").join(often, ["anchor", "edge"]).select(
+    columns = ["__id", "__key", "start", "anchor", "times", "edges"]
+    every, own = (c.map_batches(p.select(*columns), _single_edges, "__id long, __key long, start int, anchor long, times long, step int, edge long")
+                  for p in (paths, paths.filter("times = 1")))
+    often = every.groupBy("anchor", "edge").agg(F.sum("times").alias("all")).filter("all > 1").select("anchor", "edge")
+    single = own.join(often, ["anchor", "edge"]).select(
         "__id", "__key", (F.col("start") + F.col("step")).alias("start"), F.lit(1).alias("n"), F.lit(None).cast("long").alias("span"))
     return whole.union(single)
 
