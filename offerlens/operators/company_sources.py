@@ -7,23 +7,19 @@ from pyspark.sql import functions as F
 
 from offerlens.constants import SHEET_HEADERS
 from offerlens.functions.text import trim_space
-from offerlens.operators.merges import delete_offers, last_rows
+from offerlens.operators.merges import delete_offers, last_rows, latest_values, merge_coalesce
 
 
 def merge_by_provider_id(existing: DataFrame, updates: DataFrame) -> DataFrame:
-    """Links with a provider id merge on (provider, id): company_id is overwritten,
-    the rest coalesces. Links without an id are always added."""
+    """Links with a provider id merge on (provider, id): company_id is overwritten by the latest row, each other
+    column (url, hidden, raw_json, whatever ``existing`` has) by its latest non-null value. Links without an id are always added."""
     key = ["provider", "provider_company_id"]
-    named = last_rows(updates.filter("provider_company_id IS NOT NULL"), key, "seq")
-    old = existing.filter("provider_company_id IS NOT NULL").select(
-        *key, F.struct("company_id", "url").alias("old"))
-    merged = old.join(named.select(*key, F.struct("company_id", "url").alias("new")), key, "full_outer").select(
-        *key, F.coalesce("new.company_id", "old.company_id").alias("company_id"),
-        F.coalesce("new.url", "old.url").alias("url"))
-    columns = [*key, "company_id", "url"]
+    named = updates.filter("provider_company_id IS NOT NULL")
+    rest = [c for c in existing.columns if c not in (*key, "company_id")]
+    last = last_rows(named.select(*key, "seq", "company_id"), key, "seq").join(latest_values(named, key, "seq", rest), key)
+    merged = merge_coalesce(existing.filter("provider_company_id IS NOT NULL"), last, key)
     unnamed = "provider_company_id IS NULL"
-    return merged.unionByName(existing.filter(unnamed).select(*columns)).unionByName(
-        updates.filter(unnamed).select(*columns))
+    return merged.unionByName(existing.filter(unnamed)).unionByName(updates.filter(unnamed).select(*existing.columns))
 
 
 def merge_by_company(existing: DataFrame, updates: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -17,15 +17,17 @@ def identity(name: Column, website: Column) -> Column:
         F.nullif(normalize_company_name(name), F.lit("")).alias("name"))
 
 
-def gate_outcome() -> Column:
-    """First gate that rejects the offer, else null. Reads provider_url, provider,
-    description, company_id and resolution (joined from the company table)."""
+def gate_outcome(company_id: Column | None = None, resolution: Column | None = None) -> Column:
+    """First gate that rejects the offer, else null. Reads provider_url, provider and
+    description; company_id and resolution (of the company table) unless given."""
+    company_id = F.col("company_id") if company_id is None else company_id
+    resolution = F.col("resolution") if resolution is None else resolution
     return (
         F.when(~is_absolute_url(F.col("provider_url")), "missing_provider_url")
         .when(F.col("provider").isin(*ATS_PROVIDERS) & blank_to_null(F.col("description")).isNull(),
               "missing_description")
-        .when(F.col("company_id").isNull(), "company_unidentifiable")
-        .when(F.col("resolution").isin(*RESOLVED), "company_resolved"))
+        .when(company_id.isNull(), "company_unidentifiable")
+        .when(resolution.isin(*RESOLVED), "company_resolved"))
 
 
 def gate_offers(offers: DataFrame, companies: DataFrame) -> DataFrame:

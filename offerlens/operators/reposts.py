@@ -389,8 +389,9 @@ def fold_reposts(
         known = reliable_checkpoint(
             base.select("company_id", "offer_id", "title_key", "has_title", "fingerprint", "seen_at")
             .join(fp, ["company_id", "fingerprint"], "left").join(title_hit, "offer_id", "left"))
-        # versions of one stored offer are told apart by a key of their own
-        versions = versions.withColumn("version_id", F.xxhash64("offer_id", "from_seq", "until_seq"))
+        # versions of one stored offer are told apart by a key of their own; the hash would skip nulls
+        none = F.lit(-1).cast("long")
+        versions = versions.withColumn("version_id", F.xxhash64("offer_id", F.coalesce("from_seq", none), F.coalesce("until_seq", none)))
         stored_bags = token_bags(
             versions.withColumn("offer_id", F.col("version_id")), common
         ).join(versions.select(

@@ -99,8 +99,8 @@ def a15(spark, sf):
 
 
 @query("b2_links_by_provider_id", LINKS_SQL + """,
-l AS (SELECT * FROM u WHERE provider_company_id IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY provider, provider_company_id ORDER BY seq DESC) = 1),
+l AS (SELECT provider, provider_company_id, arg_max(company_id, seq) AS company_id, arg_max(url, seq) FILTER (WHERE url IS NOT NULL) AS url
+  FROM u WHERE provider_company_id IS NOT NULL GROUP BY ALL),
 en AS (SELECT * FROM e WHERE provider_company_id IS NOT NULL)
 SELECT provider, provider_company_id, coalesce(l.company_id, en.company_id) AS company_id, coalesce(l.url, en.url) AS url
 FROM en FULL JOIN l USING (provider, provider_company_id)
