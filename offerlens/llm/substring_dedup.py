@@ -7,8 +7,8 @@ words that repeated edges cover are removed. Edges are never shuffled one by one
 1. Every edge has an anchor, the smallest hash of its ``ANCHOR``-word runs (leftmost on ties), which equal edges share wherever
    they stand. Consecutive edges of a text with one anchor are a path, some 14 edges. Anchors are counted over all texts;
    paths whose anchor occurs once hold no repeated edge and go.
-2. The others are cut from their texts at their source coordinates: end nodes, edge hashes, and a digest of the path's
-   words themselves. Paths that agree in anchor, hash and digest are one path of the graph with several sources: all
+2. The others are cut from their texts at their source coordinates: end nodes, edge hashes, and a digest (blake2b) of the path's
+   words themselves. Paths that agree in anchor and digest are one path of the graph with several sources: all
    its edges are repeated. A path with one source is taken apart, and its edges are counted with those of all distinct
    paths of their anchor.
 3. Compaction: repeated paths are joined on their end nodes; a node with one path in and one out does not branch, and the paths
@@ -100,15 +100,15 @@ def _places(batches):
                  pa.array((start - words.base[row]).astype(np.int32)), pa.array(n.astype(np.int32))], ["__id", "__key", "anchor", "start", "n"])
 
 
-PATH = "__id long, __key long, start int, n int, anchor long, path long, digest long, tail long, head long, edges binary"
+PATH = "__id long, __key long, start int, n int, anchor long, path long, tail long, head long, edges binary"
 
 
 def _paths(batches):
-    """The paths at the given coordinates of each text, with nodes, edges and a digest of their words.
+    """The paths at the given coordinates of each text, with a digest of their words as ``path``, nodes and edges.
 
-    A task sends the edges of a path with its first source only (of the first ``SEEN`` paths).
+    A task sends nodes and edges of a path with its first source only (of the first ``SEEN`` paths).
     """
-    seen: set[tuple[int, int]] = set()
+    seen: set[int] = set()
     for batch in batches:
         text, lists = batch.column("text"), batch.column("places")
         for first, data, offsets in c.text_slices(text, SLICE):
@@ -120,14 +120,13 @@ def _paths(batches):
             at = words.base[row] + start
             bounds = np.concatenate([[0], np.cumsum(n)])
             edge = words.hashes(np.repeat(at - bounds[:-1], n) + np.arange(bounds[-1]), WINDOW)
-            digests, raw, owner = np.zeros(len(row), np.int64), [], -1
+            path, raw, owner = np.zeros(len(row), np.int64), [], -1
             for k, (r, s, m) in enumerate(zip(row.tolist(), start.tolist(), n.tolist())):
                 if r != owner:
                     raw, owner = data[offsets[r]: offsets[r + 1]].tobytes().split(), r
-                digests[k] = int.from_bytes(blake2b(b" ".join(raw[s: s + m + WINDOW - 1]), digest_size=8).digest(), "little", signed=True)
-            path = c.signed(words.hashes(at, n + WINDOW - 1))
+                path[k] = int.from_bytes(blake2b(b" ".join(raw[s: s + m + WINDOW - 1]), digest_size=8).digest(), "little", signed=True)
             again = np.zeros(len(row), bool)
-            for k, one in enumerate(zip(path.tolist(), digests.tolist())):
+            for k, one in enumerate(path.tolist()):
                 again[k] = one in seen
                 if len(seen) < SEEN:
                     seen.add(one)
@@ -137,9 +136,9 @@ def _paths(batches):
             take = pa.array(first + row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id").take(take), batch.column("__key").take(take), pa.array(start), pa.array(n.astype(np.int32)), places.field("anchor"),
-                 pa.array(path), pa.array(digests), pa.array(c.signed(words.hashes(at, WINDOW - 1))),
-                 pa.array(c.signed(words.hashes(at + n, WINDOW - 1))), edges],
-                ["__id", "__key", "start", "n", "anchor", "path", "digest", "tail", "head", "edges"])
+                 pa.array(path), pa.array(c.signed(words.hashes(at, WINDOW - 1)), mask=again),
+                 pa.array(c.signed(words.hashes(at + n, WINDOW - 1)), mask=again), edges],
+                ["__id", "__key", "start", "n", "anchor", "path", "tail", "head", "edges"])
 
 
 def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -169,7 +168,10 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def source_paths(texts: DataFrame) -> DataFrame:
     """PATH rows of all paths whose anchor occurs twice or more. ``texts``: __id, __key, text."""
-    often = c.map_batches(texts.select("text"), _anchors, "anchor long, times long").groupBy("anchor").agg(F.sum("times").alias("times")).filter("times > 1").select("anchor")
+    # written, so that the join below has no aggregate on its side and a frequent anchor can be split
+    often = c.written(c.map_batches(texts.select("text"), _anchors, "anchor long, times long").groupBy("anchor").agg(
+        F.sum("times").alias("times")).filter("times > 1").select("anchor"))
+    c.release(texts.sparkSession)
     places = c.map_batches(texts, _places, "__id long, __key long, anchor long, start int, n int").join(often, "anchor")
     by_row = c.written(places.groupBy("__id", "__key").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("places")))
     c.release(texts.sparkSession)
@@ -190,7 +192,7 @@ def compacted(paths: DataFrame) -> DataFrame:
 
 def repeated_pieces(sources: DataFrame) -> DataFrame:
     """__id, __key, start, n, span: runs of repeated edges; equal spans tell which compacted path a run lies on (null: none)."""
-    same = ["anchor", "path", "digest"]
+    same = ["anchor", "path"]
     paths = c.written(sources.groupBy(*same).agg(
         F.count("*").alias("times"), F.min(F.struct("__id", "__key", "start")).alias("s"), F.max("edges").alias("edges"),
         F.min("tail").alias("tail"), F.min("head").alias("head")).select(*same, "times", "s.*", "edges", "tail", "head"))
@@ -202,7 +204,9 @@ def repeated_pieces(sources: DataFrame) -> DataFrame:
     columns = ["__id", "__key", "start", "anchor", "times", "edges"]
     every, own = (c.map_batches(p.select(*columns), _single_edges, "__id long, __key long, start int, anchor long, times long, step int, edge long")
                   for p in (paths, paths.filter("times = 1")))
-    often = every.groupBy("anchor", "edge").agg(F.sum("times").alias("all")).filter("all > 1").select("anchor", "edge")
+    often = c.written(every.groupBy("anchor", "edge").agg(F.sum("times").alias("all"), F.min("times").alias("least")).filter(
+        "all > 1 AND least = 1").select("anchor", "edge"))
+    c.release(sources.sparkSession)
     single = own.join(often, ["anchor", "edge"]).select(
         "__id", "__key", (F.col("start") + F.col("step")).alias("start"), F.lit(1).alias("n"), F.lit(None).cast("long").alias("span"))
     return whole.union(single)
@@ -219,7 +223,9 @@ def long_spans(pieces: DataFrame) -> DataFrame:
 
 
 def _spans(docs: DataFrame) -> DataFrame:
-    spans = c.written(long_spans(repeated_pieces(source_paths(docs.select("__id", "__key", "text")))))
+    pieces = c.written(repeated_pieces(source_paths(docs.select("__id", "__key", "text"))))
+    c.release(docs.sparkSession)
+    spans = c.written(long_spans(pieces))
     c.release(docs.sparkSession)
     return spans
 
