@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from offerlens.functions.urls import is_excluded_url, normalize_company_name, resolve_url, url_host, url_path, website_domain
 from offerlens.operators.extraction import anchors, external_links
-from offerlens.session import materialized
+from offerlens.operators.numbering import numbered
+from offerlens.operators.ordered import first_kept
 
 
 @dataclass(frozen=True)
@@ -48,28 +49,17 @@ def first_wins(entries: DataFrame) -> DataFrame:
     """The entries of (source, seq, domain, name, ...) that an ordered read keeps.
 
     An entry is kept unless an earlier kept one of its source has its domain or
-    its name. All sources advance together: in each round an entry that is the
-    earliest left for both its keys is kept, and what shares a key with it
-    goes. Nothing is gathered per source; a round is two aggregates and joins.
+    its name. Entries connected through domains and names are folded together
+    (``ordered.first_kept``), however long their chains; nothing is gathered per source.
     """
     entries = entries.filter("domain IS NOT NULL AND name IS NOT NULL")
-    left = materialized(entries.groupBy("source", "domain", "name").agg(F.min("seq").alias("seq")))
-    kept = []
-    while not left.isEmpty():
-        by_domain = left.groupBy("source", "domain").agg(F.min("seq").alias("first_domain"))
-        by_name = left.groupBy("source", "name").agg(F.min("seq").alias("first_name"))
-        both = left.join(by_domain, ["source", "domain"]).join(by_name, ["source", "name"])
-        won = materialized(both.filter("seq = first_domain AND seq = first_name").select("source", "domain", "name", "seq"))
-        kept.append(won)
-        left = materialized(
-            left.join(won.select("source", "domain"), ["source", "domain"], "left_anti")
-            .join(won.select("source", "name"), ["source", "name"], "left_anti"))
-    if not kept:
-        return entries.limit(0)
-    winners = kept[0]
-    for won in kept[1:]:
-        winners = winners.union(won)
-    return entries.join(winners, ["source", "domain", "name", "seq"], "left_semi").dropDuplicates(["source", "seq"])
+    key = ["source", "domain", "name"]
+    placed = numbered(entries.groupBy(*key).agg(F.min("seq").alias("seq")), "source", "seq", "domain", "name", name="item")
+    source = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    keys = F.array(F.concat_ws("\n", F.lit("d"), source, "domain"), F.concat_ws("\n", F.lit("n"), source, "name"))
+    claims = placed.select("item", F.explode(keys).alias("key"), F.lit(True).alias("holds"), F.lit(True).alias("asks"))
+    winners = placed.join(first_kept(claims), "item", "left_semi").select(*key, "seq")
+    return entries.join(winners, [*key, "seq"], "left_semi").dropDuplicates(["source", "seq"])
 
 
 def listed_companies(pages: DataFrame, source: str) -> DataFrame:

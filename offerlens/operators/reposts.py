@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from offerlens.constants import SIMILARITY_THRESHOLD
 from offerlens.functions.text import tokens_or_empty, trim_space
+from offerlens.operators.ordered import first_kept, ordered_choices
 from offerlens.session import reliable_checkpoint
 
 COMMON_TOKENS = 20_000
@@ -254,41 +255,20 @@ def _resolve(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Canonical offers among ``nodes`` (company_id, offer_id, title_key,
     has_title), where ``pairs`` (left_id < right_id) are similar descriptions.
 
-    An offer is canonical when no earlier canonical one equals it. Each round
-    settles every offer without an undecided earlier rival, for all companies
-    at once, and removes what it rules out. Title rivals are found through one
-    minimum per title, so a title held by a third of all offers costs one row.
+    An offer is canonical when no earlier canonical one equals it. A title is a
+    key that its offers share, a pair one of its own, so a title held by
+    a third of all offers is not paired up; see ``ordered.first_kept``.
     """
-    settled: list[DataFrame] = []
-    undecided = reliable_checkpoint(nodes)
-    pairs = reliable_checkpoint(pairs.select("left_id", "right_id"))
-    while not undecided.isEmpty():
-        first = undecided.filter("has_title").groupBy("company_id", "title_key").agg(
-            F.min("offer_id").alias("first_id"))
-        rivals = pairs.select(F.col("right_id").alias("offer_id")).distinct()
-        free = (
-            undecided.join(first, ["company_id", "title_key"], "left")
-            .filter("first_id IS NULL OR first_id >= offer_id").drop("first_id")
-            .join(rivals, "offer_id", "left_anti")
-        )
-        free = reliable_checkpoint(free)
-        settled.append(free)
-        taken = free.filter("has_title").groupBy("company_id", "title_key").agg(
-            F.min("offer_id").alias("taken_id"))
-        gone = free.select("offer_id").unionByName(
-            pairs.join(free.select(F.col("offer_id").alias("left_id")), "left_id", "left_semi")
-            .select(F.col("right_id").alias("offer_id")))
-        undecided = reliable_checkpoint(
-            undecided.join(taken, ["company_id", "title_key"], "left")
-            .filter("taken_id IS NULL OR taken_id > offer_id").drop("taken_id")
-            .join(gone.distinct(), "offer_id", "left_anti"))
-        ids = undecided.select("offer_id")
-        pairs = reliable_checkpoint(
-            pairs.join(ids.withColumnRenamed("offer_id", "left_id"), "left_id", "left_semi")
-            .join(ids.withColumnRenamed("offer_id", "right_id"), "right_id", "left_semi"))
-    if not settled:
-        return nodes.limit(0)
-    return _union(settled)
+    title = F.concat_ws("\n", F.lit("t"), F.col("company_id").cast("string"), "title_key")
+    pair = F.concat_ws("\n", F.lit("p"), F.col("left_id").cast("string"), F.col("right_id").cast("string"))
+    yes, no = F.lit(True), F.lit(False)
+    ids = nodes.select("offer_id")
+    inside = pairs.select("left_id", "right_id").join(ids.withColumnRenamed("offer_id", "left_id"), "left_id", "left_semi").join(
+        ids.withColumnRenamed("offer_id", "right_id"), "right_id", "left_semi")
+    ends = F.array(F.struct(F.col("left_id").alias("item"), yes.alias("holds"), no.alias("asks")), F.struct(F.col("right_id").alias("item"), no.alias("holds"), yes.alias("asks")))
+    claims = nodes.select(F.col("offer_id").alias("item"), title.alias("key"), F.col("has_title").alias("holds"), yes.alias("asks")).unionByName(
+        inside.select(pair.alias("key"), F.explode(ends).alias("e")).select("e.item", "key", "e.holds", "e.asks"))
+    return nodes.join(first_kept(claims).withColumnRenamed("item", "offer_id"), "offer_id", "left_semi")
 
 
 def canonical_offers(
@@ -466,8 +446,8 @@ def _choose(options: DataFrame, equal: DataFrame, by_text: DataFrame) -> DataFra
 
     Equal similarity goes to the candidate seen last, and a candidate is seen
     again by each earlier repost of it. So reposts with a single best option
-    are settled first, and tied ones follow once no earlier tied repost can
-    still change the last-seen value of their options.
+    are settled first; tied ones follow in order within each set of candidates
+    that they connect (``ordered.ordered_choices``).
     """
     best = options.groupBy("right_id").agg(F.max("similarity").alias("similarity"))
     tops = reliable_checkpoint(
@@ -476,32 +456,16 @@ def _choose(options: DataFrame, equal: DataFrame, by_text: DataFrame) -> DataFra
     seen = by_text.select(F.col("offer_id").alias("right_id"), "seen_at")
     single = tops.join(sizes.filter("n = 1"), "right_id").join(seen, "right_id").select(
         "left_id", "right_id", "seen_at", "similarity")
-    done = [single]
     tied = reliable_checkpoint(tops.join(sizes.filter("n > 1"), "right_id").join(seen, "right_id"))
-    while not tied.isEmpty():
-        events = _union([equal, *[d.select("left_id", "right_id", "seen_at") for d in done]])
-        first = tied.groupBy("left_id").agg(F.min("right_id").alias("first_right"))
-        ready = tied.join(first, "left_id").groupBy("right_id").agg(
-            F.max(F.col("right_id") - F.col("first_right")).alias("behind")).filter("behind = 0")
-        now = tied.join(ready.select("right_id"), "right_id", "left_semi")
-        seen_again = (
-            now.select("left_id", "right_id").join(
-                events.select("left_id", F.col("right_id").alias("event_id"),
-                              F.col("seen_at").alias("event_seen_at")), "left_id")
-            .filter("event_id < right_id").groupBy("left_id", "right_id")
-            .agg(F.max_by("event_seen_at", "event_id").alias("event_seen_at"))
-        )
-        picked = reliable_checkpoint(
-            now.join(seen_again, ["left_id", "right_id"], "left")
-            .groupBy("right_id", "similarity", "seen_at")
-            .agg(F.max(F.struct(F.coalesce("event_seen_at", "left_seen_at").alias("t"),
-                                (-F.col("left_id")).alias("o"))).alias("b"))
-            .select((-F.col("b.o")).alias("left_id"), "right_id", "seen_at", "similarity"))
-        done.append(picked)
-        tied = reliable_checkpoint(
-            tied.join(picked.select("right_id"), "right_id", "left_anti"))
-    return _union(done).select(
-        F.col("right_id").alias("offer_id"), F.col("left_id").alias("similar_id"), "similarity")
+    done = single
+    if not tied.isEmpty():
+        asks = tied.select(F.col("right_id").alias("item"), F.col("left_id").alias("option"), F.col("left_seen_at").alias("start"), F.col("seen_at").alias("value"))
+        events = _union([equal.select("left_id", "right_id", "seen_at"), single.select("left_id", "right_id", "seen_at")]).select(
+            F.col("right_id").alias("item"), F.col("left_id").alias("option"), F.col("seen_at").alias("value"))
+        open_events = events.join(asks.select("option").distinct(), "option", "left_semi")
+        chosen = ordered_choices(asks, open_events).select(F.col("item").alias("right_id"), F.col("option").alias("left_id"))
+        done = single.unionByName(tied.join(chosen, ["right_id", "left_id"], "left_semi").select(*single.columns))
+    return done.select(F.col("right_id").alias("offer_id"), F.col("left_id").alias("similar_id"), "similarity")
 
 
 # --- set-based output modes -----------------------------------------------------------
