@@ -30,11 +30,14 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the checkpoint folder that the cluster names.
 
-    Only a session without ``spark.checkpoint.dir`` (tests, a laptop) gets a temporary one.
+    Only a local session (tests, a laptop) without ``spark.checkpoint.dir`` gets a temporary one; on a cluster its executors would
+    each write to a disk of their own, so it is an error there.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if base is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         sc.setCheckpointDir(base)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"

@@ -38,7 +38,7 @@ LIST = 8
 TABLES, LEAF, CODE_BITS = 4, 64, 30
 ROUNDS, RECALL, AUDITED = 10, 0.99, 1024
 BLOCK = 512
-VECTOR = T.ArrayType(T.FloatType())
+VECTOR = T.ArrayType(T.DoubleType())
 BESTS = "node long, other long, cosine double"
 
 
@@ -253,7 +253,7 @@ def recall(nodes: DataFrame, counts: DataFrame, pieces: DataFrame) -> float:
         return 1.0
     spaces = [(s["label"], s["width"]) for s in sample.column("space").to_pylist()]
     ids = sample.column("node").to_pylist()
-    units = [unit_rows(pa.array([v], pa.list_(pa.float32())), len(v))[0] for v in sample.column("vector").to_pylist()]
+    units = [unit_rows(pa.array([v], pa.list_(pa.float64())), len(v))[0] for v in sample.column("vector").to_pylist()]
     queries = nodes.sparkSession.sparkContext.broadcast((spaces, ids, units))
     true = c.map_batches(nodes, _audit(queries), "node long, links long").groupBy("node").agg(F.sum("links").alias("true"))
     got = true.filter(F.col("true") > 0).join(counts, "node", "left").join(pieces, "node", "left").select(
@@ -324,7 +324,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     space = "space struct<label:" + rows.schema["label"].dataType.simpleString() + ",width:int>"
 
     def start(tables: int, salt: int, k: int) -> DataFrame:
-        coded = c.map_batches(nodes.select("node", "space", "vector"), _codes(tables, salt), f"tbl int, code long, node long, {space}, vector array<float>")
+        coded = c.map_batches(nodes.select("node", "space", "vector"), _codes(tables, salt), f"tbl int, code long, node long, {space}, vector array<double>")
         ordered = coded.repartitionByRange("tbl", "space", "code", "node").sortWithinPartitions("tbl", "space", "code", "node")
         return c.map_batches(ordered, _leaves(k), BESTS)
 

@@ -1,7 +1,9 @@
 """Quality rules: text counts, and lines that many documents of one host share.
 
-Lines are normalised (A-Z lower-cased, digits to 0, white space collapsed) and hashed. A line of at
-least ``min_docs`` distinct documents of a host is boilerplate there, however large the host, and is taken out: ``keep_good``
+Lines are normalised (A-Z lower-cased, digits to 0 in words without a letter, white space collapsed) and hashed. A line of at
+least ``min_docs`` distinct documents of a host is boilerplate there, however large the host, if at least ``min_line_words`` of its
+words hold a letter: what people say in few words ("I do not know."), rows of numbers and dates are common in any large host
+without being boilerplate. Such a line is taken out: ``keep_good``
 returns texts without such lines, ``removed_spans`` the byte ranges (each with its line feed) that go. A caller may ask
 for a ``share`` of the host's distinct documents as well. A document is depleted, and rejected, when fewer than
 ``min_words`` words or less than ``min_left`` of its words are left. Exact copies of a text count as one
@@ -24,9 +26,12 @@ from offerlens.llm import common as c
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
+MIN_LINE_WORDS = 8
 
 FOLD = c.LOWER.copy()
 FOLD[48:58] = 48
+IS_LETTER = np.arange(256) >= 128
+IS_LETTER[65:91] = IS_LETTER[97:123] = True
 IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS.encode()))
 
 SCHEMA = ("doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -53,8 +58,8 @@ def _repeats(hashes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return _sum(row[np.cumsum(edge)[: len(hashes)] > 0], n)
 
 
-def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict:
-    """Counts of each row, its text hash, and its distinct normalised lines with their words and the spans of all their places."""
+def text_counts(data: np.ndarray, offsets: np.ndarray, min_line_words: int = MIN_LINE_WORDS) -> dict:
+    """Counts of each row, its text hash, and its distinct normalised lines (of enough words with a letter) with their words and the spans of all their places."""
     n = len(offsets) - 1
     start, end, row = c.word_spans(data, offsets)
     raw, folded = c.prefix_hash(data), c.prefix_hash(data, FOLD)
@@ -78,9 +83,13 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict:
     exact = c.span_hash(raw, opens[used], close) + c.mix(at.astype(np.uint64) + c.STEP[1])
     _, first = np.unique(exact, return_index=True)
     out["n_dup_lines"] = _sum(at, n) - _sum(at[first], n)
-    # normalised: the sequence of a line's folded words
+    # lines that may count, normalised: the sequence of a line's folded words
+    letter = np.concatenate([[0], np.cumsum(IS_LETTER[data])])
+    lettered = letter[end] > letter[start]
+    enough = np.bincount(line, lettered, len(opens))[used] >= min_line_words
+    used, words, at, close = used[enough], words[enough], at[enough], close[enough]
     up, down = c.powers(len(start) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(c.span_hash(folded, start, end) * up[:-1])])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.where(lettered, c.span_hash(c.prefix_hash(data, c.LOWER), start, end), c.span_hash(folded, start, end)) * up[:-1])])
     begin = np.searchsorted(line, used)
     norm = c.mix((sums[begin + words] - sums[begin]) * down[begin] + words.astype(np.uint64))
     _, first, inverse = np.unique(norm + c.mix(at.astype(np.uint64) + c.STEP[2]), return_index=True, return_inverse=True)
@@ -97,28 +106,31 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict:
     return out
 
 
-def _measure(batches):
-    for batch in batches:
-        ids, host = batch.column("doc_id"), batch.column("host")
-        for first, data, offsets in c.text_slices(batch.column("text")):
-            n = len(offsets) - 1
-            got = text_counts(data, offsets)
-            at, line, words, (places, begin, stop) = got.pop("lines")
-            spans = pa.ListArray.from_arrays(places.astype(np.int32), pa.StructArray.from_arrays([pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32))], ["start", "stop"]))
-            lines = pa.ListArray.from_arrays(at.astype(np.int32), pa.StructArray.from_arrays([pa.array(line), pa.array(words), spans], ["line", "words", "spans"]))
-            columns = {"doc_id": ids.slice(first, n), "host": host.slice(first, n)}
-            columns |= {k: pa.array(got[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_hash")}
-            yield pa.RecordBatch.from_pydict(columns | {"lines": lines})
+def _measure(min_line_words):
+    def run(batches):
+        for batch in batches:
+            ids, host = batch.column("doc_id"), batch.column("host")
+            for first, data, offsets in c.text_slices(batch.column("text")):
+                n = len(offsets) - 1
+                got = text_counts(data, offsets, min_line_words)
+                at, line, words, (places, begin, stop) = got.pop("lines")
+                spans = pa.ListArray.from_arrays(places.astype(np.int32), pa.StructArray.from_arrays([pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32))], ["start", "stop"]))
+                lines = pa.ListArray.from_arrays(at.astype(np.int32), pa.StructArray.from_arrays([pa.array(line), pa.array(words), spans], ["line", "words", "spans"]))
+                columns = {"doc_id": ids.slice(first, n), "host": host.slice(first, n)}
+                columns |= {k: pa.array(got[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_hash")}
+                yield pa.RecordBatch.from_pydict(columns | {"lines": lines})
+
+    return run
 
 
 def judge_spans(
     docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.0,
-    min_words: int = MIN_WORDS, min_left: float = 0.3,
+    min_words: int = MIN_WORDS, min_left: float = 0.3, min_line_words: int = MIN_LINE_WORDS,
 ) -> DataFrame:
     """One row per document with its counts, the words taken out, base_failed, kept, and removed_spans."""
     picked = docs.select(
         F.col("doc_id").cast("long"), F.when(F.col(host).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(host))).alias("host"), "text")
-    measured = c.written(c.map_batches(picked, _measure, SCHEMA).withColumn("row", F.monotonically_increasing_id()))
+    measured = c.written(c.map_batches(picked, _measure(min_line_words), SCHEMA).withColumn("row", F.monotonically_increasing_id()))
     held = measured.select("row", "host", "text_hash", F.inline("lines"))
     common = held.select("host", "line", "text_hash").distinct().groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
     if share > 0:

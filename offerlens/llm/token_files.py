@@ -67,7 +67,8 @@ class WordEncoder(dict):
             ids = array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         else:
             core = key.rstrip(MARKS)
-            if b"<|" not in key and len(core) < len(key) and core.decode()[-1:].isalpha():
+            # the letter before the marks stays one when it is lowered (a capital dotted I leaves a combining dot, which goes with the marks)
+            if b"<|" not in key and len(core) < len(key) and core.decode()[-1:].isalpha() and core.decode().lower()[-1:].isalpha():
                 ids = self[core] + self[key[len(core):]]
             else:
                 ids = array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
@@ -81,25 +82,31 @@ class WordEncoder(dict):
         """Ids of all rows of a slice, and how many each row has.
 
         Every distinct word of the slice is looked up once. The run of marks after an ASCII letter is a word of
-        its own, and upper-case ASCII letters are lower-case ones, but for slices with special tokens.
+        its own, and upper-case ASCII letters are lower-case ones, but for slices with special tokens and before a byte
+        that is not ASCII: a combining character there is composed with the letter first, in its own case.
         """
         n = len(offsets) - 1
         start, end, row = c.word_spans(data, offsets)
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(n, np.int64)
         raw = data.tobytes()
-        fold = c.IDENTITY if b"<|" in raw else c.LOWER
+        plain = b"<|" not in raw
+        low = data
+        if plain:
+            low = c.LOWER[data]
+            wide = np.flatnonzero(data[1:] >= 128)
+            low[wide] = data[wide]
         stop = np.maximum.accumulate(np.where(MARK[data], -1, np.arange(len(data))))[end - 1] + 1
-        tail = (stop < end) & (stop > start) & LETTER[data[np.maximum(stop - 1, 0)]] & (fold is c.LOWER)
+        tail = (stop < end) & (stop > start) & LETTER[data[np.maximum(stop - 1, 0)]] & plain
         stop = np.where(tail, stop, end)
         place = np.arange(len(start)) + np.cumsum(tail) - tail
         first, last, at = (np.empty(len(start) + int(tail.sum()), np.int64) for _ in range(3))
         first[place], last[place], at[place] = start, stop, row
         marks = place[tail] + 1
         first[marks], last[marks], at[marks] = stop[tail], end[tail], row[tail]
-        _, one, number = np.unique(c.span_hash(c.prefix_hash(data, fold), first, last), return_index=True, return_inverse=True)
-        if fold is c.LOWER:
-            raw = c.LOWER[data].tobytes()
+        _, one, number = np.unique(c.span_hash(c.prefix_hash(low), first, last), return_index=True, return_inverse=True)
+        if plain:
+            raw = low.tobytes()
         found = [self[raw[x:y]] for x, y in zip(first[one].tolist(), last[one].tolist())]
         size = np.array([len(x) for x in found]) // 4
         table, begin = np.frombuffer(b"".join(found), np.int32), np.cumsum(size) - size

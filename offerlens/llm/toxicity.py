@@ -227,8 +227,8 @@ def best_logits(z: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return best
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, longest: int = 50_000) -> DataFrame:
-    """All columns of ``docs``, and ``score`` (replacing a column of that name)."""
+def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, longest: int = 50_000, name: str = "score") -> DataFrame:
+    """All columns of ``docs``, and the score as ``name`` (replacing a column of that name)."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(train(*sampling.labelled(docs, labels, label, per_class, longest)))
 
@@ -237,10 +237,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", pe
         for batch in batches:
             scores = [sigmoid(best_logits(z, data, offsets) + bias) for _, data, offsets in c.text_slices(batch.column("text"), 2 << 20)]
             scores = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, name])
 
-    docs = docs.drop("score")
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    docs = docs.drop(name)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -250,5 +250,6 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not toxic, with all their columns."""
-    return score_documents(docs.withColumn("text", F.col("text").cast("string")), labels).filter(F.col("score") < TOXIC_AT).select(*docs.columns)
+    """The documents that are not toxic, with all their columns, a ``score`` of their own included."""
+    scored = score_documents(docs.withColumn("text", F.col("text").cast("string")), labels, name="__toxicity")
+    return scored.filter(F.col("__toxicity") < TOXIC_AT).select(*docs.columns)

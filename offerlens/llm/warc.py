@@ -125,6 +125,21 @@ def _parse(batches):
     the separator, whose own last CRLF then leads the next piece.
     """
     out, head, need, digest, parts, shifted = [], None, 0, None, 0, False
+    whole, chain = None, ("", 0)  # the digest over the segments of one record, its first record's id and the last segment's number
+
+    def took(data: bytes) -> None:
+        digest.update(data)
+        if whole is not None:
+            whole.update(data)
+
+    def ended() -> None:
+        """Note the record just read; a digest over segments replaces that of its header once it is proved equal."""
+        if whole is not None and "WARC-Segment-Total-Length" in head:
+            if f"sha1:{whole.hexdigest()}" != head.get("WARC-Payload-Digest"):
+                raise ValueError(f"the segments of {chain[0]} do not have the digest of their last header")
+            head["WARC-Payload-Digest"] = f"sha1:{whole.hexdigest()}"
+        out.append((head, parts, digest.hexdigest()))
+
     for batch in batches:
         for value in batch.column("value"):
             piece = value.as_buffer().to_pybytes() if value.is_valid else b""
@@ -139,11 +154,20 @@ def _parse(batches):
                     raise ValueError(f"no WARC record: {piece[:60]!r}")
                 head, digest, parts = _fields(piece.decode()), hashlib.sha1(), 0
                 need = int(head["Content-Length"])
+                number = int(head.get("WARC-Segment-Number", 0))
+                if number == 1:
+                    whole, chain = hashlib.sha1(), (head["WARC-Record-ID"], 1)
+                elif number:
+                    if chain != (head.get("WARC-Segment-Origin-ID"), number - 1):
+                        raise ValueError(f"segment {number} of {head.get('WARC-Segment-Origin-ID')} is out of place")
+                    chain = chain[0], number
+                else:
+                    whole, chain = None, ("", 0)
                 fresh = True
                 if need:
                     continue
                 # a record without a payload: its end follows the header at once
-                out.append((head, 0, digest.hexdigest()))
+                ended()
                 head = "ended"
                 continue
             if head == "ended":
@@ -152,16 +176,16 @@ def _parse(batches):
                 head = None
                 continue
             if not fresh:
-                digest.update(END.encode())
+                took(END.encode())
                 parts += len(END)
             fresh = False
-            digest.update(piece)
+            took(piece)
             parts += len(piece)
             if need - parts == len(CRLF):
-                digest.update(CRLF)
+                took(CRLF)
                 parts, shifted = need, True
             if parts == need:
-                out.append((head, parts, digest.hexdigest()))
+                ended()
                 head = None
             elif parts > need:
                 raise ValueError("a record is longer than its Content-Length")
@@ -199,8 +223,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def page_records(records: DataFrame) -> DataFrame:
     """One row per page: its segments are put together by their origin.
 
-    The payload digest of a response in one segment is that of the block as read; a longer one
-    carries the running digest of its last segment.
+    The payload digest of a response is that of its bytes as read: of the block, or over all segments, which the reader
+    took in order and checked against the last one's header.
     """
     one = F.col("origin").isNull() & F.col("total_length").isNull() & F.col("payload_digest").isNotNull()
     simple = records.filter(one).select(

@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
+
 from offerlens.llm import quality_rules
 from tests.llm.helpers import ODD_TEXTS, WORD, documents, prose
 
@@ -18,12 +20,22 @@ def base(text):
     return n, sum(map(len, words)), sum(x in "#*$%&|<>" for x in text or ""), len(lines) - len(set(lines)), len(covered), failed
 
 
-def normal(line):
-    low = "".join(chr(ord(x) + 32) if "A" <= x <= "Z" else "0" if "0" <= x <= "9" else x for x in line)
-    return tuple(WORD.findall(low))
+def has_letter(word):
+    return any(x.isascii() and x.isalpha() or ord(x) > 127 for x in word)
+
+
+def normal(line, min_line_words=8):
+    """The folded words of a line that may count, else nothing."""
+    words = WORD.findall("".join(chr(ord(x) + 32) if "A" <= x <= "Z" else x for x in line))
+    if sum(map(has_letter, words)) < min_line_words:
+        return ()
+    return tuple(w if has_letter(w) else "".join("0" if "0" <= x <= "9" else x for x in w) for w in words)
+
 
+def brute(rows, min_docs, share, min_words=10, min_left=0.3, min_line_words=8):
+    def normal(line):
+        return globals()["normal"](line, min_line_words)
 
-def brute(rows, min_docs, share, min_words=10, min_left=0.3):
     hosts, seen = defaultdict(set), defaultdict(set)
     for _, t, _, s in rows:
         hosts[s].add(t or "")
@@ -43,7 +55,7 @@ def brute(rows, min_docs, share, min_words=10, min_left=0.3):
 def check(spark, rows, **limits):
     got = quality_rules.judge_lines(documents(spark, rows), **limits).drop("host", "text_hash").collect()
     key = lambda r: tuple((x is not None, x) for x in r)
-    assert sorted(map(tuple, got), key=key) == sorted(brute(rows, limits["min_docs"], limits["share"]), key=key)
+    assert sorted(map(tuple, got), key=key) == sorted(brute(rows, **limits), key=key)
 
 
 def test_against_brute_force(spark):
@@ -60,8 +72,8 @@ def test_against_brute_force(spark):
             lines += lines
         rows.append((i, "\n".join(lines), "en", rng.choice(["a", "a", "b", None])))
     rows += [(1000 + k, t, None, "a") for k, t in enumerate(ODD_TEXTS)] + [(None, "x y", None, None), rows[3], rows[3]]
-    check(spark, rows, min_docs=5, share=0.02)
-    check(spark, rows, min_docs=20, share=0.05)
+    check(spark, rows, min_docs=5, share=0.02, min_line_words=1)
+    check(spark, rows, min_docs=20, share=0.05, min_line_words=6)
 
 
 def test_copies_count_once_and_empty_table(spark):
@@ -85,14 +97,29 @@ def test_common_lines_leave_the_text(spark):
     rows = [(i, f"{body()}\nAccept  cookies é {i % 7}\n{body()}\r\n\nACCEPT COOKIES é 9", "en", "a") for i in range(30)] + [(50, "own " + body(), "en", "a"), (50, "own", "en", "b")]
     docs = documents(spark, rows)
     want = {i: t if i == 50 else t.split("\n")[0] + "\n" + t.split("\n")[2] + "\n\n" for i, t, _, s in rows if s == "a"}
-    got = {r.doc_id: r for r in quality_rules.keep_good(docs).collect()}
+    got = {r.doc_id: r for r in quality_rules.keep_good(docs, min_line_words=3).collect()}
     assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
-    spans = {r.doc_id: r.removed_spans for r in quality_rules.judge_spans(docs).filter("removed_words > 0").collect()}
+    spans = {r.doc_id: r.removed_spans for r in quality_rules.judge_spans(docs, min_line_words=3).filter("removed_words > 0").collect()}
     assert {i: quality_rules.without(t, [s.asDict() for s in spans.get(i, [])]) for i, t, _, s in rows if s == "a"} == want
 
 
 def test_a_line_is_common_in_a_host_of_any_size(spark):
     rng = random.Random(12)
     rows = [(i, prose(rng, 30, 4000) + ("\nshared notice of the owner" if i < 25 else ""), "en", "a") for i in range(1000)]
-    got = quality_rules.judge_lines(documents(spark, rows)).filter("removed_words > 0").collect()
+    got = quality_rules.judge_lines(documents(spark, rows), min_line_words=5).filter("removed_words > 0").collect()
     assert sorted((r.doc_id, r.removed_words) for r in got) == [(i, 5) for i in range(25)]
+
+
+SAYINGS = ["Yes.", "No.", "I do not know.", "What do you mean by that?", "Thank you, that is all for today.", "12 30 2024 17", "2024-01-02 10:30"]
+
+
+@pytest.mark.parametrize("n", [20, 2_000, 20_000])
+def test_dialogues_and_tables_stay_and_notices_go_in_hosts_of_any_size(spark, n):
+    rng = random.Random(n)
+    notice = "By using this site you accept our terms of use, version 7"
+    talk = [(i, "\n".join([*rng.sample(SAYINGS, 6), f"own{i} word{i} of this one talk{i}"]), "en", "a") for i in range(n)]
+    table_ = [(n + i, "\n".join(f"w{i}x{k} {k} {i % 7} 2024" for k in range(9)), "en", "a") for i in range(n)]
+    noted = [(2 * n + i, f"{prose(rng, 30, 4000)}\n{notice.replace('7', str(i % 10))}", "en", "a") for i in range(25)]
+    got = {r.doc_id: r for r in quality_rules.judge_lines(documents(spark, talk + table_ + noted)).collect()}
+    assert all(got[i].removed_words == 0 and got[i].kept == (not got[i].base_failed) for i in range(2 * n))
+    assert all(got[2 * n + i].removed_words == 12 and got[2 * n + i].kept for i in range(25))

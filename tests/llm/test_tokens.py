@@ -41,6 +41,26 @@ def test_edges():
         same(text or "")
 
 
+def same_words(text):
+    """Ids of whole texts in slices with and without a special token's mark."""
+    for around in ("", "<|"):
+        whole = f"{text} {around}"
+        data = np.frombuffer(whole.encode(), np.uint8)
+        assert words.encode(data, np.array([0, len(data)]))[0].tolist() == word_tokenizer.encode(whole, add_special_tokens=False).ids, repr(whole)
+
+
+def test_words_that_change_when_lowered_or_composed():
+    for text in ["TARİHİ, BÜYÜK ŞEHİRLERİ.", "İ! İ, aİ; İ", "T\u0308 W\u030a Y\u030a H\u0331 J\u030c aT\u0308! T\u0308,", "ΟΔΥΣΣΕΥΣ. Σ, ΆΣ!", "A\u0301B E\u0301. E\u0301"]:
+        same_words(text)
+
+
+def test_a_hundred_thousand_words_of_turkish_greek_and_combining_characters():
+    rng = random.Random(4)
+    letters = "abtwyhjTWYHJIİıiŞşĞğÜüÖöÇçΑΆΣσςΟΔοδ\u0301\u0307\u0308\u030a\u030c\u0331\u0345.,!'-12ẞßǅ"
+    for _ in range(400):
+        same_words(" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 7))) for _ in range(250)))
+
+
 @settings(max_examples=400, deadline=None)
 @given(TEXT)
 def test_any_text(text):

@@ -1,8 +1,11 @@
 import gzip
 import glob
 import hashlib
+import os
 import random
 
+import pytest
+
 from offerlens.llm import common as c
 from offerlens.llm import warc
 
@@ -49,3 +52,20 @@ def test_payloads_and_chunks_that_end_in_crlf(spark, monkeypatch):
     for rows in [[(i, "u", t)] for i, t in enumerate(texts)] + [[(i, "u", t) for i, t in enumerate(texts)]]:
         got = sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type) for r in run(spark, rows)[1])
         assert got == [(i, len(t), hashlib.sha1(t.encode()).hexdigest(), "response") for i, _, t in rows]
+
+
+def test_changed_or_displaced_segments_are_found(spark):
+    text = "".join(random.Random(3).choices("abcdef ", k=3 * warc.CHUNK_CHARS))
+    path, got = run(spark, [(1, "u", text), (2, "u", "short")])
+    assert {r.page_id: r.payload_digest for r in got} == {1: hashlib.sha1(text.encode()).hexdigest(), 2: hashlib.sha1(b"short").hexdigest()}
+    [file] = [f for f in glob.glob(path.removeprefix("file:") + "/part-*") if b"WARC-Segment-Number: 3" in gzip.open(f).read()]
+    whole = gzip.open(file).read()
+    pieces = [text[k * warc.CHUNK_CHARS: (k + 1) * warc.CHUNK_CHARS].encode() for k in range(3)]
+    for broken in (whole.replace(pieces[1], pieces[1][::-1]), whole.replace(pieces[0], b"#").replace(pieces[1], pieces[0]).replace(b"#", pieces[1]),
+                   whole.replace(b"WARC-Segment-Number: 2", b"WARC-Segment-Number: 4")):
+        folder = c.shared_folder(spark)
+        os.makedirs(folder)
+        with gzip.open(f"{folder}/part-0.txt.gz", "wb") as out:
+            out.write(broken)
+        with pytest.raises(Exception, match="digest of their last header|out of place"):
+            warc.page_records(warc.read_archives(spark, folder)).collect()
