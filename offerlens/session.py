@@ -30,11 +30,14 @@ def build_session(app: str = "offerlens", master: str | None = None, **conf: str
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without one (tests, a laptop) gets a fresh temporary folder.
+    Only a local session (tests, a laptop) without one gets a fresh temporary folder; elsewhere it is an error, as
+    executors would write to disks of their own.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return sc.getCheckpointDir()
 
