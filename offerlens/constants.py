@@ -83,6 +83,7 @@ SHEET_HEADERS = (
 )
 NO_NAME = "(no name)"
 APPEND_BATCH = 100
+UPDATE_BATCH = 50
 FEEDBACK_ZONE = "Europe/Madrid"
 FEEDBACK_HOURS = (3, 6)
 QUERY_KEY_HEX = 12

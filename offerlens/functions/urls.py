@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,18 +69,51 @@ def candidate_urls(base: Column) -> Column:
     return F.array_distinct(urls)
 
 
+def _without_dots(path: Column) -> Column:
+    """A rooted path without its ``.`` and ``..`` segments; what leads above the root stays there."""
+    parts = F.split(path, "/")
+    folded = F.aggregate(
+        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"),
+        lambda done, part: F.when(F.lower(part).isin(".", "%2e"), done)
+        .when(F.lower(part).isin("..", ".%2e", "%2e.", "%2e%2e"), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))))
+    # a path that ends in a dot segment ends in a slash
+    closed = F.when(path.rlike(r"(?i)/(\.|%2e){1,2}$"), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    return F.concat(F.lit("/"), F.array_join(closed, "/"))
+
+
+def normalize_url(url: Column) -> Column:
+    """An http(s) URL with scheme and host in lower case, without a default port and dot segments; others as they are."""
+    authority = r"^(?i)(https?)://([^/?#]*)"
+    scheme = F.lower(F.regexp_extract(url, authority, 1))
+    place = F.regexp_extract(url, authority, 2)
+    user, host = F.regexp_extract(place, "^(.*@)?", 0), F.lower(F.regexp_replace(place, "^.*@", ""))
+    port = F.when(scheme == "http", F.regexp_replace(host, ":0*80$|:$", "")).otherwise(F.regexp_replace(host, ":0*443$|:$", ""))
+    rest = F.regexp_replace(url, authority, "")
+    path, tail = F.regexp_extract(rest, "^[^?#]*", 0), F.regexp_extract(rest, "[?#].*$", 0)
+    clean = F.when(path.rlike(r"(?i)/(\.|%2e){1,2}(/|$)"), _without_dots(path)).otherwise(path)
+    return F.when(url.rlike(authority), F.concat(scheme, F.lit("://"), user, port, clean, tail)).otherwise(url)
+
+
 def resolve_url(href: Column, base: Column) -> Column:
-    """Absolute form of a link: absolute, scheme-relative, rooted or relative."""
-    origin = F.regexp_extract(base, r"^([^:/?#]+://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([^:/?#]+://[^/?#]*(?:/[^?#]*/)?)", 1)
+    """Absolute form of a link on a page: absolute, scheme-relative, rooted, relative, query only, fragment only or empty.
+
+    Dot segments, default ports and the case of scheme and host are settled as browsers do; hosts are not turned to punycode.
+    """
+    link = trim_space(href)
+    plain = F.regexp_replace(base, "#.*$", "")
+    path = F.regexp_extract(plain, r"^[^?]*", 0)
+    origin = F.regexp_extract(path, r"^([^:/?#]+://[^/?#]*)", 1)
+    folder = F.regexp_extract(path, r"^([^:/?#]+://[^/?#]*(?:/[^?#]*/)?)", 1)
     folder = F.when(F.endswith(folder, F.lit("/")), folder).otherwise(F.concat(folder, F.lit("/")))
-    return (
-        F.when(href.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), href)
-        .when(F.startswith(href, F.lit("//")),
-              F.concat(F.regexp_extract(base, r"^([^:/?#]+:)", 1), href))
-        .when(F.startswith(href, F.lit("/")), F.concat(origin, href))
-        .otherwise(F.concat(folder, href))
-    )
+    return normalize_url(
+        F.when(link == "", plain)
+        .when(link.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), link)
+        .when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(base, r"^([^:/?#]+:)", 1), link))
+        .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
+        .when(F.startswith(link, F.lit("#")), F.concat(plain, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(path, link))
+        .otherwise(F.concat(folder, link)))
 
 
 def canonical_detail_url(url: Column) -> Column:
@@ -86,7 +121,7 @@ def canonical_detail_url(url: Column) -> Column:
 
 
 def _ends_with_any(text: Column, endings: tuple[str, ...]) -> Column:
-    return text.rlike("(" + "|".join("\\" + e for e in endings) + ")$")
+    return text.rlike("(" + "|".join(re.escape(e) for e in endings) + ")$")
 
 
 def is_excluded_url(url: Column, base_domain: Column, longest: int | None = None) -> Column:

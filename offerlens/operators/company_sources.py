@@ -48,6 +48,13 @@ def merge_by_company(existing: DataFrame, updates: DataFrame) -> tuple[DataFrame
     return merged, judged.filter("refused").select(*key, *columns)
 
 
+def tenants(sources: DataFrame, provider: str, limit: int | None = None) -> DataFrame:
+    """company_id, tenant of a provider's visible links with an id, in the order of companies; by default all."""
+    rows = sources.filter((F.col("provider") == provider) & F.col("provider_company_id").isNotNull() & ~F.coalesce("hidden", F.lit(False))).select(
+        "company_id", F.col("provider_company_id").alias("tenant"))
+    return rows if limit is None else rows.orderBy("company_id", "tenant").limit(limit)
+
+
 def apply_feedback(plan: DataFrame, companies: DataFrame, offers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Companies with their new resolutions, and the offers left after the
     destructive changes. Metric columns stay as they are."""

@@ -66,6 +66,13 @@ def hydrate(requested: DataFrame, payload: DataFrame) -> DataFrame:
     return requested.join(last, ["tenant", "id"]).select(requested["*"], "d.*")
 
 
+def hydration_counters(requested: DataFrame, payload: DataFrame) -> DataFrame:
+    """tenant, requested, missed: requests whose id the tenant's payload does not hold."""
+    there = payload.select("tenant", "id").distinct().withColumn("there", F.lit(True))
+    return requested.join(there, ["tenant", "id"], "left").groupBy("tenant").agg(
+        F.count(F.lit(1)).alias("requested"), F.count_if(F.col("there").isNull()).alias("missed"))
+
+
 def since_bucket(updated: Column, now: Column) -> Column:
     days = (F.unix_micros(now) - F.unix_micros(updated)) / F.lit(86_400_000_000)
     return (

@@ -51,8 +51,9 @@ def _marketplace(rows: DataFrame, work_day: str) -> DataFrame:
             experienceMin=F.col("experienceMin"), salary=salary())})
 
 
-def map_marketplace_items(rows: DataFrame) -> DataFrame:
+def map_marketplace_items(rows: DataFrame, *keys: str) -> DataFrame:
     return _marketplace(rows, "workDay").select(
+        *keys,
         F.lit("infojobs").alias("provider"), "id", F.col("link").alias("url"), "title",
         F.struct(F.col("author.id").alias("id"), F.col("author.name").alias("name"),
                  normalize_company_name(_present(F.col("author.name"))).alias("normalizedName")).alias("company"),
@@ -87,13 +88,13 @@ def posting_description() -> Column:
     return F.when(F.size(parts) > 0, F.array_join(parts, "\n\n"))
 
 
-def map_postings(rows: DataFrame) -> DataFrame:
+def map_postings(rows: DataFrame, *keys: str) -> DataFrame:
     """Postings with their ``tenant``, which is also the company name."""
     stamp = F.concat(
         F.date_format(F.to_utc_timestamp(F.timestamp_millis("createdAt"), F.current_timezone()),
                       "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
     return rows.select(
-        F.lit("lever").alias("provider"), "id", F.col("hostedUrl").alias("url"), F.col("text").alias("title"),
+        *keys, F.lit("lever").alias("provider"), "id", F.col("hostedUrl").alias("url"), F.col("text").alias("title"),
         F.col("tenant").alias("company_name"), stamp.alias("publishedAt"),
         _present(F.col("categories.location")).alias("city"),
         F.coalesce(_present(F.col("categories.department")), _present(F.col("categories.team"))).alias("category"),
@@ -101,13 +102,13 @@ def map_postings(rows: DataFrame) -> DataFrame:
         posting_description().alias("description"))
 
 
-def map_jobs(rows: DataFrame, max_chars: int | None = None) -> DataFrame:
+def map_jobs(rows: DataFrame, *keys: str, max_chars: int | None = None) -> DataFrame:
     """Jobs with their ``tenant``. ``max_chars`` cuts descriptions; off by default."""
     value = F.get(F.filter("metadata", lambda m: F.lower(m.getField("name")) == "department"), F.lit(0)).getField("value")
     first = F.when(F.startswith(value, F.lit("[")), F.get_json_object(value, "$[0]")).otherwise(value)
     content = F.col("content") if max_chars is None else F.substring("content", 1, max_chars)
     return rows.select(
-        F.lit("greenhouse").alias("provider"), F.col("id").cast("string").alias("id"),
+        *keys, F.lit("greenhouse").alias("provider"), F.col("id").cast("string").alias("id"),
         F.col("absolute_url").alias("url"), "title", F.col("tenant").alias("company_name"),
         F.col("updated_at").alias("updatedAt"), _present(F.col("location.name")).alias("city"),
         _present(first).alias("category"), content.alias("description"))
