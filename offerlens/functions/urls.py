@@ -82,17 +82,26 @@ def _without_dots(path: Column) -> Column:
     return F.concat(F.lit("/"), F.array_join(closed, "/"))
 
 
+_AUTHORITY = r"^(?i)(https?)://([^/?#]*)"
+_DOTS = r"(?i)/(\.|%2e){1,2}(/|$)"
+#: What normalize_url changes: letters of scheme or host, a port, dot segments.
+_UNSETTLED = r"^(?:[a-z]*[A-Z]|https?://[^/?#]*[A-Z:]|[^?#]*/(?:\.|%2[eE]){1,2}(?:[/?#]|$))"
+
+
+def _normalized(url: Column) -> Column:
+    scheme = F.lower(F.regexp_extract(url, _AUTHORITY, 1))
+    place = F.regexp_extract(url, _AUTHORITY, 2)
+    user, host = F.regexp_extract(place, "^(.*@)?", 0), F.lower(F.regexp_replace(place, "^.*@", ""))
+    port = F.regexp_replace(host, F.when(scheme == "http", ":0*80$|:$").otherwise(":0*443$|:$"), F.lit(""))
+    rest = F.regexp_replace(url, _AUTHORITY, "")
+    path = F.regexp_extract(rest, "^[^?#]*", 0)
+    clean = F.when(path.rlike(_DOTS), let(path, _without_dots)).otherwise(path)
+    return F.concat(scheme, F.lit("://"), user, port, clean, F.regexp_extract(rest, "[?#].*$", 0))
+
+
 def normalize_url(url: Column) -> Column:
     """An http(s) URL with scheme and host in lower case, without a default port and dot segments; others as they are."""
-    authority = r"^(?i)(https?)://([^/?#]*)"
-    scheme = F.lower(F.regexp_extract(url, authority, 1))
-    place = F.regexp_extract(url, authority, 2)
-    user, host = F.regexp_extract(place, "^(.*@)?", 0), F.lower(F.regexp_replace(place, "^.*@", ""))
-    port = F.when(scheme == "http", F.regexp_replace(host, ":0*80$|:$", "")).otherwise(F.regexp_replace(host, ":0*443$|:$", ""))
-    rest = F.regexp_replace(url, authority, "")
-    path, tail = F.regexp_extract(rest, "^[^?#]*", 0), F.regexp_extract(rest, "[?#].*$", 0)
-    clean = F.when(path.rlike(r"(?i)/(\.|%2e){1,2}(/|$)"), _without_dots(path)).otherwise(path)
-    return F.when(url.rlike(authority), F.concat(scheme, F.lit("://"), user, port, clean, tail)).otherwise(url)
+    return let(url, lambda u: F.when(u.rlike(_UNSETTLED) & u.rlike(_AUTHORITY), _normalized(u)).otherwise(u))
 
 
 def resolve_url(href: Column, base: Column) -> Column:
@@ -100,20 +109,19 @@ def resolve_url(href: Column, base: Column) -> Column:
 
     Dot segments, default ports and the case of scheme and host are settled as browsers do; hosts are not turned to punycode.
     """
-    link = trim_space(href)
     plain = F.regexp_replace(base, "#.*$", "")
     path = F.regexp_extract(plain, r"^[^?]*", 0)
     origin = F.regexp_extract(path, r"^([^:/?#]+://[^/?#]*)", 1)
     folder = F.regexp_extract(path, r"^([^:/?#]+://[^/?#]*(?:/[^?#]*/)?)", 1)
     folder = F.when(F.endswith(folder, F.lit("/")), folder).otherwise(F.concat(folder, F.lit("/")))
-    return normalize_url(
+    return normalize_url(let(trim_space(href), lambda link: (
         F.when(link == "", plain)
         .when(link.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), link)
         .when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(base, r"^([^:/?#]+:)", 1), link))
         .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
         .when(F.startswith(link, F.lit("#")), F.concat(plain, link))
         .when(F.startswith(link, F.lit("?")), F.concat(path, link))
-        .otherwise(F.concat(folder, link)))
+        .otherwise(F.concat(folder, link)))))
 
 
 def canonical_detail_url(url: Column) -> Column:

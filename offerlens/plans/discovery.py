@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerlens.constants import ATS_PATTERNS
 from offerlens.functions.urls import candidate_urls, is_career_link, normalize_website_url, resolve_url, url_host
 from offerlens.operators.company_sources import merge_by_company
 from offerlens.operators.extraction import detect_tenant, hrefs
 
 
-def discover(sites: DataFrame, pages: DataFrame) -> DataFrame:
+def discover(sites: DataFrame, pages: DataFrame, patterns: tuple = ATS_PATTERNS) -> DataFrame:
     """company_id, status (found, not_found, error), provider, tenant, evidence_url.
 
     ``sites``: company_id, website_url; ``pages``: url, html. The candidate
@@ -24,13 +25,13 @@ def discover(sites: DataFrame, pages: DataFrame) -> DataFrame:
     read = pages.select(F.col("url").alias("page_url"), "html")
     fetched = tried.join(read, F.col("candidate") == F.col("page_url"))
     direct = fetched.select("company_id", F.struct(F.lit(0).alias("step"), "candidate_no", F.lit(0).alias("pos")).alias("at"),
-                            detect_tenant(F.col("html")).alias("found"), F.col("candidate").alias("evidence_url"))
+                            detect_tenant(F.col("html"), patterns).alias("found"), F.col("candidate").alias("evidence_url"))
     links = hrefs(fetched.select("company_id", "candidate_no", "base", F.col("candidate").alias("url"), "html"), "company_id", "candidate_no", "base")
     links = links.withColumn("link", resolve_url(F.col("href"), F.col("url"))).filter(
         is_career_link(F.col("href"), F.col("link"), url_host(F.col("url"))) & ~F.array_contains(candidate_urls(F.col("base")), F.col("link")))
     first = links.groupBy("company_id", "link").agg(F.min(F.struct(F.lit(1).alias("step"), "candidate_no", "pos")).alias("at"))
     followed = first.join(read, F.col("link") == F.col("page_url")).select(
-        "company_id", "at", detect_tenant(F.col("html")).alias("found"), F.col("link").alias("evidence_url"))
+        "company_id", "at", detect_tenant(F.col("html"), patterns).alias("found"), F.col("link").alias("evidence_url"))
     best = direct.unionByName(followed).filter("found IS NOT NULL").groupBy("company_id").agg(
         F.min_by(F.struct("found.provider", "found.tenant", "evidence_url"), "at").alias("b"))
     return based.join(best, "company_id", "left").select(

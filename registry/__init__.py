@@ -27,6 +27,6 @@ def load_all() -> None:
 
     for module in (
         "signals", "reposts", "sources", "merges", "joins", "pages",
-        "sheets", "runs", "jobs", "links", "identity", "ingest",
+        "sheets", "runs", "jobs", "links", "identity", "ingest", "flows",
     ):
         importlib.import_module(f"registry.{module}")
