@@ -14,6 +14,10 @@ HEADLINE = (
 )
 
 
+#: Dearer jobs, timed beside the headline and left out of its total.
+MORE = ("d9_repost_fold", "k1_offers", "g4_first_wins", "k5_j3_j6_discovery")
+
+
 def main() -> None:
     import registry
 
@@ -25,16 +29,21 @@ def main() -> None:
         "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1).count()  # JVM and session start-up is not query time
-    times = {}
-    for name in HEADLINE:
-        if name not in registry.QUERIES:
-            continue
+
+    def timed(name: str) -> float:
         start = time.perf_counter()
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
+        return round(time.perf_counter() - start, 3)
+
+    names = [name for name in HEADLINE if name in registry.QUERIES]
+    timed(names[0])  # the first query of a session pays for class loading and compilation
+    times = {name: timed(name) for name in names}
+    more = {}
+    if os.environ.get("BENCH_MORE"):
+        more = {name: timed(name) for name in MORE if name in registry.QUERIES}
     print(json.dumps({
         "metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "queries": times, "more": more, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
 
 

@@ -146,3 +146,12 @@ DIRECTORY_EXCLUDED_DOMAINS = (
     "github.com",
     "startupshub.catalonia.com",
 )
+
+# --- directories -------------------------------------------------------------
+# source, host, card, title and detail path of the known company directories
+DIRECTORY_RULES = (
+    ("catalonia", "startupshub.catalonia.com", r"(?is)<li[^>]*class=\"[^\"]*\bitem\b[^\"]*\"[^>]*>(.*?)</li>", r"(?is)<h3[^>]*>(.*?)</h3>", r"^/startup/[^/]+/[^/]+/\d+/?$"),
+    ("madrimasd", "startups.madrimasd.org", r"(?is)<li[^>]*class=\"[^\"]*\belement-list\b[^\"]*\"[^>]*>(.*?)</li>", r"(?is)<h3[^>]*>(.*?)</h3>",
+     r"^/emprendedores/emprendedores-casos-exito/[^/]+/?$"),
+    ("lanzadera", "lanzadera.es", r"(?is)<article[^>]*class=\"[^\"]*\bstartup-slide\b[^\"]*\"[^>]*>(.*?)</article>", r"(?is)<h3[^>]*>(.*?)</h3>", r"^/proyecto/[^/]+/?$"),
+)

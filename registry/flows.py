@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from offerlens.functions import urls
 from offerlens.operators import directories
-from offerlens.plans import discovery, sheet_export
+from offerlens.plans import directory_ingest, discovery, sheet_export
+from offerlens.session import local_frame
 from offerlens.sources import listings
 from registry import query
 from registry.jobs import METRICS_SQL, SHEETED, exported, sheeted
@@ -96,3 +97,49 @@ SELECT companies, appended, updated, 0::BIGINT AS untouched, companies AS acted,
 def k6(spark, sf):
     cells = [F.lit("old").alias(c) for c in sheet_export.CELLS]
     return sheet_export.counters(sheet_export.sync(exported(spark, sf), sheeted(spark, sf).select("row_index", "company_id", *cells)))
+
+
+RULES = [("en", "^/t[a-z]*$"), ("de", "^/[a-d][a-z]*$"), ("fr", "^/[e-z][a-z]*$"), ("es", "^/a[a-z]*$")]
+
+
+def directories_by_language(spark, sf):
+    """Each language is a directory with a path rule of its own; a listed page holds a link to a site named by its path."""
+    pages_ = pages(spark, sf).withColumns({"source": F.regexp_extract("html", '(?i)<html lang="([a-z]+)"', 1), "host": urls.url_host(F.col("url")), "page_no": F.col("page_id")})
+    listing = pages_.withColumns({"url": F.concat(F.lit("https://"), "source", F.lit(".test/list")), "host": F.concat("source", F.lit(".test"))})
+    rules = local_frame(spark, [(s, f"{s}.test", r"(?i)<li\b[^>]*>([\s\S]*?)</li>", r"(?i)<a\b[^>]*>([\s\S]*?)</a>", p) for s, p in RULES],
+                        "source string, host string, card string, title string, detail_path string")
+    entries = directory_ingest.listed_entries(listing, rules)
+    # pages of paths that end in e are not there; the others link to the site of the path's first two letters
+    word = F.regexp_extract("detail_url", "([a-z]+)$", 1)
+    details = entries.select("detail_url", word.alias("w")).distinct().filter("w NOT LIKE '%e'").select(
+        F.col("detail_url").alias("url"), F.concat(F.lit('<a href="https://www.'), F.substring("w", 1, 2), F.lit('.example.org/">site</a>')).alias("html"))
+    return directory_ingest.ingest_directories(listing, details, rules)
+
+
+DIRECTORY_SQL = r"""WITH RECURSIVE p AS (SELECT page_id, regexp_extract(html, '(?i)<html lang="([a-z]+)"', 1) AS source,
+    regexp_extract_all(html, '(?i)<li\b[^>]*>([\s\S]*?)</li>', 1) AS cards FROM pages),
+f AS (SELECT page_id, source, unnest(range(0, len(cards))) AS card_no, cards FROM p),
+c AS (SELECT page_id, source, card_no, regexp_extract(cards[card_no + 1], 'href="/([a-z]+)"', 1) AS word,
+    trim(regexp_replace(regexp_extract(cards[card_no + 1], '(?i)<a\b[^>]*>([\s\S]*?)</a>', 1), '<[^>]+>', ' ', 'g')) AS name_raw FROM f),
+e AS (SELECT source, word, min((page_id, card_no)) AS place, arg_min(name_raw, (page_id, card_no)) AS name_raw FROM c
+  WHERE name_raw <> '' AND word <> '' AND regexp_matches('/' || word, CASE source WHEN 'en' THEN '^/t[a-z]*$' WHEN 'de' THEN '^/[a-d][a-z]*$' WHEN 'fr' THEN '^/[e-z][a-z]*$' ELSE '^/a[a-z]*$' END)
+  GROUP BY ALL),
+o AS (SELECT *, left(word, 2) || '.example.org' AS domain, lower(name_raw) AS name, row_number() OVER (PARTITION BY source ORDER BY place) AS k FROM e WHERE word NOT LIKE '%e'),
+fold AS (SELECT source, 0::BIGINT AS k, []::VARCHAR[] AS seen, []::VARCHAR[] AS kept FROM (SELECT DISTINCT source FROM e)
+  UNION ALL SELECT fold.source, o.k, CASE WHEN list_has_any(seen, ['d' || o.domain, 'n' || o.name]) THEN seen ELSE seen || ['d' || o.domain, 'n' || o.name] END,
+    CASE WHEN list_has_any(seen, ['d' || o.domain, 'n' || o.name]) THEN kept ELSE list_append(kept, o.word) END
+  FROM fold JOIN o ON o.source = fold.source AND o.k = fold.k + 1),
+won AS (SELECT source, unnest(arg_max(kept, k)) AS word FROM fold GROUP BY source)
+"""
+
+
+@query("k4_a20_directory_companies", DIRECTORY_SQL + "SELECT source, name_raw, name AS normalized_name, domain AS website_domain FROM o JOIN won USING (source, word)")
+def k4(spark, sf):
+    return directories_by_language(spark, sf)[0].select("source", "name_raw", "normalized_name", "website_domain")
+
+
+@query("k4_f14_directory_counters", DIRECTORY_SQL + """SELECT source, count(*) AS fetched, count(won.word) AS upserted,
+  count(*) FILTER (WHERE won.word IS NULL AND e.word NOT LIKE '%e') AS skipped, count(*) FILTER (WHERE e.word LIKE '%e') AS failed
+FROM e LEFT JOIN won USING (source, word) GROUP BY ROLLUP (source)""")
+def k4_counters(spark, sf):
+    return directories_by_language(spark, sf)[1]
