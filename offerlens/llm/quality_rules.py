@@ -27,6 +27,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MIN_LINE_WORDS = 8
+SLICE = 1 << 18
 
 FOLD = c.LOWER.copy()
 FOLD[48:58] = 48
@@ -84,7 +85,7 @@ def text_counts(data: np.ndarray, offsets: np.ndarray, min_line_words: int = MIN
     _, first = np.unique(exact, return_index=True)
     out["n_dup_lines"] = _sum(at, n) - _sum(at[first], n)
     # lines that may count, normalised: the sequence of a line's folded words
-    letter = np.concatenate([[0], np.cumsum(IS_LETTER[data])])
+    letter = np.concatenate([[0], np.cumsum(IS_LETTER[data], dtype=np.int32)])
     lettered = letter[end] > letter[start]
     enough = np.bincount(line, lettered, len(opens))[used] >= min_line_words
     used, words, at, close = used[enough], words[enough], at[enough], close[enough]
@@ -110,7 +111,7 @@ def _measure(min_line_words):
     def run(batches):
         for batch in batches:
             ids, host = batch.column("doc_id"), batch.column("host")
-            for first, data, offsets in c.text_slices(batch.column("text")):
+            for first, data, offsets in c.text_slices(batch.column("text"), SLICE):
                 n = len(offsets) - 1
                 got = text_counts(data, offsets, min_line_words)
                 at, line, words, (places, begin, stop) = got.pop("lines")
