@@ -7,7 +7,10 @@ words share most n-grams with words from training and so their vectors.
 
 A document has as many passages as its length asks for (each half over the next); its score is that of its most
 toxic passage, so a few words in a very long text do not drown in the mean. Training draws a random passage of each
-document first and later the passage that scores highest, with the document's label.
+document first and later the passage that scores highest, with the document's label. Embeddings start near zero and
+take plain gradient steps, so an n-gram weighs as much as texts speak for it; those of fewer than ``LEAST_TEXTS``
+texts stay at zero. Every fifth text calibrates a model of the others; the model that scores is of all of them, its
+scale by that calibration, for classes whose ratio is the square root of the sample's.
 
 The model comes from a bounded sample of labelled rows (``per_class`` of each class); since the softmax
 is linear in the mean, what scoring needs is one number per bucket, which is broadcast. A null or empty text
@@ -32,6 +35,7 @@ DIM = 4
 PASSAGE, STRIDE, LEAST_GRAMS = 48, 24, 500
 TOXIC_AT = 0.7
 BATCH = 128
+LEAST_TEXTS = 3
 
 
 def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +129,19 @@ class Indexed:
         self.first, self.stop, self.owner = passages(row, len(texts))
         self.texts = len(texts)
 
+    def texts_of_buckets(self) -> np.ndarray:
+        """How many texts hold each bucket."""
+        count = np.zeros(BUCKETS, np.int64)
+        size = np.zeros(self.texts, np.int64)
+        np.maximum.at(size, self.owner, self.stop)
+        begin = np.full(self.texts, len(self.word))
+        np.minimum.at(begin, self.owner, self.first)
+        for first, stop in zip(begin, size):
+            if first < stop:
+                word = np.unique(self.word[first:stop])
+                count[np.unique(self.gram[spread_out(self.at[word], self.at[word + 1] - self.at[word])])] += 1
+        return count
+
     def logits(self, z: np.ndarray) -> np.ndarray:
         """Mean weight of the n-grams of each passage."""
         if not len(self.word):
@@ -134,18 +151,20 @@ class Indexed:
 
 
 def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
-    """One weight per bucket and the bias, calibrated on every fifth row, which the fit does not see."""
-    fit = [k for k in range(len(texts)) if k % 5]
-    z, bias = fit_weights(Indexed([texts[k] for k in fit]), np.array([labels[k] for k in fit]))
-    held = [k for k in range(len(texts)) if k % 5 == 0]
-    y = np.array([labels[k] for k in held])
+    """One weight per bucket and the bias; the scale is calibrated on every fifth row by a fit that does not see them."""
+    every = np.array(labels)
+    z, bias = fit_weights(Indexed(texts), every)
+    y = every[::5]
     if len(y) < 20 or y.min() == y.max() or not z.any():
         return z, bias
-    rest = Indexed([texts[k] for k in held])
-    best = np.full(len(held), -np.inf)
-    np.maximum.at(best, rest.owner, rest.logits(z))
-    slope, offset = sampling.calibrate(np.where(np.isinf(best), 0, best) + bias, y)
-    return (z * slope).astype(np.float32), bias * slope + offset
+    fit = [k for k in range(len(texts)) if k % 5]
+    part, part_bias = fit_weights(Indexed([texts[k] for k in fit]), every[fit])
+    rest = Indexed(texts[::5])
+    best = np.full(len(y), -np.inf)
+    np.maximum.at(best, rest.owner, rest.logits(part))
+    slope, offset = sampling.calibrate(np.where(np.isinf(best), 0, best) + part_bias, y)
+    offset += 0.5 * np.log((1 - every.mean()) / every.mean())
+    return (z * slope).astype(np.float32), float(bias * slope + offset)
 
 
 def spread_out(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -153,7 +172,7 @@ def spread_out(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
 
 
-def fit_weights(data: Indexed, labels: np.ndarray, updates: int = 1200, rate: float = 1.0, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit_weights(data: Indexed, labels: np.ndarray, updates: int = 600, rate: float = 40.0, seed: int = 7) -> tuple[np.ndarray, float]:
     """Embeddings times the difference of the two softmax rows, and the difference of their biases."""
     y = labels.astype(np.float64)
     if not len(y) or y.min() == y.max():
@@ -163,7 +182,9 @@ def fit_weights(data: Indexed, labels: np.ndarray, updates: int = 1200, rate: fl
     share = np.bincount(data.owner, minlength=data.texts)
     rows = np.flatnonzero(share)
     lead = np.concatenate([[0], np.cumsum(share)])
-    emb = rng.normal(0, 0.05, (BUCKETS, DIM))
+    emb = rng.normal(0, 1e-6, (BUCKETS, DIM))
+    keep = data.texts_of_buckets() >= LEAST_TEXTS
+    emb[~keep] = 0
     soft, bias = rng.normal(0, 0.3, (DIM, 2)), np.zeros(2)
     speed_e, speed_s, speed_b = np.zeros_like(emb), np.zeros_like(soft), np.zeros(2)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
@@ -192,10 +213,12 @@ def fit_weights(data: Indexed, labels: np.ndarray, updates: int = 1200, rate: fl
             p[np.arange(len(batch)), y[rows[batch]].astype(int)] -= 1
             p *= weight[rows[batch]][:, None] / len(batch)
             to_mean = p @ soft.T / size[:, None]
+            known = keep[gram]
+            gram, bag = gram[known], bag[known]
             used, inverse = np.unique(gram, return_inverse=True)
             grad = np.stack([np.bincount(inverse, to_mean[bag, d], len(used)) for d in range(DIM)], 1) + 1e-6 * emb[used]
             speed_e[used] += grad ** 2
-            emb[used] -= step * grad / (np.sqrt(speed_e[used]) + 1e-4)
+            emb[used] -= step * grad / (np.sqrt(speed_e[used]) + 4e-3)
             for value, speed, g in ((soft, speed_s, mean.T @ p), (bias, speed_b, p.sum(0))):
                 speed += g ** 2
                 value -= 0.2 * step * g / (np.sqrt(speed) + 1e-6)

@@ -17,7 +17,7 @@ def fold(i):
     return zlib.crc32(str(i).encode()) % 3
 
 
-@pytest.mark.parametrize("name,label,at,least", [("op1_toxicity", "toxic", 0.7, 0.7), ("op3_quality_classifier", "quality", 0.5, 0.95)])
+@pytest.mark.parametrize("name,label,at,least", [("op1_toxicity", "toxic", 0.7, 0.8), ("op3_quality_classifier", "quality", 0.5, 0.95)])
 def test_held_out_accuracy(spark, name, label, at, least):
     got = QUERIES[name](spark, SF).toPandas()
     truth = spark.read.parquet(f"{SF}/labels.parquet").join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
@@ -25,8 +25,9 @@ def test_held_out_accuracy(spark, name, label, at, least):
     assert (got.held_out == (got.doc_id.map(fold) == 1)).all() and got.score.between(0, 1).all()
     assert (got.predicted == (got.score >= at)).all()
     both = got[got.held_out].merge(truth, on="doc_id")
-    if label == "toxic":  # about 170 toxic training texts; the other languages have too few each
-        both = both[both.lang == "en"]
+    if label == "toxic":  # en 279, fr 72, de 65 and es 33 toxic texts in all; some carry no toxic word
+        recall = both[both.toxic == 1].groupby("lang").predicted.mean()
+        assert (recall[["en", "fr", "de"]] >= 0.7).all() and recall["es"] >= 0.5, recall
     hit, clean = both[both[label] == 1].predicted.mean(), both[both[label] == 0].predicted.mean()
     assert hit >= least and clean <= (0.02 if label == "toxic" else 0.1), (hit, clean)
 
