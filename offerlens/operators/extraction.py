@@ -68,9 +68,16 @@ def external_links(pages: DataFrame, *keys: str) -> DataFrame:
 
 
 def has_external_candidates(pages: DataFrame, *keys: str) -> DataFrame:
-    found = external_links(pages, *keys).select(*keys).distinct().withColumn("hit", F.lit(True))
-    return pages.select(*keys).join(found, list(keys), "left").select(
-        *keys, F.coalesce("hit", F.lit(False)).alias("has_external"))
+    """(keys, has_external): whether a page has an anchor that ``external_links`` keeps; one scan, no join."""
+    base = F.coalesce(website_domain(F.col("url")), F.lit(""))
+
+    def external(anchor: Column) -> Column:
+        href = trim_space(F.regexp_extract(anchor, ANCHOR, 1))
+        text = trim_space(F.regexp_replace(F.regexp_extract(anchor, ANCHOR, 2), "<[^>]+>", ""))
+        return (href != "") & (text != "") & ~is_excluded_url(resolve_url(href, F.col("url")), base)
+
+    whole = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))
+    return pages.select(*keys, F.coalesce(F.exists(whole, external), F.lit(False)).alias("has_external"))
 
 
 def listing_cards(pages: DataFrame, card: str, title: str, is_detail: Column, *keys: str) -> DataFrame:

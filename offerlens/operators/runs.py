@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,6 +89,25 @@ def pause_report(pauses: DataFrame, now: Column) -> DataFrame:
         F.greatest(left, F.lit(0).cast("long")).alias("seconds_left"))
 
 
+def lock_report(locks: DataFrame, now: Column) -> DataFrame:
+    """(lock_name, owner_id, acquired_at, expires_at) with lock_status and the seconds until (negative: since) the expiry."""
+    return locks.select(
+        "lock_name", "owner_id", "acquired_at", "expires_at",
+        F.when(now < F.col("expires_at"), "ACTIVE").otherwise("EXPIRED").alias("lock_status"),
+        (F.unix_timestamp("expires_at") - F.unix_timestamp(now)).alias("seconds_until_expiry"))
+
+
+def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, n): rows of each table, in one plan; an empty table counts 0."""
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in sorted(tables.items())]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def recent_runs(ledger: DataFrame, k: int) -> DataFrame:
+    """The ``k`` runs of a ledger that started last; ties by run_id."""
+    return ledger.orderBy(F.desc_nulls_last("started_at"), "run_id").limit(k)
+
+
 def client_states(states: DataFrame, client: Column | None = None) -> DataFrame:
     rows = states if client is None else states.filter(client)
     return rows.orderBy("query_key")

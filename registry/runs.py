@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from offerlens.operators import runs
+from offerlens.operators.ledger import COUNTERS, run_ledger
 from registry import query
 from registry.views import table
 
@@ -75,6 +76,59 @@ def f12(spark, sf):
     return runs.pause_report(pauses, F.lit("2024-01-29 00:00:00").cast("timestamp"))
 
 
+@query("f12_lock_report", """
+WITH l AS (SELECT event_type || ':' || user_id::VARCHAR AS lock_name, arg_max(event_id, ts) AS owner_id, date_trunc('second', max(ts)) AS acquired_at FROM events GROUP BY event_type, user_id),
+e AS (SELECT *, acquired_at + INTERVAL 15 MINUTE AS expires_at FROM l)
+SELECT lock_name, owner_id, CASE WHEN expires_at > TIMESTAMP '2024-01-29 00:00:00' THEN 'ACTIVE' ELSE 'EXPIRED' END AS lock_status,
+  epoch(expires_at)::BIGINT - epoch(TIMESTAMP '2024-01-29 00:00:00')::BIGINT AS seconds_until_expiry FROM e""")
+def f12_locks(spark, sf):
+    """Each user's kind of event as a lock: the last event took it for a quarter of an hour."""
+    at = F.date_trunc("second", F.max("ts").cast("timestamp"))
+    locks = table(spark, sf, "events").groupBy("event_type", "user_id").agg(F.max_by("event_id", "ts").alias("owner_id"), at.alias("acquired_at")).select(
+        F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("lock_name"), "owner_id", "acquired_at",
+        (F.col("acquired_at") + F.expr("INTERVAL 15 MINUTES")).alias("expires_at"))
+    return runs.lock_report(locks, F.lit("2024-01-29 00:00:00").cast("timestamp")).drop("acquired_at", "expires_at")
+
+
+COUNTED = ("customer", "documents", "events", "pages")
+
+
+@query("f12_table_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in COUNTED))
+def f12_counts(spark, sf):
+    return runs.table_counts({t: table(spark, sf, t) for t in COUNTED})
+
+
+RUN_SQL = """WITH e AS (SELECT user_id::VARCHAR || '/' || strftime(ts, '%Y-%m-%d') AS run_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS moment,
+  CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'success' ELSE 'running' END AS status FROM events),
+r AS (SELECT run_id, moment, status, count(*) AS n FROM e GROUP BY ALL),
+runs AS (SELECT run_id, min(moment) FILTER (WHERE status = 'running') AS started_at, max(moment) FILTER (WHERE status <> 'running') AS finished_at,
+  coalesce(arg_max(status, moment || status) FILTER (WHERE status <> 'running'), 'running') AS status,
+  arg_max(n, moment || status) FILTER (WHERE status <> 'running') AS offers_fetched FROM r GROUP BY 1)
+"""
+
+
+def ledger_rows(spark, sf):
+    """A user's day as a run: purchases close it as a success, errors as a failure, all else keeps it open."""
+    e = table(spark, sf, "events").select(
+        F.concat_ws("/", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("run_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("at"),
+        F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "success").otherwise("running").alias("status"))
+    rows = e.groupBy("run_id", "at", "status").agg(F.count(F.lit(1)).alias("offers_fetched"))
+    empty = F.lit(None)
+    return rows.select("*", *[empty.cast("string").alias(c) for c in ("provider", "query_key", "error")],
+                       *[empty.cast("long").alias(c) for c in COUNTERS if c != "offers_fetched"])
+
+
+@query("b15_run_ledger", RUN_SQL + "SELECT * FROM runs")
+def b15(spark, sf):
+    return run_ledger(ledger_rows(spark, sf)).select("run_id", "started_at", "finished_at", "status", "offers_fetched")
+
+
+@query("f12_recent_runs", RUN_SQL + "SELECT * FROM runs ORDER BY started_at DESC NULLS LAST, run_id LIMIT 10")
+def f12_runs(spark, sf):
+    return runs.recent_runs(run_ledger(ledger_rows(spark, sf)), 10).select("run_id", "started_at", "finished_at", "status", "offers_fetched")
+
+
 @query("i8_query_states_of_client", STATE_SQL + "SELECT query_key, status FROM states WHERE failures < 3")
 def i8(spark, sf):
     return runs.client_states(

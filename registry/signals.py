@@ -19,6 +19,11 @@ def _hits(spark, sf):
     return matching.match_offers(_offers(spark, sf), v.word_patterns(spark), "offer_id")
 
 
+def _scores(spark, sf):
+    offers = scoring.with_description(_offers(spark, sf))
+    return scoring.score_offers(matching.match_offers(offers, v.word_patterns(spark), "offer_id"), offers, "offer_id")
+
+
 @query("h1_normalize_tokens", with_sql(
     v.OFFERS_SQL, v.tokens_sql("t", "offers", "offer_id", "description")) + """
 SELECT offer_id, array_to_string(tokens, ' ') AS tokens, len(tokens)::BIGINT AS n_tokens FROM t""")
@@ -91,7 +96,7 @@ def e4(spark, sf):
 SELECT offer_id, string_agg(category_id, ',' ORDER BY points DESC, first_hit) AS ranked
 FROM category_points GROUP BY offer_id""")
 def i3(spark, sf):
-    scores = scoring.score_offers(_hits(spark, sf), _offers(spark, sf), "offer_id")
+    scores = _scores(spark, sf)
     return scores.filter(F.size("categories") > 0).select(
         "offer_id", F.array_join("categories.category_id", ",").alias("ranked"))
 
@@ -106,7 +111,7 @@ SCORE_COLUMNS = """offer_id, score, top_category_id, round(raw_score, 6) AS raw_
 
 @query("k8_score_offers", with_sql(v.HITS_SQL, v.SCORES_SQL) + f"SELECT {SCORE_COLUMNS} FROM scores")
 def k8(spark, sf):
-    return scoring.score_offers(_hits(spark, sf), _offers(spark, sf), "offer_id").select(
+    return _scores(spark, sf).select(
         "offer_id", "score", "top_category_id", F.round("raw_score", 6).alias("raw_score"),
         "core", "no_core_cap", "synergy", "direct_fx", "intl_footprint", "business_model",
         "tech_proxy", "unique_categories", "unique_keywords", "negated_keyword_hits",
@@ -118,7 +123,7 @@ SELECT core, synergy, count(*) AS offers, sum(fx)::DOUBLE AS direct_fx,
        sum(intl)::DOUBLE AS intl_footprint, sum(biz)::DOUBLE AS business_model,
        sum(proxy)::DOUBLE AS tech_proxy FROM scores GROUP BY core, synergy""")
 def f3_f4(spark, sf):
-    scores = scoring.score_offers(_hits(spark, sf), _offers(spark, sf), "offer_id")
+    scores = _scores(spark, sf)
     return scores.groupBy("core", "synergy").agg(
         F.count(F.lit(1)).alias("offers"),
         *[F.sum(c).alias(c) for c in ("direct_fx", "intl_footprint", "business_model", "tech_proxy")])
@@ -127,30 +132,30 @@ def f3_f4(spark, sf):
 @query("f5_score_histogram", with_sql(v.HITS_SQL, v.SCORES_SQL) + """
 SELECT score, count(*) AS offers FROM scores GROUP BY score""")
 def f5(spark, sf):
-    scores = scoring.score_offers(_hits(spark, sf), _offers(spark, sf), "offer_id")
+    scores = _scores(spark, sf)
     return scores.groupBy("score").agg(F.count(F.lit(1)).alias("offers"))
 
 
 @query("f6_top_category", with_sql(v.HITS_SQL, v.SCORES_SQL) + """
 SELECT offer_id, top_category_id FROM scores""")
 def f6(spark, sf):
-    return scoring.score_offers(_hits(spark, sf), _offers(spark, sf), "offer_id").select(
+    return _scores(spark, sf).select(
         "offer_id", "top_category_id")
 
 
 def _scored_documents(spark, sf):
     offers = _offers(spark, sf)
-    scores = scoring.score_offers(_hits(spark, sf), offers, "offer_id")
-    return offers.join(scores, "offer_id").select(
-        "offer_id", "company_id", "score", F.col("top_category_id").alias("category_id"),
+    scores = _scores(spark, sf)
+    return offers.join(scores, "offer_id", "left").select(
+        "offer_id", "company_id", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("top_category_id", F.lit("")).alias("category_id"),
         "published_at", F.lit(None).cast("string").alias("updated_at"),
         F.lit(None).cast("long").alias("canonical_offer_id"),
         F.lit(0).cast("long").alias("repost_count"))
 
 
 SCORED_DOCUMENTS_SQL = """scored_offers AS (
-  SELECT offer_id, company_id, score, top_category_id AS category_id, published_at AS seen_at,
-         0 AS repost_count FROM scores)"""
+  SELECT o.offer_id, o.company_id, coalesce(score, 0) AS score, coalesce(top_category_id, '') AS category_id, o.published_at AS seen_at,
+         0 AS repost_count FROM offers o LEFT JOIN scores USING (offer_id))"""
 METRIC_COLUMNS = ("max_score", "offer_count", "unique_offer_count", "strong_offer_count",
                   "avg_strong_score", "top_category_id", "top_offer_id", "last_strong_at")
 

@@ -212,7 +212,7 @@ parts AS (
          coalesce(negated_keyword_hits, 0) AS negated_keyword_hits,
          coalesce(negated_phrase_hits, 0) AS negated_phrase_hits
   FROM offers o LEFT JOIN buckets USING (offer_id) LEFT JOIN phrase_sums p USING (offer_id)
-  LEFT JOIN tops USING (offer_id) LEFT JOIN summary USING (offer_id)),
+  LEFT JOIN tops USING (offer_id) LEFT JOIN summary USING (offer_id) WHERE o.description IS NOT NULL),
 synergies AS (
   SELECT *, fx_raw >= 2.0 AS core,
          CASE WHEN fx_raw >= 2.0 THEN least(
