@@ -8,18 +8,27 @@ whose output is verified exactly.
 
 from __future__ import annotations
 
+import math
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.constants import SIMILARITY_THRESHOLD
 from offerlens.functions.text import tokens_or_empty, trim_space
 from offerlens.operators.ordered import first_kept, ordered_choices
-from offerlens.session import reliable_checkpoint
+from offerlens.session import materialized
 
 COMMON_TOKENS = 20_000
 MAX_PAIRS = 2_000_000_000
+CELL = 128
+BUCKETS = 256
+BROADCAST_IDS = 200_000
 _EPS = 1e-9
 
 
@@ -37,7 +46,7 @@ def fingerprint(title_tokens: Column, description_tokens: Column) -> Column:
 
 
 def with_repost_keys(offers: DataFrame) -> DataFrame:
-    """Add tokens, title key, fingerprint; drops the raw texts."""
+    """Add sorted description tokens, title key, text key, fingerprint; drops the raw texts."""
     tokens = offers.withColumns({
         "has_title": F.coalesce(trim_space(F.col("title")) != "", F.lit(False)),
         "has_description": F.coalesce(trim_space(F.col("description")) != "", F.lit(False)),
@@ -47,7 +56,8 @@ def with_repost_keys(offers: DataFrame) -> DataFrame:
     return tokens.withColumns({
         "title_key": F.sha2(F.array_join("title_tokens", "\n"), 256),
         "fingerprint": fingerprint(F.col("title_tokens"), F.col("description_tokens")),
-    }).drop("title", "description", "title_tokens")
+        "description_tokens": F.sort_array("description_tokens"),
+    }).withColumn("text_key", F.sha2(F.array_join("description_tokens", "\n"), 256)).drop("title", "description", "title_tokens")
 
 
 # --- equality matches ------------------------------------------------------------
@@ -94,59 +104,112 @@ def common_tokens(offers: DataFrame, k: int = COMMON_TOKENS) -> DataFrame:
     )
 
 
-def token_bags(offers: DataFrame, common: DataFrame) -> DataFrame:
-    """(company_id, offer_id, n, bag): numbered tokens, rare ones first.
+def _prefixes(common: dict[str, int], threshold: float):
+    """Per text its size, the rarest elements that any similar text shares one of, and its tokens counted by hash bucket
+    (null if a count is out of range). Later occurrences of a token are elements of their own."""
 
-    ``bag`` is the description as a set: the second "a" is a different element
-    than the first, so set overlap equals multiset overlap. Only the frequent
-    tokens need a rank, and that table is bounded, so ranking is a map-side
-    join; one shuffle by offer serves both aggregations. A description without
-    tokens becomes one marker element: such descriptions equal each other only.
-    """
-    described = offers.filter("has_description").select(
-        "company_id", "offer_id",
-        F.when(F.size("description_tokens") > 0, F.col("description_tokens"))
-        .otherwise(F.array(F.lit(""))).alias("description_tokens"),
-    )
-    elements = (
-        token_counts(described).join(F.broadcast(common), "token", "left")
-        .select("company_id", "offer_id", "token", "docs",
-                F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("nth"))
-        .select("company_id", "offer_id", F.struct(
-            # later occurrences of a token are rarer than the first one
-            F.coalesce(F.col("docs") / (F.col("nth") * F.col("nth")), F.lit(0.0)).alias("rank"),
-            F.xxhash64("token", "nth").alias("h"),
-            F.concat_ws("\n", F.col("token"), F.col("nth").cast("string")).alias("element"),
-        ).alias("e"))
-    )
-    return elements.groupBy("company_id", "offer_id").agg(
-        F.sort_array(F.collect_list("e")).alias("bag")
-    ).select("company_id", "offer_id", F.size("bag").alias("n"), F.col("bag.element").alias("bag"))
-
-
-def _prefix(bags: DataFrame, side: str, threshold: float, *extra: str) -> DataFrame:
-    # two bags that overlap enough share an element among these rarest ones
-    length = F.col("n") - F.ceil(F.col("n") * threshold - _EPS) + 1
-    return bags.select(
-        "company_id", F.col("offer_id").alias(f"{side}_id"), F.col("n").alias(f"{side}_n"),
-        *[F.col(c).alias(f"{side}_{c}") for c in extra],
-        F.posexplode(F.slice("bag", F.lit(1), length.cast("int"))).alias(f"{side}_pos", "element"),
-    )
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, rarest, sketches = [], [], []
+            for tokens in batch.column("tokens"):
+                counts = Counter(tokens.as_py())
+                buckets = [0] * BUCKETS
+                for t, n in counts.items():
+                    buckets[zlib.crc32(t.encode("utf-8", "surrogatepass")) % BUCKETS] += n
+                sketches.append(buckets if max(buckets) < 1 << 15 else None)
+                # later occurrences of a token are rarer than the first one
+                ranked = sorted((common.get(t, 0) / (k * k), t, k) for t, n in counts.items() for k in range(1, n + 1))
+                n = len(ranked)
+                sizes.append(n)
+                rarest.append([f"{t}\n{k}" for _, t, k in ranked[: n - math.ceil(n * threshold - _EPS) + 1]])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("company_id"), batch.column("text_id"), pa.array(sizes, pa.int32()), pa.array(rarest, pa.list_(pa.string())),
+                 pa.array(sketches, pa.list_(pa.int16()))],
+                ["company_id", "text_id", "n", "elements", "sketch"])
 
+    return convert
 
-def similar_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    condition: Column | None = None,
-    threshold: float = SIMILARITY_THRESHOLD,
-    extra: tuple[str, ...] = (),
-) -> DataFrame:
-    """(company_id, left_id, right_id, similarity) with similarity >= threshold.
 
-    ``left`` and ``right`` are token bags. ``condition`` may use left_id,
-    right_id and ``left_<extra>`` columns. Candidates meet on (company, rare
-    element) and must pass the length and position bounds; every surviving
-    pair is counted exactly.
+class Texts(NamedTuple):
+    """Distinct descriptions of one side. members: company_id, offer_id, text_id (the smallest offer_id with the text);
+    prefixes: company_id, text_id, n, elements, sketch; tokens: text_id, tokens."""
+
+    members: DataFrame
+    prefixes: DataFrame
+    tokens: DataFrame
+
+    def of(self, offers: DataFrame) -> Texts:
+        """The texts of some of the offers."""
+        members = self.members.join(offers.select("offer_id"), "offer_id", "left_semi")
+        return Texts(members, self.prefixes.join(members.select("text_id").distinct(), "text_id", "left_semi"), self.tokens)
+
+
+def distinct_texts(offers: DataFrame, common: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> Texts:
+    """Copies are one text from here on. ``offers`` should be written: it is read for the texts' prefixes and for their tokens.
+
+    A description without tokens becomes one marker element: such descriptions equal each other only.
+    """
+    described = offers.filter("has_description")
+    first = described.groupBy("company_id", "text_key").agg(F.min("offer_id").alias("text_id"))
+    members = materialized(described.select("company_id", "offer_id", "text_key").join(first, ["company_id", "text_key"]).select("company_id", "offer_id", "text_id"))
+    tokens = described.select(
+        "company_id", F.col("offer_id").alias("text_id"),
+        F.when(F.size("description_tokens") > 0, F.col("description_tokens")).otherwise(F.array(F.lit(""))).alias("tokens"))
+    ranks = {r["token"]: r["docs"] for r in common.collect()}
+    kind = tokens.schema["company_id"].dataType.simpleString()
+    every = tokens.mapInArrow(_prefixes(ranks, threshold), f"company_id {kind}, text_id long, n int, elements array<string>, sketch array<smallint>")
+    prefixes = materialized(every.join(members.select("text_id").distinct(), "text_id", "left_semi"))
+    return Texts(members, prefixes, tokens.select("text_id", "tokens"))
+
+
+def _keys(prefixes: DataFrame, side: str) -> DataFrame:
+    # equal keys of unequal elements only add candidates
+    return prefixes.select("company_id", F.col("text_id").alias(f"{side}_id"), F.col("n").alias(f"{side}_n"), F.posexplode("elements").alias(f"{side}_pos", "element")).select(
+        F.xxhash64("company_id", "element").alias("key"), "company_id", f"{side}_id", f"{side}_n", f"{side}_pos")
+
+
+def _overlaps(threshold: float):
+    """Rows of a cell: its texts (kind 0, side, id, tokens), then its pairs (kind 1, id, other). Returns the similar pairs."""
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, {}
+        for batch in batches:
+            left, right, found = [], [], []
+            tokens = batch.column("tokens")
+            for row, (root, i, j, kind, side, one, other) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j", "kind", "side", "id", "other")))):
+                if (root, i, j) != cell:
+                    cell, held = (root, i, j), {}
+                if kind == 0:
+                    words = tokens[row].as_py()
+                    held[side, one] = len(words), Counter(words)
+                    continue
+                (n, a), (m, b) = held[0, one], held[1, other]
+                if len(a) > len(b):
+                    a, b = b, a
+                similarity = sum(min(c, b[t]) for t, c in a.items() if t in b) / max(n, m)
+                if similarity >= threshold:
+                    left.append(one)
+                    right.append(other)
+                    found.append(similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array(found, pa.float64())], ["left_id", "right_id", "similarity"])
+
+    return convert
+
+
+def _possible(pairs: DataFrame, left: Texts, right: Texts, threshold: float) -> DataFrame:
+    """The pairs whose bucket counts leave room for enough common tokens: what two texts share they share bucket by bucket."""
+    side = lambda t, name: t.prefixes.select(F.col("text_id").alias(f"{name}_id"), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+    common = F.aggregate(F.zip_with("left_sketch", "right_sketch", lambda a, b: F.least(a, b).cast("int")), F.lit(0), lambda total, c: total + c)
+    return pairs.join(side(left, "left"), "left_id").join(side(right, "right"), "right_id").filter(
+        F.coalesce(common, F.col("left_n")) >= F.greatest("left_n", "right_n") * threshold - _EPS).select("left_id", "right_id")
+
+
+def similar_pairs(left: Texts, right: Texts, condition: Column | None = None, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
+    """(left_id, right_id, similarity) of texts with similarity >= threshold.
+
+    ``condition`` may use left_id and right_id. Candidates meet on (company, rare element) and must pass the length and
+    position bounds and that of the bucket counts; every surviving pair is counted exactly. Near copies meet in cells of at most about ``CELL`` texts a side, so a
+    text is sent once per cell and not once per pair: those whose right text has the same first left text lie together.
     """
     longest = F.greatest("left_n", "right_n")
     room = F.least(F.col("left_n") - F.col("left_pos"), F.col("right_n") - F.col("right_pos"))
@@ -154,26 +217,33 @@ def similar_pairs(
     on = (F.least("left_n", "right_n") >= enough) & (room >= enough)
     if condition is not None:
         on = on & condition
-    candidates = (
-        _prefix(left, "left", threshold, *extra)
-        .join(_prefix(right, "right", threshold), ["company_id", "element"])
-        .filter(on).select("company_id", "left_id", "right_id").distinct()
-    )
-    lb = left.select(F.col("offer_id").alias("left_id"), F.col("bag").alias("left_bag")).distinct()
-    rb = right.select(F.col("offer_id").alias("right_id"), F.col("bag").alias("right_bag"))
-    overlap = F.size(F.array_intersect("left_bag", "right_bag"))
-    return (
-        candidates.join(lb, "left_id").join(rb, "right_id")
-        .select("company_id", "left_id", "right_id",
-                (overlap / F.greatest(F.size("left_bag"), F.size("right_bag"))).alias("similarity"))
-        .filter(F.col("similarity") >= threshold)
-    )
-
-
-def estimated_pairs(bags: DataFrame, threshold: float) -> float:
-    """Upper bound of the candidate rows a self join of ``bags`` would make."""
-    per_element = _prefix(bags, "left", threshold).groupBy("company_id", "element").agg(
-        F.count(F.lit(1)).cast("double").alias("c"))
+    met = _keys(left.prefixes, "left").join(_keys(right.prefixes, "right"), ["key", "company_id"]).filter(on).select("left_id", "right_id").distinct()
+    candidates = materialized(_possible(met, left, right, threshold))
+    first = candidates.groupBy("right_id").agg(F.min("left_id").alias("root"))
+    rooted = candidates.join(first, "right_id")
+    sizes = rooted.groupBy("root").agg(F.count_distinct("left_id").alias("lefts"), F.count_distinct("right_id").alias("rights"))
+
+    def block(name: str, size: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.ceil(F.col(size) / CELL))
+
+    pairs = materialized(rooted.join(sizes, "root").select("root", block("left_id", "lefts").alias("i"), block("right_id", "rights").alias("j"), "left_id", "right_id"))
+    ids = materialized(pairs.select(F.explode(F.array("left_id", "right_id")).alias("text_id")).distinct())
+    few = ids.count() <= BROADCAST_IDS
+    cell, none = ["root", "i", "j"], F.lit(None).cast("long")
+    sides = [
+        pairs.select(*cell, F.col(f"{name}_id").alias("text_id")).distinct().join(
+            texts.tokens.join(F.broadcast(ids), "text_id", "left_semi") if few else texts.tokens, "text_id").select(
+            *cell, F.lit(0).alias("kind"), F.lit(side).alias("side"), F.col("text_id").alias("id"), none.alias("other"), "tokens")
+        for side, (name, texts) in enumerate((("left", left), ("right", right)))]
+    asked = pairs.select(*cell, F.lit(1).alias("kind"), F.lit(0).alias("side"), F.col("left_id").alias("id"), F.col("right_id").alias("other"),
+                         F.lit(None).cast("array<string>").alias("tokens"))
+    rows = _union([*sides, asked]).repartition(*cell).sortWithinPartitions(*cell, "kind")
+    return materialized(rows.mapInArrow(_overlaps(threshold), "left_id long, right_id long, similarity double"))
+
+
+def estimated_pairs(prefixes: DataFrame) -> float:
+    """Upper bound of the candidate rows a self join of the texts would make."""
+    per_element = _keys(prefixes, "left").groupBy("company_id", "key").agg(F.count(F.lit(1)).cast("double").alias("c"))
     return per_element.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("s")).first()["s"] or 0.0
 
 
@@ -186,12 +256,15 @@ def best_similar(
     id. Candidates are canonical offers, hence unlike each other, so an
     incoming offer meets few of them.
     """
-    common = common_tokens(candidates)
-    pairs = similar_pairs(token_bags(candidates, common), token_bags(incoming, common),
-                          threshold=threshold)
-    seen = candidates.select(F.col("offer_id").alias("left_id"), "seen_at")
+    common = materialized(common_tokens(candidates))
+    held, asked = distinct_texts(candidates, common, threshold), distinct_texts(incoming, common, threshold)
+    similar = similar_pairs(held, asked, threshold=threshold)
+    # canonical offers have a text each, of several the choice below decides
+    seen = held.members.select("offer_id", F.col("text_id").alias("left_id")).join(candidates.select("offer_id", "seen_at"), "offer_id")
+    options = similar.join(seen, "left_id").select(F.col("right_id").alias("text_id"), F.col("offer_id").alias("left_id"), "seen_at", "similarity")
+    pairs = options.join(asked.members.select("text_id", F.col("offer_id").alias("right_id")), "text_id")
     return (
-        pairs.join(seen, "left_id").groupBy("right_id")
+        pairs.groupBy("right_id")
         .agg(F.max(F.struct("similarity", "seen_at", (-F.col("left_id")).alias("o"))).alias("b"))
         .select(F.col("right_id").alias("incoming_id"), (-F.col("b.o")).alias("candidate_id"),
                 "b.similarity")
@@ -253,41 +326,42 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def _resolve(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Canonical offers among ``nodes`` (company_id, offer_id, title_key,
-    has_title), where ``pairs`` (left_id < right_id) are similar descriptions.
+    has_title, text_id), where ``pairs`` (left_id, right_id) are similar texts.
 
-    An offer is canonical when no earlier canonical one equals it. A title is a
-    key that its offers share, a pair one of its own, so a title held by
-    a third of all offers is not paired up; see ``ordered.first_kept``.
+    An offer is canonical when no earlier canonical one equals it. Titles and texts are
+    keys that their offers share; an offer also asks for the texts similar to its own. So copies
+    are not paired up; see ``ordered.first_kept``.
     """
     title = F.concat_ws("\n", F.lit("t"), F.col("company_id").cast("string"), "title_key")
-    pair = F.concat_ws("\n", F.lit("p"), F.col("left_id").cast("string"), F.col("right_id").cast("string"))
-    yes, no = F.lit(True), F.lit(False)
-    ids = nodes.select("offer_id")
-    inside = pairs.select("left_id", "right_id").join(ids.withColumnRenamed("offer_id", "left_id"), "left_id", "left_semi").join(
-        ids.withColumnRenamed("offer_id", "right_id"), "right_id", "left_semi")
-    ends = F.array(F.struct(F.col("left_id").alias("item"), yes.alias("holds"), no.alias("asks")), F.struct(F.col("right_id").alias("item"), no.alias("holds"), yes.alias("asks")))
-    claims = nodes.select(F.col("offer_id").alias("item"), title.alias("key"), F.col("has_title").alias("holds"), yes.alias("asks")).unionByName(
-        inside.select(pair.alias("key"), F.explode(ends).alias("e")).select("e.item", "key", "e.holds", "e.asks"))
+    text = lambda c: F.concat_ws("\n", F.lit("d"), F.col(c).cast("string"))
+    yes, no, item = F.lit(True), F.lit(False), F.col("offer_id").alias("item")
+    described = nodes.filter("text_id IS NOT NULL")
+    claims = _union([
+        nodes.select(item, title.alias("key"), F.col("has_title").alias("holds"), yes.alias("asks")),
+        described.select(item, text("text_id").alias("key"), yes.alias("holds"), yes.alias("asks")),
+        described.join(_both_ways(pairs).withColumnRenamed("right_id", "text_id"), "text_id").select(item, text("left_id").alias("key"), no.alias("holds"), yes.alias("asks"))])
     return nodes.join(first_kept(claims).withColumnRenamed("item", "offer_id"), "offer_id", "left_semi")
 
 
-def canonical_offers(
-    offers: DataFrame, bags: DataFrame, threshold: float, max_pairs: float
-) -> tuple[DataFrame, DataFrame | None]:
-    """Canonical offers in arrival order, and the similar pairs if one window held all.
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    turned = pairs.select(F.col("right_id").alias("left_id"), F.col("left_id").alias("right_id"), "similarity")
+    return pairs.select(*turned.columns).unionByName(turned)
+
+
+def canonical_offers(nodes: DataFrame, texts: Texts, threshold: float, max_pairs: float) -> tuple[DataFrame, DataFrame | None]:
+    """Canonical offers in arrival order, and the similar texts if one window held all.
 
-    When the candidate join would exceed ``max_pairs`` rows (a big cluster of
+    ``nodes``: company_id, offer_id, title_key, has_title, text_id. When the candidate join would exceed ``max_pairs`` rows (a big cluster of
     near copies), only the earliest part is resolved; its canonical offers
     then remove their copies from the rest, and the next part follows. All
     copies are still compared, but with canonical offers instead of each other.
     """
-    nodes = offers.select("company_id", "offer_id", "title_key", "has_title")
     found: list[DataFrame] = []
-    rest, rest_bags = nodes, bags
-    before = F.col("left_id") < F.col("right_id")
+    rest = nodes
     while True:
-        window, window_bags, cut = rest, rest_bags, None
-        cost = estimated_pairs(window_bags, threshold)
+        window, cut = rest, None
+        window_texts = texts.of(window) if found else texts
+        cost = estimated_pairs(window_texts.prefixes)
         while cost > max_pairs:
             share = max(0.05, min(0.7, (max_pairs / cost) ** 0.5))
             lo, cut_at = window.approxQuantile("offer_id", [0.0, share], 0.01)
@@ -296,23 +370,18 @@ def canonical_offers(
             if cut_at <= lo:
                 break
             cut = cut_at
-            window, window_bags = (df.filter(F.col("offer_id") <= cut) for df in (rest, rest_bags))
-            cost = estimated_pairs(window_bags, threshold)
-        pairs = reliable_checkpoint(similar_pairs(window_bags, window_bags, before, threshold))
-        canon = _resolve(window, pairs)
+            window = rest.filter(F.col("offer_id") <= cut)
+            window_texts = texts.of(window)
+            cost = estimated_pairs(window_texts.prefixes)
+        pairs = similar_pairs(window_texts, window_texts, F.col("left_id") < F.col("right_id"), threshold)
+        canon = materialized(_resolve(window, pairs))
         found.append(canon)
         if cut is None:
             return _union(found), (pairs if len(found) == 1 else None)
-        canon_bags = window_bags.join(canon.select("offer_id"), "offer_id", "left_semi")
-        later, later_bags = (df.filter(F.col("offer_id") > cut) for df in (rest, rest_bags))
-        copies = similar_pairs(canon_bags, later_bags, before, threshold).select(
-            F.col("right_id").alias("offer_id")).distinct()
+        later = rest.filter(F.col("offer_id") > cut)
+        copies = similar_pairs(texts.of(canon), texts.of(later), threshold=threshold).select(F.col("right_id").alias("text_id")).distinct()
         taken = canon.filter("has_title").select("company_id", "title_key").distinct()
-        rest = reliable_checkpoint(
-            later.join(taken, ["company_id", "title_key"], "left_anti")
-            .join(copies, "offer_id", "left_anti"))
-        rest_bags = reliable_checkpoint(
-            later_bags.join(rest.select("offer_id"), "offer_id", "left_semi"))
+        rest = materialized(later.join(taken, ["company_id", "title_key"], "left_anti").join(copies, "text_id", "left_anti"))
         if rest.isEmpty():
             return _union(found), None
 
@@ -339,10 +408,11 @@ def fold_reposts(
     Returns one row per arrival: company_id, offer_id, is_repost,
     canonical_id, reason, similarity, seen_at.
     """
-    base = reliable_checkpoint(with_repost_keys(
+    base = materialized(with_repost_keys(
         arrivals.select("company_id", "offer_id", "title", "description", "seen_at")))
-    common = common_tokens(base)
-    bags = reliable_checkpoint(token_bags(base, common))
+    common = materialized(common_tokens(base))
+    texts = distinct_texts(base, common, threshold)
+    placed = texts.members.select("offer_id", "text_id")
     no_long = F.lit(None).cast("long")
     static_pairs = None
     if stored is None:
@@ -350,7 +420,10 @@ def fold_reposts(
                             "seen_at", no_long.alias("fp_id"), no_long.alias("title_id"))
         open_nodes = known
     else:
-        versions = reliable_checkpoint(with_repost_keys(stored))
+        # versions of one stored offer are told apart by a key of their own; the hash would skip nulls
+        none = F.lit(-1).cast("long")
+        version = F.xxhash64("offer_id", F.coalesce("from_seq", none), F.coalesce("until_seq", none))
+        versions = materialized(with_repost_keys(stored.withColumn("version_id", version)))
         alive = (
             (F.col("from_seq").isNull() | (F.col("from_seq") < F.col("offer_id")))
             & (F.col("until_seq").isNull() | (F.col("offer_id") < F.col("until_seq")))
@@ -366,37 +439,28 @@ def fold_reposts(
             .join(titles, ["company_id", "title_key"]).filter(alive)
             .groupBy("offer_id").agg(F.min("stored_id").alias("title_id"))
         )
-        known = reliable_checkpoint(
+        known = materialized(
             base.select("company_id", "offer_id", "title_key", "has_title", "fingerprint", "seen_at")
             .join(fp, ["company_id", "fingerprint"], "left").join(title_hit, "offer_id", "left"))
-        # versions of one stored offer are told apart by a key of their own; the hash would skip nulls
-        none = F.lit(-1).cast("long")
-        versions = versions.withColumn("version_id", F.xxhash64("offer_id", F.coalesce("from_seq", none), F.coalesce("until_seq", none)))
-        stored_bags = token_bags(
-            versions.withColumn("offer_id", F.col("version_id")), common
-        ).join(versions.select(
-            F.col("version_id").alias("offer_id"), "from_seq", "until_seq"), "offer_id")
-        unmatched = bags.join(
-            known.filter("fp_id IS NOT NULL OR title_id IS NOT NULL").select("offer_id"),
-            "offer_id", "left_anti")
+        stored_texts = distinct_texts(versions.withColumn("offer_id", F.col("version_id")), common, threshold)
+        unmatched = texts.of(known.filter("fp_id IS NULL AND title_id IS NULL"))
+        kept_as = versions.select("version_id", "from_seq", "until_seq", F.col("offer_id").alias("left_id"), F.col("seen_at").alias("left_seen_at")).join(
+            stored_texts.members.select(F.col("offer_id").alias("version_id"), F.col("text_id").alias("left_text")), "version_id").drop("version_id")
         live = (
-            (F.col("left_from_seq").isNull() | (F.col("left_from_seq") < F.col("right_id")))
-            & (F.col("left_until_seq").isNull() | (F.col("right_id") < F.col("left_until_seq")))
+            (F.col("from_seq").isNull() | (F.col("from_seq") < F.col("right_id")))
+            & (F.col("until_seq").isNull() | (F.col("right_id") < F.col("until_seq")))
         )
-        static_pairs = reliable_checkpoint(
-            similar_pairs(stored_bags, unmatched, live, threshold, ("from_seq", "until_seq"))
-            .join(versions.select(F.col("version_id").alias("left_id"),
-                                  F.col("offer_id").alias("stored_id"),
-                                  F.col("seen_at").alias("stored_seen_at")), "left_id")
-            .select("company_id", F.col("stored_id").alias("left_id"), "right_id", "similarity",
-                    F.col("stored_seen_at").alias("left_seen_at")))
+        static_pairs = materialized(
+            similar_pairs(stored_texts, unmatched, threshold=threshold).withColumnsRenamed({"left_id": "left_text", "right_id": "text_id"})
+            .join(unmatched.members.select("company_id", "text_id", F.col("offer_id").alias("right_id")), "text_id")
+            .join(kept_as, "left_text").filter(live)
+            .select("company_id", "left_id", "right_id", "similarity", "left_seen_at"))
         open_nodes = known.filter("fp_id IS NULL AND title_id IS NULL").join(
             static_pairs.select(F.col("right_id").alias("offer_id")).distinct(),
             "offer_id", "left_anti")
-    open_bags = bags if stored is None else reliable_checkpoint(
-        bags.join(open_nodes.select("offer_id"), "offer_id", "left_semi"))
-    canon, pairs = canonical_offers(open_nodes, open_bags, threshold, max_pairs)
-    canon = reliable_checkpoint(known.join(canon.select("offer_id"), "offer_id", "left_semi"))
+    nodes = materialized(open_nodes.select("company_id", "offer_id", "title_key", "has_title").join(placed, "offer_id", "left"))
+    canon, pairs = canonical_offers(nodes, texts if stored is None else texts.of(nodes), threshold, max_pairs)
+    canon = materialized(known.join(canon.select("offer_id"), "offer_id", "left_semi"))
 
     reposts = known.join(canon.select("offer_id"), "offer_id", "left_anti")
     new_fp = canon.filter("fingerprint IS NOT NULL").groupBy("company_id", "fingerprint").agg(
@@ -410,15 +474,18 @@ def fold_reposts(
         .select("company_id", "offer_id", "seen_at", F.coalesce(
             "fp_id", earlier("new_fp_id"), "title_id", earlier("new_title_id")).alias("equal_id"))
     )
-    by_text = reliable_checkpoint(
+    by_text = materialized(
         matched.filter("equal_id IS NULL").select("company_id", "offer_id", "seen_at"))
+    text_of = lambda offers: offers.join(placed, "offer_id")
     if pairs is None or stored is not None:
-        canon_bags = bags.join(canon.select("offer_id"), "offer_id", "left_semi")
-        text_bags = bags.join(by_text.select("offer_id"), "offer_id", "left_semi")
-        pairs = similar_pairs(canon_bags, text_bags, F.col("left_id") < F.col("right_id"), threshold)
-    canon_seen = canon.select(F.col("offer_id").alias("left_id"), F.col("seen_at").alias("left_seen_at"))
-    options = pairs.join(canon_seen, "left_id").select(
-        "company_id", "left_id", "right_id", "similarity", "left_seen_at")
+        links = similar_pairs(texts.of(canon), texts.of(by_text), threshold=threshold)
+    else:
+        same = placed.select(F.col("text_id").alias("left_id"), F.col("text_id").alias("right_id"), F.lit(1.0).alias("similarity")).distinct()
+        links = _both_ways(pairs).unionByName(same)
+    left = text_of(canon.select("offer_id", F.col("seen_at").alias("left_seen_at"))).withColumnsRenamed({"offer_id": "left_id", "text_id": "left_text"})
+    right = text_of(by_text.select("company_id", "offer_id")).withColumnsRenamed({"offer_id": "right_id", "text_id": "right_text"})
+    options = links.withColumnsRenamed({"left_id": "left_text", "right_id": "right_text"}).join(right, "right_text").join(left, "left_text").filter(
+        "left_id < right_id").select("company_id", "left_id", "right_id", "similarity", "left_seen_at")
     if static_pairs is not None:
         options = options.unionByName(static_pairs)
     options = options.join(by_text.select(F.col("offer_id").alias("right_id")), "right_id", "left_semi")
@@ -450,13 +517,13 @@ def _choose(options: DataFrame, equal: DataFrame, by_text: DataFrame) -> DataFra
     that they connect (``ordered.ordered_choices``).
     """
     best = options.groupBy("right_id").agg(F.max("similarity").alias("similarity"))
-    tops = reliable_checkpoint(
+    tops = materialized(
         options.join(best, ["right_id", "similarity"]).dropDuplicates(["left_id", "right_id"]))
     sizes = tops.groupBy("right_id").agg(F.count(F.lit(1)).alias("n"))
     seen = by_text.select(F.col("offer_id").alias("right_id"), "seen_at")
     single = tops.join(sizes.filter("n = 1"), "right_id").join(seen, "right_id").select(
         "left_id", "right_id", "seen_at", "similarity")
-    tied = reliable_checkpoint(tops.join(sizes.filter("n > 1"), "right_id").join(seen, "right_id"))
+    tied = materialized(tops.join(sizes.filter("n > 1"), "right_id").join(seen, "right_id"))
     done = single
     if not tied.isEmpty():
         asks = tied.select(F.col("right_id").alias("item"), F.col("left_id").alias("option"), F.col("left_seen_at").alias("start"), F.col("seen_at").alias("value"))
