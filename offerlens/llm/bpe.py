@@ -44,6 +44,8 @@ PIECE_LOOKAHEAD = 3
 BLOCK_CHARS = 1 << 16
 KNOWN_PIECES = 400_000
 DECODE_IDS = 1 << 15
+ID_BITS = 32
+NO_RANK = 1 << 62
 
 
 def byte_characters() -> dict[str, int]:
@@ -66,32 +68,28 @@ class Vocabulary:
             self.bytes_of[i] = b
         for s, i in self.special.items():
             self.bytes_of[i] = s.encode()
+        # one number per pair, the rank above the id that the pair becomes
         self.rank = {}
         for k, pair in enumerate(spec["model"]["merges"]):
             left, right = map(as_bytes, pair if isinstance(pair, list) else pair.split(" "))
-            self.rank.setdefault((self.id_of[left], self.id_of[right]), (k, self.id_of[left + right]))
+            self.rank.setdefault((self.id_of[left], self.id_of[right]), k << ID_BITS | self.id_of[left + right])
         self.byte_id = [self.id_of[bytes([b])] for b in range(256)]
         self.reach = max(len(b) for b in self.id_of)
         self.tails = {b[k:] for b in self.id_of for k in range(len(b))}
         self.apart: dict[tuple[int, int], bool] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """Apply the merges in order of their rank, leftmost first."""
-        ids = [self.byte_id[b] for b in piece]
-        rank = self.rank
-        while len(ids) > 1:
-            best = min(map(rank.get, zip(ids, ids[1:]), [(1 << 60, 0)] * (len(ids) - 1)))
-            if best[0] == 1 << 60:
-                break
-            out, k, last = [], 0, len(ids) - 1
-            while k <= last:
-                if k < last and rank.get((ids[k], ids[k + 1])) == best:
-                    out.append(best[1])
-                    k += 2
-                else:
-                    out.append(ids[k])
-                    k += 1
-            ids = out
+        """Apply the merges in order of their rank, leftmost first; only the pairs beside a merge are looked up again."""
+        ids, get = [self.byte_id[b] for b in piece], self.rank.get
+        ranks = [get(pair, NO_RANK) for pair in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != NO_RANK:
+            k = ranks.index(best)
+            ids[k] = best & (1 << ID_BITS) - 1
+            del ids[k + 1], ranks[k]
+            if k:
+                ranks[k - 1] = get((ids[k - 1], ids[k]), NO_RANK)
+            if k < len(ranks):
+                ranks[k] = get((ids[k], ids[k + 1]), NO_RANK)
         return ids
 
     def stay_apart(self, left: int, right: int) -> bool:

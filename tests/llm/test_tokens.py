@@ -141,3 +141,19 @@ def test_orc_layout(spark):
     files = [orc.ORCFile(f) for f in glob.glob(path.removeprefix("file:") + "/part-*.orc")]
     assert sum(f.nrows for f in files) == 5000 and all(f.row_index_stride == token_files.ROW_STRIDE for f in files)
     assert all(f.nstripes > 0 for f in files)
+
+
+def test_a_merge_looks_up_only_the_pairs_beside_it():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    vocabulary = bpe.Vocabulary(open(BYTE).read())
+    vocabulary.rank = Counted(vocabulary.rank)
+    piece = b" internationalisation"
+    ids = vocabulary.merge(piece)
+    assert ids == byte_tokenizer.encode(piece.decode(), add_special_tokens=False).ids
+    assert vocabulary.rank.asked <= len(piece) - 1 + 2 * (len(piece) - len(ids))
