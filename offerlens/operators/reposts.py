@@ -29,6 +29,7 @@ MAX_PAIRS = 2_000_000_000
 CELL = 128
 BUCKETS = 256
 BROADCAST_IDS = 200_000
+MEET = 3
 _EPS = 1e-9
 
 
@@ -105,8 +106,8 @@ def common_tokens(offers: DataFrame, k: int = COMMON_TOKENS) -> DataFrame:
 
 
 def _prefixes(common: dict[str, int], threshold: float):
-    """Per text its size, the rarest elements that any similar text shares one of, and its tokens counted by hash bucket
-    (null if a count is out of range). Later occurrences of a token are elements of their own."""
+    """Per text its size, the rarest elements that any similar text shares ``MEET`` of (or all that they must share, if those are
+    fewer), and its tokens counted by hash bucket (null if a count is out of range). Later occurrences of a token are elements of their own."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +122,7 @@ def _prefixes(common: dict[str, int], threshold: float):
                 ranked = sorted((common.get(t, 0) / (k * k), t, k) for t, n in counts.items() for k in range(1, n + 1))
                 n = len(ranked)
                 sizes.append(n)
-                rarest.append([f"{t}\n{k}" for _, t, k in ranked[: n - math.ceil(n * threshold - _EPS) + 1]])
+                rarest.append([f"{t}\n{k}" for _, t, k in ranked[: n - math.ceil(n * threshold - _EPS) + MEET]])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("company_id"), batch.column("text_id"), pa.array(sizes, pa.int32()), pa.array(rarest, pa.list_(pa.string())),
                  pa.array(sketches, pa.list_(pa.int16()))],
@@ -207,17 +208,21 @@ def _possible(pairs: DataFrame, left: Texts, right: Texts, threshold: float) ->
 def similar_pairs(left: Texts, right: Texts, condition: Column | None = None, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
     """(left_id, right_id, similarity) of texts with similarity >= threshold.
 
-    ``condition`` may use left_id and right_id. Candidates meet on (company, rare element) and must pass the length and
+    ``condition`` may use left_id and right_id. Candidates meet on (company, rare element), ``MEET`` times or as often as they must share
+    elements; before they are counted no more than their ids is sent. They must pass the length and
     position bounds and that of the bucket counts; every surviving pair is counted exactly. Near copies meet in cells of at most about ``CELL`` texts a side, so a
     text is sent once per cell and not once per pair: those whose right text has the same first left text lie together.
     """
     longest = F.greatest("left_n", "right_n")
     room = F.least(F.col("left_n") - F.col("left_pos"), F.col("right_n") - F.col("right_pos"))
     enough = longest * threshold - _EPS
-    on = (F.least("left_n", "right_n") >= enough) & (room >= enough)
+    # behind the k-th element that two texts share there is room for all but k - 1 of the others
+    on = (F.least("left_n", "right_n") >= enough) & (room >= enough - (MEET - 1))
     if condition is not None:
         on = on & condition
-    met = _keys(left.prefixes, "left").join(_keys(right.prefixes, "right"), ["key", "company_id"]).filter(on).select("left_id", "right_id").distinct()
+    met = _keys(left.prefixes, "left").join(_keys(right.prefixes, "right"), ["key", "company_id"]).filter(on).select(
+        "left_id", "right_id", F.least(F.lit(MEET), F.ceil(enough)).cast("int").alias("least")).groupBy("left_id", "right_id").agg(
+        F.count(F.lit(1)).alias("times"), F.max("least").alias("least")).filter("times >= least").select("left_id", "right_id")
     candidates = materialized(_possible(met, left, right, threshold))
     first = candidates.groupBy("right_id").agg(F.min("left_id").alias("root"))
     rooted = candidates.join(first, "right_id")

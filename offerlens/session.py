@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
@@ -48,14 +50,35 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+RELEASE_S = 5.0
+_released = 0.0
+
+
+def release(spark: SparkSession, every: float | None = None) -> bool:
+    """Let go of the shuffle files that nothing refers to any more, and of the driver's memory for finished plans; at most every so many seconds.
+
+    Spark removes shuffle files when the driver collects its garbage, which a driver with little to do may not do for
+    long: the files of all steps would lie on the disks together, and its heap would grow to its limit.
+    """
+    global _released
+    now = time.monotonic()
+    if now - _released < (RELEASE_S if every is None else every):
+        return False
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    _released = time.monotonic()
+    return True
+
+
 def materialized(df: DataFrame) -> DataFrame:
-    """Write a table to the checkpoint folder and read it back.
+    """Write a table to the checkpoint folder and read it back; what only its making needed is released.
 
     The optimizer then knows its size in bytes: it broadcasts the table below
     the session's threshold and shuffles it beyond.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

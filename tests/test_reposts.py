@@ -1,8 +1,10 @@
 import random
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from offerlens import session
 from offerlens.operators import reposts
 
 
@@ -28,3 +30,46 @@ def test_copies_are_one_text_and_pairs_meet_in_cells(spark, monkeypatch):
             if a < b and similarity >= 0.9:
                 want[a, b] = similarity
     assert got == want and len(want) > 20
+
+
+def made_texts(spark, texts):
+    rows = [("a", i, f"title {i}", text, None) for i, text in enumerate(texts)]
+    offers = reposts.materialized(reposts.with_repost_keys(spark.createDataFrame(rows, "company_id string, offer_id long, title string, description string, seen_at string")))
+    return reposts.distinct_texts(offers, reposts.common_tokens(offers))
+
+
+def test_short_and_long_texts_meet_and_unlike_ones_are_not_paired(spark, monkeypatch):
+    asked, possible = [], reposts._possible
+    monkeypatch.setattr(reposts, "_possible", lambda pairs, *rest: asked.append(pairs.count()) or possible(pairs, *rest))
+    pick = random.Random(9)
+    likes = []
+    for n in (1, 2, 3, 9, 10, 11, 19, 20, 40):
+        words = [f"s{n}x{k}" for k in range(n)]
+        likes += [words, words[1:] + [f"other{n}"], [*words, f"more{n}"], [*words, words[0]]]
+    # pairs that share a rare word and nothing else
+    unlike = [[f"rare{i}"] + [f"u{i}v{k}" for k in range(9)] + [f"rare{j}" for j in range(i)] for i in range(12)]
+    texts = [" ".join(pick.sample(words, len(words))) for words in likes + unlike]
+    made = made_texts(spark, texts)
+    got = {(r.left_id, r.right_id): r.similarity for r in reposts.similar_pairs(made, made, F.col("left_id") < F.col("right_id")).collect()}
+    bags = {i: Counter(t.split()) for i, t in enumerate(texts)}
+    near = {(a, b): (bags[a] & bags[b]).total() / max(bags[a].total(), bags[b].total()) for a in bags for b in bags if a < b}
+    assert got == {pair: x for pair, x in near.items() if x >= 0.9} and len(got) > 15
+    held = [(["x%d" % i] + ["y%d_%d" % (i, k) for k in range(20)] + ["common rare"]) for i in range(30)]
+    apart = made_texts(spark, [" ".join(words) for words in held])
+    asked.clear()
+    assert reposts.similar_pairs(apart, apart, F.col("left_id") < F.col("right_id")).isEmpty() and asked == [0]
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark, monkeypatch):
+    monkeypatch.setattr(session, "RELEASE_S", 0.0)
+    monkeypatch.setattr(session, "_released", 0.0)
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    for k in range(5):
+        table = session.materialized(spark.range(100).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+        assert table.count() == 7
+    session.release(spark, 0)
+    until = time.time() + 20
+    while held() > 2 and time.time() < until:
+        time.sleep(0.2)
+    assert held() <= 2
+    assert not session.release(spark, 1000)
