@@ -34,6 +34,7 @@ LOW_PARTS = 16
 SOME = 3_000_000
 MISSES = 500_000
 HELD_WORDS = 400_000
+SLICE = 1 << 18
 GATHERED = "word binary, n long, shard int, keys binary, counts binary"
 WIDTH = ppm.ORDER + 1
 
@@ -65,6 +66,7 @@ def _gather(shards: int):
 
 
 def _gathered(batches, shards: int):
+    forget()
     words, keys, counts, held = Counter(), [], [], 0
 
     def word_rows():
@@ -198,7 +200,14 @@ def _model_rows(low, share: int):
     return run
 
 
-_indexes: dict[str, tuple] = {}
+_indexes: dict[str, ppm.Index] = {}
+
+
+def forget() -> None:
+    """Workers outlive their tasks: the index of a scoring goes before other work starts, and freed Arrow memory is returned."""
+    _indexes.clear()
+    pa.default_memory_pool().release_unused()
+
 
 SCORED = ("doc_id long, row long, n_tokens long, log_sum double, known long, score double, rare array<struct<word:binary,n:int>>, "
           "shard int, keys binary, owners binary")
@@ -223,13 +232,13 @@ def _score(model, token: str, shards: int):
     def run(batches):
         top, logs, frequent = model.value
         if token not in _indexes:
-            _indexes.clear()
+            forget()
             _indexes[token] = ppm.Index(top)
         index = _indexes[token]
         keys, owners, held = [], [], 0
         for batch in batches:
             place = batch.column("row").to_numpy()
-            for first, data, offsets in c.text_slices(batch.column("text")):
+            for first, data, offsets in c.text_slices(batch.column("text"), SLICE):
                 n = len(offsets) - 1
                 start, end, row = c.word_spans(data, offsets)
                 number, distinct = vocabulary(data, start, end)
@@ -268,6 +277,7 @@ def _score_misses(low):
     """Score the places sent to each shard; its model row comes first."""
 
     def run(batches):
+        forget()
         model, at, trie = low.value, None, None
         for batch in batches:
             for shard, counts, keys, owners in zip(*(batch.column(k) for k in ("shard", "counts", "keys", "owners"))):

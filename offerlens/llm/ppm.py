@@ -74,9 +74,15 @@ def runs(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(keys, kind="stable")
-    return runs(keys[order], counts[order])
+    """One run of all; the lists are emptied, so that their parts are not held during the sort."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    keys.clear()
+    counts.clear()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    count = count[order]
+    del order
+    return runs(key, count)
 
 
 def shorter(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +114,7 @@ class Index:
     """Numbers of known keys by open addressing, looked up for whole arrays."""
 
     def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(len(keys) * 3).bit_length())
+        self.bits = max(4, int(len(keys) * 2).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.slots = np.full(1 << self.bits, -1, np.int32)
         left, place = np.arange(len(keys), dtype=np.int32), self._home(keys)

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from offerlens.llm import lm_scoring, ppm
@@ -117,3 +118,14 @@ def test_no_n_gram_is_cut_as_the_corpus_grows(spark, monkeypatch, shared):
 def test_packed_numbers():
     numbers = np.array([0, 1, 255, 256, (1 << 48) - 1], np.uint64)
     assert (ppm.unpacked(ppm.packed(numbers, 6), 6) == numbers).all() and len(ppm.unpacked(b"", 6)) == 0
+
+
+def test_workers_hold_no_more_than_their_task_needs():
+    rows = lambda *texts: [pa.RecordBatch.from_pydict({"text": list(texts)})]
+    lm_scoring._indexes["earlier"] = ppm.Index(np.arange(9, dtype=np.uint64))
+    list(lm_scoring._gathered(rows("a b", None), 4))
+    assert not lm_scoring._indexes
+    keys, counts = [np.array([3, 1], np.uint64), np.array([3], np.uint64)], [np.array([1, 5]), np.array([2])]
+    key, count = ppm.merged(keys, counts)
+    assert key.tolist() == [1, 3] and count.tolist() == [5, 3] and not keys and not counts
+    assert len(ppm.Index(np.arange(1_000_000, dtype=np.uint64)).slots) == 1 << 21
