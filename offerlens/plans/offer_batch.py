@@ -26,7 +26,7 @@ from offerlens.operators import gates, identity, matching, merges, reposts, scor
 from offerlens.operators.company_sources import merge_by_provider_id
 from offerlens.operators.ledger import COUNTERS, LEDGER
 from offerlens.operators.numbering import numbered
-from offerlens.session import local_frame, materialized
+from offerlens.session import local_frame, materialized, materialized_result, scratch
 from offerlens.sinks.snapshots import Snapshots
 
 #: Columns of an offer that every update overwrites, nulls included.
@@ -119,7 +119,7 @@ def offer_outcomes(judged: DataFrame, stored: DataFrame) -> DataFrame:
     first = new.groupBy(*KEY).agg(F.min("arrival").alias("arrival"))
     fresh = new.join(first.select("arrival"), "arrival", "left_semi")
     touched = fresh.select("company_id").distinct()
-    folded = materialized(reposts.fold_reposts(
+    folded = materialized_result(judged.sparkSession, lambda: reposts.fold_reposts(
         fresh.select("company_id", F.col("arrival").alias("offer_id"), "title", "description", "seen_at"), stored_versions(stored, old, touched)))
     ids = numbered(folded.filter("NOT is_repost").select(F.col("offer_id").alias("arrival")), "arrival").select(
         "arrival", (F.lit(top) + F.col("position")).alias("new_id"))
@@ -216,7 +216,7 @@ def run_offer_batch(
     """Run one batch and commit it; None if ``batch`` is committed already.
 
     The ledger gets an opening row, and a closing one with status success or failure and the counters so far. Counters of
-    outcomes are collected while the outcome table is written.
+    outcomes are collected while the outcome table is written. The tables between the steps go with the batch.
     """
     if snapshots.has(batch):
         return None
@@ -229,13 +229,14 @@ def run_offer_batch(
 
     note("running")
     try:
-        tables = plan_batch(snapshots.tables(), offers, patterns, as_of(), observed)
-        counts |= observed.get
-        fresh = tables.pop("metrics")
-        lost = metrics.metrics_without_company(tables["companies"], fresh).count()
-        counts |= {"affected_companies": fresh.count(), "companies_failed": lost}
-        counts["companies_aggregated"] = counts["affected_companies"] - lost
-        snapshots.commit(batch, tables)
+        with scratch(spark):
+            tables = plan_batch(snapshots.tables(), offers, patterns, as_of(), observed)
+            counts |= observed.get
+            fresh = tables.pop("metrics")
+            lost = metrics.metrics_without_company(tables["companies"], fresh).count()
+            counts |= {"affected_companies": fresh.count(), "companies_failed": lost}
+            counts["companies_aggregated"] = counts["affected_companies"] - lost
+            snapshots.commit(batch, tables)
     except Exception as e:
         note("failure", f"{type(e).__name__}: {e}"[:500])
         raise

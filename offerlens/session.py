@@ -6,6 +6,9 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -70,16 +73,53 @@ def release(spark: SparkSession, every: float | None = None) -> bool:
     return True
 
 
+_tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+def _written(df: DataFrame) -> str:
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    release(df.sparkSession)
+    return path
+
+
+def _read(df: DataFrame, path: str) -> DataFrame:
+    tables = _tables.get()
+    if tables is not None:
+        tables.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Write a table to the checkpoint folder and read it back; what only its making needed is released.
 
     The optimizer then knows its size in bytes: it broadcasts the table below
     the session's threshold and shuffles it beyond.
     """
-    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    release(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _read(df, _written(df))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized inside are removed at the end: nothing that reads them may leave the block unwritten."""
+    paths: list[str] = []
+    token = _tables.set(paths)
+    try:
+        yield
+    finally:
+        _tables.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+def materialized_result(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()``, materialized; the tables on the way to it are removed."""
+    with scratch(spark):
+        df = make()
+        path = _written(df)
+    return _read(df, path)
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -1,10 +1,12 @@
 import itertools
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from offerlens.operators.ledger import LEDGER, run_ledger
 from offerlens.plans import offer_batch as ob
+from offerlens.session import checkpoint_folder, materialized, materialized_result
 from offerlens.sinks.snapshots import Snapshots
 from tests.test_rules import small_dictionary
 
@@ -135,3 +137,12 @@ def test_ledger_has_a_row_for_success_and_failure(runs):
 
 def test_an_empty_batch(runs):
     assert runs.run([], "none")["offers_fetched"] == 0 and runs.snapshots.read("offers").count() == 0
+
+
+def test_tables_between_the_steps_go_with_the_batch(spark, runs):
+    folder = Path(checkpoint_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("table-*"))
+    runs.run(FIRST, "1")
+    assert set(folder.glob("table-*")) <= before
+    made = materialized_result(spark, lambda: materialized(spark.range(3)).join(materialized(spark.range(2)), "id"))
+    assert len(set(folder.glob("table-*")) - before) == 1 and made.count() == 2
