@@ -123,3 +123,21 @@ def test_dialogues_and_tables_stay_and_notices_go_in_hosts_of_any_size(spark, n)
     got = {r.doc_id: r for r in quality_rules.judge_lines(documents(spark, talk + table_ + noted)).collect()}
     assert all(got[i].removed_words == 0 and got[i].kept == (not got[i].base_failed) for i in range(2 * n))
     assert all(got[2 * n + i].removed_words == 12 and got[2 * n + i].kept for i in range(25))
+
+
+def test_untouched_texts_meet_no_join_by_exchange(spark):
+    rng = random.Random(13)
+    rows = [(i, prose(rng, 40, 4000) if i % 3 else "too short", "en", "a") for i in range(300)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        good = quality_rules.keep_good(documents(spark, rows))
+        stay, judged = (good._jdf.queryExecution().sparkPlan().children().apply(k).toString() for k in (0, 1))
+        assert "SortMergeJoin" not in stay and "SortMergeJoin" in judged
+        assert sorted(r.doc_id for r in good.collect()) == [i for i in range(300) if i % 3]
+        # a bit table of all rows holds them, one of none holds none
+        numbered = spark.range(1000).selectExpr("xxhash64(id) AS __row")
+        held = numbered.selectExpr("__row", f"{quality_rules.SLOT} AS __slot").join(quality_rules.row_filter(numbered.limit(500)), "__slot", "left")
+        assert 500 <= held.filter(f"__words[{quality_rules.WORD}] & {quality_rules.BIT} <> 0").count() < 510
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
