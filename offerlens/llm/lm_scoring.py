@@ -2,7 +2,8 @@
 
 Training counts every word and every byte n-gram of the training texts and keeps them all. N-grams are counted in numpy per
 task and sent as sorted runs to shards that are dealt by a hash of the ``ppm.NEAR`` nearest context bytes; their number grows with
-the input. A shard is a trie of its own above the orders that all shards need, which are broadcast. The code lengths of the
+the input. Shards are scored in groups of about ``GRAMS`` distinct n-grams, as those grow more slowly than the texts: a document gets a
+partial score from each group at most. A group is a trie of its own above the orders that all groups need, which are broadcast. The code lengths of the
 n-grams that make up at least one in ``SHARED`` of the training bytes, so at most ``SHARED`` of them, are broadcast, too; all other places
 of the texts, known or not, are sent to the shard of their context and scored there. Words are counted by an ordinary
 aggregate. The words that make up at least one in ``FREQUENT`` of all tokens, so at most ``FREQUENT`` of them, are broadcast;
@@ -30,6 +31,7 @@ FOLDS, HELD_OUT = 10, 0
 FREQUENT = 1 << 17
 SHARED = 1 << 21
 SHARDS, SHARD_BYTES = 16, 16 << 20
+GRAMS = 1 << 19
 LOW_PARTS = 16
 SOME = 3_000_000
 MISSES = 500_000
@@ -56,6 +58,12 @@ def shards_of(texts: DataFrame) -> int:
     return max(SHARDS, -(-size // SHARD_BYTES))
 
 
+def groups_of(tries: DataFrame, shards: int) -> int:
+    """As many groups of shards as keep one group's distinct n-grams about as many at any size of the input."""
+    distinct = tries.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // WIDTH
+    return min(shards, max(SHARDS, -(-distinct // GRAMS)))
+
+
 def _gather(shards: int):
     """Word counts, and runs of n-grams by shard, of a task's texts; runs of order NEAR - 1 have negative shards."""
 
@@ -214,12 +222,12 @@ SCORED = ("doc_id long, row long, n_tokens long, log_sum double, known long, sco
 FIELDS = [x.split()[0] for x in SCORED.split(", ")]
 
 
-def _misses(keys: list, owners: list, shards: int) -> pa.RecordBatch:
-    """Places that the broadcast n-grams do not cover, by shard."""
+def _misses(keys: list, owners: list, shards: int, groups: int) -> pa.RecordBatch:
+    """Places that the broadcast n-grams do not cover, by group of shards."""
     key, owner = np.concatenate(keys), np.concatenate(owners)
-    part = shard_of(key, shards)
+    part = shard_of(key, shards) % groups
     order = np.lexsort((key, part))
-    bounds = np.searchsorted(part[order], np.arange(shards + 1))
+    bounds = np.searchsorted(part[order], np.arange(groups + 1))
     at = [(k, order[a:b]) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
     n = len(at)
     return pa.RecordBatch.from_arrays(
@@ -228,7 +236,7 @@ def _misses(keys: list, owners: list, shards: int) -> pa.RecordBatch:
          pa.array([ppm.packed(key[p], WIDTH) for _, p in at], pa.binary()), pa.array([ppm.packed(owner[p], 8) for _, p in at], pa.binary())], FIELDS)
 
 
-def _score(model, token: str, shards: int):
+def _score(model, token: str, shards: int, groups: int):
     def run(batches):
         top, logs, frequent = model.value
         if token not in _indexes:
@@ -265,31 +273,33 @@ def _score(model, token: str, shards: int):
                     [batch.column("doc_id").slice(first, n), batch.column("row").slice(first, n), pa.array(tokens.astype(np.int64)), pa.array(word_logs), pa.array(sure), pa.array(score), rare,
                      pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], FIELDS)
                 if held > MISSES:
-                    yield _misses(keys, owners, shards)
+                    yield _misses(keys, owners, shards, groups)
                     keys, owners, held = [], [], 0
         if held:
-            yield _misses(keys, owners, shards)
+            yield _misses(keys, owners, shards, groups)
 
     return run
 
 
 def _score_misses(low):
-    """Score the places sent to each shard; its model row comes first."""
+    """Score the places sent to each group of shards; its model rows come first."""
 
     def run(batches):
         forget()
         model, at, trie = low.value, None, None
+        ks, cs = [], []
         for batch in batches:
             for shard, counts, keys, owners in zip(*(batch.column(k) for k in ("shard", "counts", "keys", "owners"))):
                 key = ppm.unpacked(keys.as_py(), WIDTH)
                 if shard.as_py() != at:
-                    at, trie = shard.as_py(), None
+                    # without model rows no training text has a context of this group
+                    at, trie, ks, cs = shard.as_py(), None, [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 if counts.is_valid:
-                    trie = model.shard(key, ppm.unpacked(counts.as_py(), 5).astype(np.int64))
+                    ks.append(key)
+                    cs.append(ppm.unpacked(counts.as_py(), 5).astype(np.int64))
                     continue
-                if trie is None:  # no training text has a context of this shard
-                    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                    trie = model.shard(*none)
+                if trie is None:
+                    trie = model.shard(*ppm.merged(ks, cs))
                 row, which = np.unique(ppm.unpacked(owners.as_py(), 8).astype(np.int64), return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.bincount(which, trie.code_lengths(key), len(row)))], ["row", "score"])
 
@@ -309,6 +319,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     low = spark.sparkContext.broadcast(train_low(grams, symbols))
     dealt = grams.filter("shard >= 0").select("shard", "keys", "counts").repartition(shards, "shard").sortWithinPartitions("shard")
     tries = c.written(c.map_batches(dealt, _model_rows(low, SHARED), "shard int, keys binary, counts binary, top binary, logs binary"))
+    groups = groups_of(tries, shards)
     # at most SHARED n-grams have this share of all training bytes
     best = tries.select("top", "logs").toArrow()
     shared, logs = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_py(), t) for x in best.column(name))]) for name, t in (("top", np.uint64), ("logs", np.float64)))
@@ -318,11 +329,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
     model = spark.sparkContext.broadcast((shared, logs, frequent))
     token = str(id(model)) + c.shared_folder(spark)
     numbered = texts.withColumn("row", F.monotonically_increasing_id())
-    both = c.written(c.map_batches(numbered, _score(model, token, shards), SCORED))
+    both = c.written(c.map_batches(numbered, _score(model, token, shards, groups), SCORED))
     scored = both.filter("shard IS NULL").drop("shard", "keys", "owners")
-    sent = tries.select("shard", "counts", "keys", F.lit(None).cast("binary").alias("owners")).union(
+    sent = tries.select((F.col("shard") % groups).alias("shard"), "counts", "keys", F.lit(None).cast("binary").alias("owners")).union(
         both.filter("shard IS NOT NULL").select("shard", F.lit(None).cast("binary"), "keys", "owners"))
-    sent = sent.repartition(shards, "shard").sortWithinPartitions("shard", F.col("counts").isNull())
+    sent = sent.repartition(groups, "shard").sortWithinPartitions("shard", F.col("counts").isNull())
     places = c.map_batches(sent, _score_misses(low), "row long, score double").select(
         "row", F.lit(0.0).alias("log_sum"), F.lit(0).cast("long").alias("known"), F.col("score").alias("gram_score"))
     rare = scored.select("row", F.inline("rare")).join(counts, "word", "left").select(

@@ -115,6 +115,33 @@ def test_no_n_gram_is_cut_as_the_corpus_grows(spark, monkeypatch, shared):
     assert got == pytest.approx({i: slow.score(t) for i, t, *_ in rows}, rel=1e-9)
 
 
+@pytest.mark.parametrize("grams,groups", [(1 << 19, 16), (200, 0)])
+def test_partial_scores_follow_the_model_and_not_the_text(spark, monkeypatch, grams, groups):
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 1 << 9)
+    monkeypatch.setattr(lm_scoring, "SHARED", 50)
+    monkeypatch.setattr(lm_scoring, "GRAMS", grams)
+    seen, groups_of, score_misses = [], lm_scoring.groups_of, lm_scoring._score_misses
+    monkeypatch.setattr(lm_scoring, "groups_of", lambda tries, shards: seen.append((shards, groups_of(tries, shards))) or seen[0][1])
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(low):
+        def run(batches):
+            for out in score_misses(low)(batches):
+                made.add(out.num_rows)
+                yield out
+        return run
+
+    monkeypatch.setattr(lm_scoring, "_score_misses", counted)
+    rng = random.Random(10)
+    rows = [(i, prose(rng, 60, 300), "en", "a") for i in range(150)]
+    got = {r.doc_id: r.score for r in lm_scoring.score_documents(documents(spark, rows)).collect()}
+    slow = SlowTrie([t for i, t, *_ in rows if training(i)], math.inf)
+    assert got == pytest.approx({i: slow.score(t) for i, t, *_ in rows}, rel=1e-9)
+    [(shards, found)] = seen
+    assert shards > 40 and (found == groups if groups else found > 16)
+    assert 0 < made.value <= len(rows) * found
+
+
 def test_packed_numbers():
     numbers = np.array([0, 1, 255, 256, (1 << 48) - 1], np.uint64)
     assert (ppm.unpacked(ppm.packed(numbers, 6), 6) == numbers).all() and len(ppm.unpacked(b"", 6)) == 0
