@@ -3,7 +3,7 @@
 Training counts every word and every byte n-gram of the training texts and keeps them all. N-grams are counted in numpy per
 task and sent as sorted runs to shards that are dealt by a hash of the ``ppm.NEAR`` nearest context bytes; their number grows with
 the input. Shards are scored in groups of about ``GRAMS`` distinct n-grams, as those grow more slowly than the texts: a document gets a
-partial score from each group at most. A group is a trie of its own above the orders that all groups need, which are broadcast. The code lengths of the
+partial score from each group at most. A group's texts are dealt to as many tasks as its shards need, each with the group's n-grams. A group is a trie of its own above the orders that all groups need, which are broadcast. The code lengths of the
 n-grams that make up at least one in ``SHARED`` of the training bytes, so at most ``SHARED`` of them, are broadcast, too; all other places
 of the texts, known or not, are sent to the shard of their context and scored there. Words are counted by an ordinary
 aggregate. The words that make up at least one in ``FREQUENT`` of all tokens, so at most ``FREQUENT`` of them, are broadcast;
@@ -222,9 +222,16 @@ SCORED = ("doc_id long, row long, n_tokens long, log_sum double, known long, sco
 FIELDS = [x.split()[0] for x in SCORED.split(", ")]
 
 
+def parts_of(shards: int, groups: int) -> int:
+    """Tasks of a group: all groups together have about as many tasks as there are shards."""
+    return -(-shards // groups)
+
+
 def _misses(keys: list, owners: list, shards: int, groups: int) -> pa.RecordBatch:
-    """Places that the broadcast n-grams do not cover, by group of shards."""
+    """Places that the broadcast n-grams do not cover, by group of shards; all of them go to the same one of each group's tasks."""
     key, owner = np.concatenate(keys), np.concatenate(owners)
+    parts = parts_of(shards, groups)
+    task = int(c.mix(owner[:1].astype(np.uint64))[0] % np.uint64(parts))
     part = shard_of(key, shards) % groups
     order = np.lexsort((key, part))
     bounds = np.searchsorted(part[order], np.arange(groups + 1))
@@ -232,7 +239,7 @@ def _misses(keys: list, owners: list, shards: int, groups: int) -> pa.RecordBatc
     n = len(at)
     return pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()),
-         pa.nulls(n, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))), pa.array([k for k, _ in at], pa.int32()),
+         pa.nulls(n, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))), pa.array([k * parts + task for k, _ in at], pa.int32()),
          pa.array([ppm.packed(key[p], WIDTH) for _, p in at], pa.binary()), pa.array([ppm.packed(owner[p], 8) for _, p in at], pa.binary())], FIELDS)
 
 
@@ -282,7 +289,7 @@ def _score(model, token: str, shards: int, groups: int):
 
 
 def _score_misses(low):
-    """Score the places sent to each group of shards; its model rows come first."""
+    """Score the places sent to each task of a group of shards; the group's model rows come first."""
 
     def run(batches):
         forget()
@@ -331,9 +338,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
     numbered = texts.withColumn("row", F.monotonically_increasing_id())
     both = c.written(c.map_batches(numbered, _score(model, token, shards, groups), SCORED))
     scored = both.filter("shard IS NULL").drop("shard", "keys", "owners")
-    sent = tries.select((F.col("shard") % groups).alias("shard"), "counts", "keys", F.lit(None).cast("binary").alias("owners")).union(
+    parts = parts_of(shards, groups)
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    sent = tries.withColumn("task", every).select((F.col("shard") % groups * parts + F.col("task")).alias("shard"), "counts", "keys", F.lit(None).cast("binary").alias("owners")).union(
         both.filter("shard IS NOT NULL").select("shard", F.lit(None).cast("binary"), "keys", "owners"))
-    sent = sent.repartition(groups, "shard").sortWithinPartitions("shard", F.col("counts").isNull())
+    sent = sent.repartition(groups * parts, "shard").sortWithinPartitions("shard", F.col("counts").isNull())
     places = c.map_batches(sent, _score_misses(low), "row long, score double").select(
         "row", F.lit(0.0).alias("log_sum"), F.lit(0).cast("long").alias("known"), F.col("score").alias("gram_score"))
     rare = scored.select("row", F.inline("rare")).join(counts, "word", "left").select(

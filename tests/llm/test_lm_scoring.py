@@ -142,6 +142,17 @@ def test_partial_scores_follow_the_model_and_not_the_text(spark, monkeypatch, gr
     assert 0 < made.value <= len(rows) * found
 
 
+def test_a_group_of_shards_is_scored_by_several_tasks():
+    assert [lm_scoring.parts_of(*x) for x in ((16, 16), (31, 16), (1875, 16), (1875, 1875))] == [1, 2, 118, 1]
+    keys = np.arange(1 << 16, dtype=np.uint64) << np.uint64(8)
+    tasks = set()
+    for row in range(40):
+        out = lm_scoring._misses([keys], [np.full(len(keys), row)], 64, 16)
+        tasks |= set(out.column("shard").to_pylist())
+        assert out.num_rows <= 16
+    assert tasks == set(range(64))
+
+
 def test_packed_numbers():
     numbers = np.array([0, 1, 255, 256, (1 << 48) - 1], np.uint64)
     assert (ppm.unpacked(ppm.packed(numbers, 6), 6) == numbers).all() and len(ppm.unpacked(b"", 6)) == 0
