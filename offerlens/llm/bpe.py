@@ -211,15 +211,13 @@ def decode(vocabulary: Vocabulary, blocks: Iterator[np.ndarray]) -> Iterator[str
     yield automaton.decode(b"", True)
 
 
-_encoders: dict[str, Encoder] = {}
+def encoder_key(definition: str) -> str:
+    return f"bpe {hashlib.sha256(definition.encode()).hexdigest()}"
 
 
 def encoder_of(definition: str) -> Encoder:
-    """One encoder per worker process and vocabulary, so that later tasks know earlier pieces."""
-    key = hashlib.sha256(definition.encode()).hexdigest()
-    if key not in _encoders:
-        _encoders[key] = Encoder(Vocabulary(definition))
-    return _encoders[key]
+    """One encoder per worker process and vocabulary, so that later tasks know earlier pieces; it goes when the process does other work."""
+    return c.kept(encoder_key(definition), lambda: Encoder(Vocabulary(definition)))
 
 
 def round_trip(docs: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -228,7 +226,8 @@ def round_trip(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     The vocabulary file is read on the driver and broadcast: its size is fixed.
     """
     with open(vocabulary_path, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        definition = f.read()
+    shared, key = docs.sparkSession.sparkContext.broadcast(definition), encoder_key(definition)
 
     def run(batches):
         encoder = encoder_of(shared.value)
@@ -257,4 +256,4 @@ def round_trip(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded_chars"])
 
     return c.map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_chars long")
+                         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_chars long", keep=key)

@@ -168,14 +168,16 @@ def without(text: str, spans: list[dict]) -> str:
 
 
 def _cut(batches):
-    for batch in batches:
-        text, spans = batch.column("text").to_pylist(), batch.column("__spans").to_pylist()
-        done = pa.array([without(t, s) if s else t for t, s in zip(text, spans)], pa.string())
-        columns = {n: batch.column(n) for n in batch.schema.names if n != "__spans"} | {"text": done}
-        if "n_chars" in columns:
-            size = [len(t) if s else n for t, s, n in zip(done.to_pylist(), spans, columns["n_chars"].to_pylist())]
-            columns["n_chars"] = pa.array(size, columns["n_chars"].type)
-        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    for whole in batches:
+        for first, _, offsets in c.text_slices(whole.column("text"), SLICE):
+            batch = whole.slice(first, len(offsets) - 1)
+            text, spans = batch.column("text").to_pylist(), batch.column("__spans").to_pylist()
+            done = pa.array([without(t, s) if s else t for t, s in zip(text, spans)], pa.string())
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "__spans"} | {"text": done}
+            if "n_chars" in columns:
+                size = [len(t) if s else n for t, s, n in zip(done.to_pylist(), spans, columns["n_chars"].to_pylist())]
+                columns["n_chars"] = pa.array(size, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def row_filter(rows: DataFrame) -> DataFrame:
@@ -200,4 +202,4 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
     placed = marked.withColumn("__slot", F.expr(SLOT)).join(F.broadcast(c.written(row_filter(touched.select("__row")))), "__slot", "left")
     asked = F.coalesce(F.expr(f"__words[{WORD}] & {BIT}") != 0, F.lit(False))
     judged = placed.filter(asked).drop("__slot", "__words").join(touched, "__row", "left").filter(F.coalesce("__kept", F.lit(True))).drop("__row", "__kept")
-    return placed.filter(~asked).select(*docs.columns).unionByName(judged.mapInArrow(_cut, docs.schema))
+    return placed.filter(~asked).select(*docs.columns).unionByName(c.map_batches(judged, _cut, docs.schema))

@@ -36,6 +36,7 @@ PASSAGE, STRIDE, LEAST_GRAMS = 48, 24, 500
 TOXIC_AT = 0.7
 BATCH = 128
 LEAST_TEXTS = 3
+SLICE = 1 << 18
 
 
 def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +110,7 @@ class Indexed:
     def __init__(self, texts: list[str]):
         numbers: dict[int, int] = {}
         rows, words, grams, sizes, at = [], [], [], [], 0
-        for _, data, offsets in c.text_slices(pa.array(texts, pa.large_string()), 1 << 18):
+        for _, data, offsets in c.text_slices(pa.array(texts, pa.large_string()), SLICE):
             row, number, start, end = numbered_words(data, offsets)
             hashes = c.span_hash(c.prefix_hash(data, c.LOWER), start, end).tolist()
             fresh = np.array([h not in numbers for h in hashes], bool)
@@ -250,20 +251,26 @@ def best_logits(z: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return best
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, longest: int = 50_000, name: str = "score") -> DataFrame:
-    """All columns of ``docs``, and the score as ``name`` (replacing a column of that name)."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(*sampling.labelled(docs, labels, label, per_class, longest)))
+def _scored(model, name: str):
+    """Rows with their scores, slice by slice: what a worker holds besides its batch does not grow with the batch."""
 
     def run(batches):
         z, bias = model.value
         for batch in batches:
-            scores = [sigmoid(best_logits(z, data, offsets) + bias) for _, data, offsets in c.text_slices(batch.column("text"), 2 << 20)]
-            scores = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, name])
+            for first, data, offsets in c.text_slices(batch.column("text"), SLICE):
+                part = batch.slice(first, len(offsets) - 1)
+                scores = sigmoid(best_logits(z, data, offsets) + bias)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], [*part.schema.names, name])
+
+    return run
 
+
+def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, longest: int = 50_000, name: str = "score") -> DataFrame:
+    """All columns of ``docs``, and the score as ``name`` (replacing a column of that name)."""
+    spark = docs.sparkSession
+    model = spark.sparkContext.broadcast(train(*sampling.labelled(docs, labels, label, per_class, longest)))
     docs = docs.drop(name)
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return c.map_batches(docs, _scored(model, name), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
