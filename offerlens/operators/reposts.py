@@ -8,19 +8,21 @@ whose output is verified exactly.
 
 from __future__ import annotations
 
-import math
-import zlib
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerlens.constants import SIMILARITY_THRESHOLD
-from offerlens.functions.text import tokens_or_empty, trim_space
+from offerlens.functions import words
+from offerlens.functions.text import SPACE_CLASS
 from offerlens.operators.ordered import first_kept, ordered_choices
 from offerlens.session import materialized
 
@@ -30,35 +32,50 @@ CELL = 128
 BUCKETS = 256
 BROADCAST_IDS = 200_000
 MEET = 3
+ROWS, HELD = 512, 1_000_000
 _EPS = 1e-9
 
 
 # --- comparison keys -----------------------------------------------------------
 
 
-def fingerprint(title_tokens: Column, description_tokens: Column) -> Column:
-    """Content hash of both token sequences; null when one of them is empty."""
-    text = F.concat(
-        F.array_join(title_tokens, "\n"), F.lit("\n\n"), F.array_join(description_tokens, "\n")
-    )
-    return F.when(
-        (F.size(title_tokens) > 0) & (F.size(description_tokens) > 0), F.sha2(text, 256)
-    )
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The other columns, then the keys and the sorted words of texts in lower case."""
+    sha = lambda text: hashlib.sha256(text).hexdigest()
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch, titles, prints, texts, held = whole.slice(at, ROWS), [], [], [], []
+            # content: both token sequences, neither empty
+            pairs = zip(*(batch.column(c).cast(pa.large_binary()).to_pylist() for c in ("title", "description")))
+            for title, description in pairs:
+                in_title, in_text = words.tokens(title), words.tokens(description)
+                joined = b"\n".join(in_title)
+                titles.append(sha(joined))
+                prints.append(sha(b"\n\n".join((joined, b"\n".join(in_text)))) if in_title and in_text else None)
+                in_text.sort()
+                held.append(b" ".join(in_text))
+                texts.append(sha(held[-1]))
+            kept = [c for c in batch.schema.names if c not in ("title", "description")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), *(pa.array(x, pa.string()) for x in (titles, prints)), pa.array(held, pa.binary()).cast(pa.string()), pa.array(texts, pa.string())],
+                [*kept, "title_key", "fingerprint", "words", "text_key"])
 
 
 def with_repost_keys(offers: DataFrame) -> DataFrame:
-    """Add sorted description tokens, title key, text key, fingerprint; drops the raw texts."""
-    tokens = offers.withColumns({
-        "has_title": F.coalesce(trim_space(F.col("title")) != "", F.lit(False)),
-        "has_description": F.coalesce(trim_space(F.col("description")) != "", F.lit(False)),
-        "title_tokens": tokens_or_empty(F.col("title")),
-        "description_tokens": tokens_or_empty(F.col("description")),
-    })
-    return tokens.withColumns({
-        "title_key": F.sha2(F.array_join("title_tokens", "\n"), 256),
-        "fingerprint": fingerprint(F.col("title_tokens"), F.col("description_tokens")),
-        "description_tokens": F.sort_array("description_tokens"),
-    }).withColumn("text_key", F.sha2(F.array_join("description_tokens", "\n"), 256)).drop("title", "description", "title_tokens")
+    """Add sorted description tokens (``words``, a space between them), title key, text key, fingerprint; drops the raw texts."""
+    # lower case as everywhere in Spark; the rest of ``normalize_tokens`` is cheaper by whole texts
+    lowered = offers.withColumns({
+        **{f"has_{c}": F.coalesce(F.col(c).rlike(f"[^{SPACE_CLASS}]"), F.lit(False)) for c in ("title", "description")},
+        **{c: F.lower(c) for c in ("title", "description")}})
+    kept = T.StructType([f for f in lowered.schema.fields if f.name not in ("title", "description")])
+    for name in ("title_key", "fingerprint", "words", "text_key"):
+        kept = kept.add(name, "string")
+    return lowered.mapInArrow(_keyed, kept)
+
+
+def description_tokens() -> Column:
+    """The tokens in ``words``."""
+    return F.array_remove(F.split("words", " "), "")
 
 
 # --- equality matches ------------------------------------------------------------
@@ -91,49 +108,83 @@ def token_counts(offers: DataFrame) -> DataFrame:
     """Occurrences of every token per description."""
     return (
         offers.repartition("offer_id")
-        .select("company_id", "offer_id", F.explode("description_tokens").alias("token"))
+        .select("company_id", "offer_id", F.explode(description_tokens()).alias("token"))
         .groupBy("company_id", "offer_id", "token").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, docs) as far as a task has counted."""
+    counts: Counter[bytes] = Counter()
+
+    def counted() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64())], ["token", "docs"])
+
+    for batch in batches:
+        for text in batch.column("words").cast(pa.large_binary()).to_pylist():
+            counts.update(set(text.split()))
+            if len(counts) > HELD:
+                yield counted()
+                counts.clear()
+    yield counted()
+
+
 def common_tokens(offers: DataFrame, k: int = COMMON_TOKENS) -> DataFrame:
     """The k most frequent tokens with their document counts (k bounds it)."""
     return (
-        offers.select(F.explode(F.array_distinct("description_tokens")).alias("token"))
-        .groupBy("token").agg(F.count(F.lit(1)).alias("docs"))
+        offers.select("words").mapInArrow(_documents_with, "token string, docs long")
+        .groupBy("token").agg(F.sum("docs").alias("docs"))
         .orderBy(F.desc("docs"), "token").limit(k)
     )
 
 
-def _prefixes(common: dict[str, int], threshold: float):
+def _common(ranks: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of tokens, in order, and their counts; one of no documents stands last."""
+    names = [t.encode("utf-8", "surrogatepass") for t in ranks]
+    ends = np.cumsum([0, *(len(t) for t in names)])
+    h = words.hashes(np.frombuffer(b"".join(names), np.uint8), ends)[0] if names else np.zeros(0, np.uint64)
+    order = np.argsort(h)
+    return np.append(h[order], np.uint64(2**64 - 1)), np.append(np.array(list(ranks.values()), np.float64)[order], 0)
+
+
+def _prefixes(common: tuple[np.ndarray, np.ndarray], threshold: float):
     """Per text its size, the rarest elements that any similar text shares ``MEET`` of (or all that they must share, if those are
-    fewer), and its tokens counted by hash bucket (null if a count is out of range). Later occurrences of a token are elements of their own."""
+    fewer), and its tokens counted by hash bucket (null if a count is out of range). Later occurrences of a token are elements of their own.
+
+    Tokens and elements are 64-bit hashes here: equal hashes of unequal tokens make texts look more alike, so they only add candidates.
+    """
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, docs = common
         for batch in batches:
-            sizes, rarest, sketches = [], [], []
-            for tokens in batch.column("tokens"):
-                counts = Counter(tokens.as_py())
-                buckets = [0] * BUCKETS
-                for t, n in counts.items():
-                    buckets[zlib.crc32(t.encode("utf-8", "surrogatepass")) % BUCKETS] += n
-                sketches.append(buckets if max(buckets) < 1 << 15 else None)
+            for first, end, data, offsets in words.slices(batch.column("words")):
+                h, n = words.hashes(data, offsets)
+                rows = len(n)
+                row, start = np.repeat(np.arange(rows), n), np.cumsum(n) - n
+                k = words.occurrences(h, row)
+                place = np.searchsorted(known, h)
                 # later occurrences of a token are rarer than the first one
-                ranked = sorted((common.get(t, 0) / (k * k), t, k) for t, n in counts.items() for k in range(1, n + 1))
-                n = len(ranked)
-                sizes.append(n)
-                rarest.append([f"{t}\n{k}" for _, t, k in ranked[: n - math.ceil(n * threshold - _EPS) + MEET]])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("company_id"), batch.column("text_id"), pa.array(sizes, pa.int32()), pa.array(rarest, pa.list_(pa.string())),
-                 pa.array(sketches, pa.list_(pa.int16()))],
-                ["company_id", "text_id", "n", "elements", "sketch"])
+                weight = np.where(known[place] == h, docs[place], 0) / (k * k)
+                element = words.elements(h, k)
+                level = weight.astype(np.float32).view(np.uint32) >> np.uint32(16)
+                # equal keys keep the order of the words, which all texts share
+                order = np.argsort(row.astype(np.uint64) << np.uint64(48) | level.astype(np.uint64) << np.uint64(32) | element >> np.uint64(32), kind="stable")
+                least = np.minimum(n - np.ceil(n * threshold - _EPS).astype(np.int64) + MEET, n)
+                rarest = element[order][np.arange(len(h)) - start[row] < least[row]]
+                sketch = np.bincount(row * BUCKETS + (h % BUCKETS).astype(np.int64), minlength=rows * BUCKETS)
+                beyond = sketch.reshape(rows, BUCKETS).max(1) >= 1 << 15
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(first, end - first) for c in ("company_id", "text_id")), pa.array(n, pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(least)), pa.int32()), pa.array(rarest.view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * BUCKETS, pa.int32()), pa.array(np.minimum(sketch, (1 << 15) - 1), pa.int16()), mask=pa.array(beyond))],
+                    ["company_id", "text_id", "n", "elements", "sketch"])
 
     return convert
 
 
 class Texts(NamedTuple):
     """Distinct descriptions of one side. members: company_id, offer_id, text_id (the smallest offer_id with the text);
-    prefixes: company_id, text_id, n, elements, sketch; tokens: text_id, tokens."""
+    prefixes: company_id, text_id, n, elements, sketch; tokens: text_id, words."""
 
     members: DataFrame
     prefixes: DataFrame
@@ -153,36 +204,46 @@ def distinct_texts(offers: DataFrame, common: DataFrame, threshold: float = SIMI
     described = offers.filter("has_description")
     first = described.groupBy("company_id", "text_key").agg(F.min("offer_id").alias("text_id"))
     members = materialized(described.select("company_id", "offer_id", "text_key").join(first, ["company_id", "text_key"]).select("company_id", "offer_id", "text_id"))
-    tokens = described.select(
-        "company_id", F.col("offer_id").alias("text_id"),
-        F.when(F.size("description_tokens") > 0, F.col("description_tokens")).otherwise(F.array(F.lit(""))).alias("tokens"))
-    ranks = {r["token"]: r["docs"] for r in common.collect()}
+    tokens = described.select("company_id", F.col("offer_id").alias("text_id"), "words")
+    ranks = _common({r["token"]: r["docs"] for r in common.collect()})
     kind = tokens.schema["company_id"].dataType.simpleString()
-    every = tokens.mapInArrow(_prefixes(ranks, threshold), f"company_id {kind}, text_id long, n int, elements array<string>, sketch array<smallint>")
+    every = tokens.mapInArrow(_prefixes(ranks, threshold), f"company_id {kind}, text_id long, n int, elements array<long>, sketch array<smallint>")
     prefixes = materialized(every.join(members.select("text_id").distinct(), "text_id", "left_semi"))
-    return Texts(members, prefixes, tokens.select("text_id", "tokens"))
+    return Texts(members, prefixes, tokens.select("text_id", "words"))
+
+
+def _length(n: Column | str) -> Column:
+    """Lengths within a factor of 1.5 are one class, longer ones a later one."""
+    return F.floor(F.log(1.5, n)).cast("int")
+
+
+def _lengths(n: str, threshold: float) -> Column:
+    """The classes of all lengths that a similar text can have."""
+    low, high = F.greatest(F.lit(1), F.ceil(F.col(n) * threshold - _EPS)), F.floor((F.col(n) + _EPS) / threshold)
+    return F.sequence(_length(low), _length(high))
 
 
-def _keys(prefixes: DataFrame, side: str) -> DataFrame:
+def _keys(prefixes: DataFrame, side: str, length: Column) -> DataFrame:
     # equal keys of unequal elements only add candidates
-    return prefixes.select("company_id", F.col("text_id").alias(f"{side}_id"), F.col("n").alias(f"{side}_n"), F.posexplode("elements").alias(f"{side}_pos", "element")).select(
-        F.xxhash64("company_id", "element").alias("key"), "company_id", f"{side}_id", f"{side}_n", f"{side}_pos")
+    return prefixes.select("company_id", F.col("text_id").alias(f"{side}_id"), F.col("n").alias(f"{side}_n"), length.alias("length"), "elements").select(
+        "company_id", f"{side}_id", f"{side}_n", "length", F.posexplode("elements").alias(f"{side}_pos", "element")).select(
+        F.xxhash64("company_id", "element", "length").alias("key"), "company_id", "length", f"{side}_id", f"{side}_n", f"{side}_pos")
 
 
 def _overlaps(threshold: float):
-    """Rows of a cell: its texts (kind 0, side, id, tokens), then its pairs (kind 1, id, other). Returns the similar pairs."""
+    """Rows of a cell: its texts (kind 0, side, id, words), then its pairs (kind 1, id, other). Returns the similar pairs."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, held = None, {}
         for batch in batches:
             left, right, found = [], [], []
-            tokens = batch.column("tokens")
+            texts = batch.column("words")
             for row, (root, i, j, kind, side, one, other) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j", "kind", "side", "id", "other")))):
                 if (root, i, j) != cell:
                     cell, held = (root, i, j), {}
                 if kind == 0:
-                    words = tokens[row].as_py()
-                    held[side, one] = len(words), Counter(words)
+                    tokens = texts[row].as_py().split(" ")
+                    held[side, one] = len(tokens), Counter(tokens)
                     continue
                 (n, a), (m, b) = held[0, one], held[1, other]
                 if len(a) > len(b):
@@ -208,7 +269,7 @@ def _possible(pairs: DataFrame, left: Texts, right: Texts, threshold: float) ->
 def similar_pairs(left: Texts, right: Texts, condition: Column | None = None, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
     """(left_id, right_id, similarity) of texts with similarity >= threshold.
 
-    ``condition`` may use left_id and right_id. Candidates meet on (company, rare element), ``MEET`` times or as often as they must share
+    ``condition`` may use left_id and right_id. Candidates meet on (company, rare element, class of lengths), ``MEET`` times or as often as they must share
     elements; before they are counted no more than their ids is sent. They must pass the length and
     position bounds and that of the bucket counts; every surviving pair is counted exactly. Near copies meet in cells of at most about ``CELL`` texts a side, so a
     text is sent once per cell and not once per pair: those whose right text has the same first left text lie together.
@@ -220,7 +281,8 @@ def similar_pairs(left: Texts, right: Texts, condition: Column | None = None, th
     on = (F.least("left_n", "right_n") >= enough) & (room >= enough - (MEET - 1))
     if condition is not None:
         on = on & condition
-    met = _keys(left.prefixes, "left").join(_keys(right.prefixes, "right"), ["key", "company_id"]).filter(on).select(
+    keys = _keys(left.prefixes, "left", _length("n")), _keys(right.prefixes, "right", F.explode(_lengths("n", threshold)))
+    met = keys[0].join(keys[1], ["key", "company_id"]).filter(on).select(
         "left_id", "right_id", F.least(F.lit(MEET), F.ceil(enough)).cast("int").alias("least")).groupBy("left_id", "right_id").agg(
         F.count(F.lit(1)).alias("times"), F.max("least").alias("least")).filter("times >= least").select("left_id", "right_id")
     candidates = materialized(_possible(met, left, right, threshold))
@@ -238,18 +300,19 @@ def similar_pairs(left: Texts, right: Texts, condition: Column | None = None, th
     sides = [
         pairs.select(*cell, F.col(f"{name}_id").alias("text_id")).distinct().join(
             texts.tokens.join(F.broadcast(ids), "text_id", "left_semi") if few else texts.tokens, "text_id").select(
-            *cell, F.lit(0).alias("kind"), F.lit(side).alias("side"), F.col("text_id").alias("id"), none.alias("other"), "tokens")
+            *cell, F.lit(0).alias("kind"), F.lit(side).alias("side"), F.col("text_id").alias("id"), none.alias("other"), "words")
         for side, (name, texts) in enumerate((("left", left), ("right", right)))]
     asked = pairs.select(*cell, F.lit(1).alias("kind"), F.lit(0).alias("side"), F.col("left_id").alias("id"), F.col("right_id").alias("other"),
-                         F.lit(None).cast("array<string>").alias("tokens"))
+                         F.lit(None).cast("string").alias("words"))
     rows = _union([*sides, asked]).repartition(*cell).sortWithinPartitions(*cell, "kind")
     return materialized(rows.mapInArrow(_overlaps(threshold), "left_id long, right_id long, similarity double"))
 
 
-def estimated_pairs(prefixes: DataFrame) -> float:
+def estimated_pairs(prefixes: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> float:
     """Upper bound of the candidate rows a self join of the texts would make."""
-    per_element = _keys(prefixes, "left").groupBy("company_id", "key").agg(F.count(F.lit(1)).cast("double").alias("c"))
-    return per_element.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("s")).first()["s"] or 0.0
+    asked = _keys(prefixes, "right", F.explode(_lengths("n", threshold)))
+    per_element = asked.groupBy("key").agg(F.count(F.lit(1)).cast("double").alias("asks"), F.count_if(F.col("length") == _length("right_n")).cast("double").alias("own"))
+    return per_element.agg(F.sum(F.col("own") * (F.col("asks") - 1) / 2).alias("s")).first()["s"] or 0.0
 
 
 def best_similar(
@@ -279,11 +342,11 @@ def best_similar(
 def shares_token(incoming: DataFrame, candidates: DataFrame) -> DataFrame:
     """incoming_id of offers that have a token in common with any candidate."""
     vocabulary = candidates.select(
-        "company_id", F.explode(F.array_distinct("description_tokens")).alias("token")).distinct()
-    words = incoming.select(
+        "company_id", F.explode(description_tokens()).alias("token")).distinct()
+    asked = incoming.select(
         "company_id", F.col("offer_id").alias("incoming_id"),
-        F.explode(F.array_distinct("description_tokens")).alias("token"))
-    return words.join(vocabulary, ["company_id", "token"], "left_semi").select("incoming_id").distinct()
+        F.explode(F.array_distinct(description_tokens())).alias("token"))
+    return asked.join(vocabulary, ["company_id", "token"], "left_semi").select("incoming_id").distinct()
 
 
 def decide(
@@ -366,7 +429,7 @@ def canonical_offers(nodes: DataFrame, texts: Texts, threshold: float, max_pairs
     while True:
         window, cut = rest, None
         window_texts = texts.of(window) if found else texts
-        cost = estimated_pairs(window_texts.prefixes)
+        cost = estimated_pairs(window_texts.prefixes, threshold)
         while cost > max_pairs:
             share = max(0.05, min(0.7, (max_pairs / cost) ** 0.5))
             lo, cut_at = window.approxQuantile("offer_id", [0.0, share], 0.01)
@@ -377,7 +440,7 @@ def canonical_offers(nodes: DataFrame, texts: Texts, threshold: float, max_pairs
             cut = cut_at
             window = rest.filter(F.col("offer_id") <= cut)
             window_texts = texts.of(window)
-            cost = estimated_pairs(window_texts.prefixes)
+            cost = estimated_pairs(window_texts.prefixes, threshold)
         pairs = similar_pairs(window_texts, window_texts, F.col("left_id") < F.col("right_id"), threshold)
         canon = materialized(_resolve(window, pairs))
         found.append(canon)
@@ -405,7 +468,7 @@ def fold_reposts(
     """Fold arriving offers, in ``offer_id`` order, into the canonical set.
 
     ``arrivals``: company_id, offer_id (arrival order), title, description,
-    seen_at. ``stored``: the same columns plus content_fingerprint, from_seq
+    seen_at, or a written table of them with repost keys. ``stored``: the same columns plus content_fingerprint, from_seq
     and until_seq for offers that are already canonical; their ids come before
     all arrivals, and a version counts for arrivals inside (from_seq,
     until_seq), open when null.
@@ -413,7 +476,7 @@ def fold_reposts(
     Returns one row per arrival: company_id, offer_id, is_repost,
     canonical_id, reason, similarity, seen_at.
     """
-    base = materialized(with_repost_keys(
+    base = arrivals if "text_key" in arrivals.columns else materialized(with_repost_keys(
         arrivals.select("company_id", "offer_id", "title", "description", "seen_at")))
     common = materialized(common_tokens(base))
     texts = distinct_texts(base, common, threshold)

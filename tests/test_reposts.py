@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import registry.reposts as queries
 from offerlens import session
+from offerlens.functions.text import tokens_or_empty, trim_space
 from offerlens.operators import reposts
 
 
@@ -76,6 +77,37 @@ def test_shuffle_files_go_once_a_table_is_written(spark, monkeypatch):
     assert not session.release(spark, 1000)
 
 
+def test_keys_of_whole_texts_are_those_of_the_column_expressions(spark):
+    every = "".join(chr(c) for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000)
+    odd = [None, "", " \n\t\x0b\u2003\ufeff", "-", "\x1c\x1d\x1e\x1f\x85 a\x1cb", "ΟΔΟΣ Σ İ ẞ ǅ 😀", every, *[every[k: k + 40] for k in range(0, 3000, 37)],
+           "U.S. u k U, u", "EEUU and latinoamérica", "10$ a£b€ $ u€ s", "x" * 600_000, "Zz zz " * 70_000, "b a b"]
+    rows = [("a", i, odd[(i * 7) % len(odd)], text, None) for i, text in enumerate(odd)]
+    offers = spark.createDataFrame(rows, "company_id string, offer_id long, title string, description string, seen_at string")
+    t, d = tokens_or_empty(F.col("title")), tokens_or_empty(F.col("description"))
+    joined = lambda c: F.array_join(c, "\n")
+    want = offers.select(
+        "offer_id", (F.coalesce(trim_space(F.col("title")) != "", F.lit(False))).alias("has_title"), (F.coalesce(trim_space(F.col("description")) != "", F.lit(False))).alias("has_description"),
+        F.sha2(joined(t), 256).alias("title_key"), F.when((F.size(t) > 0) & (F.size(d) > 0), F.sha2(F.concat(joined(t), F.lit("\n\n"), joined(d)), 256)).alias("fingerprint"),
+        F.array_join(F.sort_array(d), " ").alias("words"))
+    got = reposts.with_repost_keys(offers)
+    assert "description_tokens" not in got.columns
+    assert sorted(got.select(*want.columns).collect()) == sorted(want.collect(), key=lambda r: r.offer_id)
+
+
+def test_texts_of_other_lengths_are_not_paired(spark):
+    # 60 texts of six lengths hold "rare" among their rarest elements: 1770 pairs, if their lengths did not count
+    texts = [" ".join(["rare"] * 3 + [f"w{k}" for k in range(3 * 2 ** (i % 6))]) for i in range(60)]
+    made = made_texts(spark, [f"{t} t{i}" for i, t in enumerate(texts)])
+    held, asked = reposts._keys(made.prefixes, "left", reposts._length("n")), reposts._keys(made.prefixes, "right", F.explode(reposts._lengths("n", 0.9)))
+    met = held.join(asked, ["key", "company_id"]).filter("left_id < right_id")
+    assert all(m <= 6 * 45 for m in (r["count"] for r in met.groupBy("key").count().collect()))
+    assert reposts.estimated_pairs(made.prefixes, 0.9) >= met.count() > 0
+    lengths = spark.range(1, 3000).select(F.col("id").alias("n"), reposts._length("id").alias("own"), reposts._lengths("id", 0.9).alias("asked")).collect()
+    own = {r.n: r.own for r in lengths}
+    for r in lengths:
+        assert {own[m] for m in range(1, 3000) if min(m, r.n) >= max(m, r.n) * 0.9 - 1e-9} <= set(r.asked) and len(r.asked) <= 3
+
+
 def test_duplicates_read_the_texts_once(spark):
     for name in (queries.d5, queries.d6):
         read = name(spark, "/root/testdata/sf0.001").inputFiles()
